@@ -102,3 +102,8 @@ def shared_folder(spark: SparkSession) -> str:
     folder = f"{base.rstrip('/')}/lodeworks-{uuid.uuid4().hex}"
     make_directory(spark, folder)
     return folder
+
+
+def unique(name: str) -> str:
+    """A name no other call gives."""
+    return f"{name}-{uuid.uuid4().hex}"

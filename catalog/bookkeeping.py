@@ -215,14 +215,16 @@ def incremental_closed(spark, folder):
     """,
 )
 def stream_upsert(spark, folder):
-    """Events as a file stream, several micro-batches, upserted per user."""
-    events = read(spark, folder, "events").select("user_id", "event_id", "event_type", "value")
+    """Events as files that arrive in three lots; each lot is a micro-batch, upserted per user."""
+    everything = read(spark, folder, "events")
+    events = everything.select("user_id", "event_id", "event_type", "value")
     root = fs.shared_folder(spark)
-    # arrival order does not matter: the newest event wins only within a batch, so batches
-    # are whole days in event order
-    events.repartitionByRange("event_id").write.option("maxRecordsPerFile", 4000).parquet(f"{root}/incoming")
-    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1_000).parquet(f"{root}/incoming")
+    fs.make_directory(spark, f"{root}/incoming")
+    days = F.dayofmonth("ts")
+    stream = spark.readStream.schema(events.schema).parquet(f"{root}/incoming")
     dataset = new_dataset(spark)
     spec = LoadSpec("latest", stream, write_disposition="upsert", primary_key="user_id", order_by=["event_id"])
-    stream_load(dataset, spec, checkpoint=f"{root}/checkpoint", query_name=fs.unique("latest")).awaitTermination()
+    for arrived in (days <= 10, (days > 10) & (days <= 20), days > 20):
+        everything.where(arrived).select(events.columns).write.mode("append").parquet(f"{root}/incoming")
+        stream_load(dataset, spec, checkpoint=f"{root}/checkpoint", query_name=fs.unique("latest")).awaitTermination()
     return dataset.table("latest").select("user_id", "event_id", "event_type", "value")

@@ -332,7 +332,7 @@ def type_promotion(spark, folder):
 @query(
     "conform_nested",
     """
-    SELECT vec_id, len(embedding) AS dims, round(list_sum(list_transform(embedding, x -> CAST(x AS DOUBLE))), 4) AS total,
+    SELECT vec_id, len(embedding) AS dims, round(list_sum(CAST(embedding AS DOUBLE[])), 4) AS total,
            CAST(label AS BIGINT) AS label, vec_id AS tagged_id, 'array<double>' AS embedding_type,
            'struct<label:bigint,vec_id:bigint,note:string>' AS tag_type
     FROM embeddings

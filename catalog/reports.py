@@ -11,9 +11,9 @@ from lodeworks.plans.jobs import long_table, resample_last, timing_summary, wide
 SERIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 
 _MONTHLY = """
-    SELECT o_orderpriority, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS date,
-           arg_max(o_totalprice, epoch(o_orderdate) * 1000000000 + o_orderkey) AS o_totalprice
-    FROM orders GROUP BY 1, 2
+    SELECT o_orderpriority, date, o_totalprice FROM (
+        SELECT *, row_number() OVER (PARTITION BY o_orderpriority, date ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+        FROM (SELECT *, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS date FROM orders)) WHERE rn = 1
 """
 _PIVOTED = f"""
     SELECT date, {", ".join(f'''max(CASE WHEN o_orderpriority = '{s}' THEN o_totalprice END) AS "{s}"''' for s in SERIES)}

@@ -48,9 +48,12 @@ def update_stored_schema(dataset: Dataset, schema_name: str = "default") -> str:
     tables = {n: dataset.version(n).schemas[-1:] for n in dataset.table_names() if n not in SCHEMAS}
     content = json.dumps({"name": schema_name, "tables": tables}, sort_keys=True)
     version_hash = hashlib.sha256(content.encode()).hexdigest()
-    stored = dataset.bookkeeping(VERSION_TABLE)
-    if ops.schema_by_hash(stored, version_hash).isEmpty():
-        number = stored.where(F.col("schema_name") == schema_name).agg(F.max("version")).first()[0]
+    known, number = (
+        dataset.bookkeeping(VERSION_TABLE)
+        .agg(F.max(F.col("version_hash") == version_hash), F.max(F.when(F.col("schema_name") == schema_name, F.col("version"))))
+        .first()
+    )
+    if not known:
         row = ((number or 0) + 1, ENGINE_VERSION, _now(), schema_name, version_hash, content)
         _append_row(dataset, VERSION_TABLE, row)
     return version_hash

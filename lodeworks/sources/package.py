@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,7 +83,7 @@ def _by_schema(spark: SparkSession, listed: Sequence[str]) -> list[tuple[T.Struc
     """
     try:
         return [(spark.read.option("mergeSchema", True).parquet(*listed).schema, list(listed))]
-    except PySparkException as error:
+    except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
     with ThreadPoolExecutor(16) as pool:

@@ -1,0 +1,78 @@
+import random
+import statistics
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from lodeworks.plans.jobs import (
+    CATEGORIES,
+    exact_percentiles,
+    generate_table,
+    long_table,
+    resample_last,
+    timing_summary,
+    wide_table,
+)
+
+
+def test_resample_takes_the_last_value_that_is_there(spark):
+    data = [("2024-01-03", 1.0), ("2024-01-20", 2.0), ("2024-01-31", None), ("2024-02-01", None), ("2024-03-05", 4.0)]
+    df = spark.createDataFrame(data, "date string, v double").withColumn("date", F.to_date("date"))
+    assert [(str(d), v) for d, v in rows(resample_last(df, "date", "v"))] == [("2024-01-01", 2.0), ("2024-03-01", 4.0)]
+
+
+def test_wide_is_an_inner_join_and_long_drops_nulls(spark):
+    data = [("2024-01-01", "a", 1.0), ("2024-01-01", "b", 2.0), ("2024-02-01", "a", 3.0)]
+    monthly = spark.createDataFrame(data, "date string, series string, v double").withColumn("date", F.to_date("date"))
+    assert [tuple(r) for r in wide_table(monthly, "series", "v", ["b", "a"]).collect()] == [("2024-01-01", 2.0, 1.0)]
+    ragged = spark.createDataFrame([("2024-01-01", 1.0, None), ("2024-02-01", 3.0, 4.0)], "date string, a double, b double")
+    want = [("2024-01-01", "a", 1.0), ("2024-02-01", "a", 3.0), ("2024-02-01", "b", 4.0)]
+    assert rows(long_table(ragged, ["a", "b"])) == want
+
+
+def test_timing_summary(spark):
+    data = [("load", 1.0, 10, None), ("load", 2.0, 20, None), ("load", 4.0, 30, None), ("load", 10.0, 40, None),
+            ("load", 99.0, 99, "lost"), ("query", 5.0, 1, "lost")]
+    df = spark.createDataFrame(data, "phase string, elapsed double, rows long, error string")
+    got = {r["phase"]: r.asDict() for r in timing_summary(df, failed=F.col("error").isNotNull()).collect()}
+    one = got["load"]
+    assert (one["n"], one["errors"], one["mean"], one["p50"], one["min"], one["max"], one["rows"]) == (4, 1, 4.25, 3.0, 1.0, 10.0, 100)
+    assert one["p95"] == pytest.approx(9.1) and one["rows_per_sec"] == pytest.approx(100 / 17)
+    assert (got["query"]["n"], got["query"]["errors"], got["query"]["p50"], got["query"]["rows"]) == (0, 1, None, 0)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_percentiles_of_large_groups_are_exact(spark, seed):
+    """Heavy tails, ties, negative values, one value, one row: brute force against counting."""
+    rng = random.Random(seed)
+    groups = {
+        "tail": [rng.paretovariate(0.3) for _ in range(700)],
+        "ties": [float(rng.randrange(4)) for _ in range(500)],
+        "signed": [rng.gauss(0, 1e6) for _ in range(300)],
+        "same": [2.5] * 50,
+        "single": [7.0],
+        "hot": [0.1] * 400 + [rng.random() for _ in range(200)],
+    }
+    df = spark.createDataFrame([(g, v) for g, vs in groups.items() for v in vs] + [("tail", None)], "g string, v double")
+    points = {"p0": 0.0, "p50": 0.5, "p95": 0.95, "p100": 1.0}
+    got = {r["g"]: r for r in exact_percentiles(df.repartition(5), "g", "v", points, one_task_rows=10).collect()}
+    for g, values in groups.items():
+        ordered = sorted(values)
+        for name, p in points.items():
+            k = (len(ordered) - 1) * p
+            low, high = ordered[int(k)], ordered[min(int(k) + 1, len(ordered) - 1)]
+            assert got[g][name] == pytest.approx(low + (high - low) * (k - int(k)), rel=1e-12)
+    assert got["ties"]["p50"] == statistics.median(groups["ties"])
+
+
+def test_generated_table(spark):
+    table = generate_table(spark, 2000, seed=3)
+    assert [f.simpleString() for f in table.schema] == ["id:bigint", "name:string", "value:double", "category:string", "created_at:string"]
+    first = table.drop("created_at").collect()
+    assert first == generate_table(spark, 2000, seed=3).drop("created_at").collect()
+    assert [r["id"] for r in first] == list(range(1, 2001))
+    assert {r["category"] for r in first} == set(CATEGORIES)
+    assert all(len(r["name"]) == 10 and r["name"].isalpha() and r["name"].islower() for r in first)
+    assert statistics.mean(r["value"] for r in first) == pytest.approx(100, abs=3)
+    assert statistics.stdev(r["value"] for r in first) == pytest.approx(20, abs=2)

@@ -113,10 +113,20 @@ def keep_unmatched(existing: DataFrame, keys: DataFrame, key: Sequence[str]) ->
     return existing.join(keys.select(*(quoted(k) for k in key)), list(key), "left_anti").select(*existing.columns)
 
 
-def _distinct_keys(df: DataFrame, key: Sequence[str], side: str = "existing") -> DataFrame:
+def _distinct_keys(df: DataFrame, key: Sequence[str], side: str) -> DataFrame:
     return guard_keys(df, key, side).select(*(quoted(k) for k in key)).distinct()
 
 
+def known_keys(existing: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The distinct keys of ``existing`` that are among ``keys``.
+
+    The batch filters the table, not the other way round: a batch small enough to be
+    broadcast spares the table's keys a shuffle.
+    """
+    existing = guard_keys(existing, key, "existing").select(*(quoted(k) for k in key))
+    return existing.join(_distinct_keys(keys, key, "incoming"), list(key), "left_semi").distinct()
+
+
 def upsert(
     existing: DataFrame,
     incoming: DataFrame,
@@ -161,7 +171,7 @@ def new_rows(
     if hard_delete is not None and hard_delete in incoming.columns:
         incoming = split_hard_delete(incoming, hard_delete)[0]
     incoming = guard_keys(incoming, key)
-    known = _distinct_keys(existing, key)
+    known = known_keys(existing, incoming, key)
     if file_order is None:
         return keep_unmatched(incoming, known, key)
     first = incoming.groupBy(*(quoted(k) for k in key)).agg(F.min(quoted(file_order)).alias(file_order))
@@ -201,7 +211,7 @@ def update_only(
     old, new = _both_sides(existing, incoming)
     winners = last_per_key(new, key, order=order, file_order=file_order).drop(DELETED)
     # folded first, so the semi-join sees one row per key
-    matched = winners.join(_distinct_keys(old, key), list(key), "left_semi").select(*winners.columns)
+    matched = winners.join(known_keys(old, new, key), list(key), "left_semi").select(*winners.columns)
     kept = keep_unmatched(guard_keys(old, key, "existing"), _distinct_keys(new, key, "incoming"), key)
     return kept.unionByName(matched)
 

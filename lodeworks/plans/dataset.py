@@ -4,7 +4,8 @@
 ``<root>/<schema>/<table>/versions/<n>.json`` says which parts make version ``n``. A
 load writes new parts and then one version file, so readers see all of it or nothing,
 a failed or retried job leaves nothing visible, and a rewrite may read the table it
-replaces. Parts untouched by a load are listed again, not copied.
+replaces. What a load does not touch is listed again, not copied: whole parts, and
+inside a part the files that hold no changed key.
 
 There is one writer per table; a second one fails at publish.
 """
@@ -22,7 +23,7 @@ from typing import Any
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,12 +41,17 @@ from lodeworks.operators.layout import (
     partition_value,
     sort_key,
 )
+from lodeworks.operators.merge import keep_unmatched
 from lodeworks.plans import files as fs
 
 PART = "__part"
 _MARKER = "dataset.json"
+# Key types whose range is worth passing to the scan.
+_RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
 # Appends that may pile up on a bookkeeping table before its parts are put together.
 _SMALL_PARTS = 50
+# Replaced files a version may list; beyond it the directories of a load are rewritten whole.
+_REPLACED_FILES = 2000
 # Version files kept per table, so that finding the newest does not slow down with age.
 _VERSIONS_KEPT = 100
 
@@ -56,7 +62,7 @@ class TableVersion:
 
     number: int = 0
     schemas: list = field(default_factory=list)  # every schema a live part was written in
-    parts: list = field(default_factory=list)  # {"path", "schema": index}
+    parts: list = field(default_factory=list)  # {"path", "schema": index, "without": replaced files}
     rows: int | None = 0
     loaded: bool = False
     key: list | None = None
@@ -83,6 +89,16 @@ class TableVersion:
         return replace(self, schemas=[*self.schemas, json.loads(schema.json())])
 
 
+@dataclass(frozen=True)
+class Written:
+    """What one write left behind."""
+
+    parts: list
+    rows: int
+    dead: list  # parts of rows marked dead; no version lists them
+    bounds: dict  # key column -> (lowest, highest) of all rows, dead ones included
+
+
 class Dataset:
     """Tables of one namespace in one directory."""
 
@@ -266,22 +282,37 @@ class Dataset:
         technical = [T.StructField(PART, T.StringType())]
         technical += [T.StructField(k.derived, T.StringType()) for k in version.partitions]
         full = T.StructType([*current.fields, *technical])
-        by_schema: dict[int, list[str]] = {}
-        for part in parts:
-            by_schema.setdefault(part["schema"], []).append(f"{self._home(name)}/data/{part['path']}")
-        if not by_schema:
+        if not parts:
             return self.spark.createDataFrame([], full)
-        frames = []
-        for index, paths in by_schema.items():
-            written = T.StructType.fromJson(version.schemas[index])
-            stored = T.StructType([*written.fields, *technical])
-            frame = self.spark.read.schema(stored).option("basePath", f"{self._home(name)}/data").parquet(*paths)
-            frames.append(conform(frame, full))
-        return reduce(DataFrame.unionByName, frames)
+        return reduce(DataFrame.unionByName, (conform(f, full) for f, _ in self._frames(name, version, parts, technical)))
 
-    def part_of_row(self) -> Any:
-        """The directory a scanned row came from, for a scan in a single schema."""
-        return F.regexp_extract("_metadata.file_path", f"({PART}=.*)/[^/]*$", 1)
+    def _frames(
+        self, name: str, version: TableVersion, parts: Sequence[dict], technical: Sequence[T.StructField] = ()
+    ) -> list[tuple[DataFrame, T.StructType]]:
+        """One scan per stored schema; parts that name single files have a scan of their own.
+
+        Those names are compared with a constant of each file, which Spark does while it
+        plans the scan: files left out are not opened.
+        """
+        groups: dict[tuple, list[dict]] = {}
+        for part in parts:
+            groups.setdefault((part["schema"], "without" in part, "only" in part), []).append(part)
+        home, frames = f"{self._home(name)}/data", []
+        for (index, without, only), members in groups.items():
+            written = T.StructType.fromJson(version.schemas[index])
+            reader = self.spark.read.schema(T.StructType([*written.fields, *technical])).option("basePath", home)
+            frame = reader.parquet(*(f"{home}/{p['path']}" for p in members))
+            if only:
+                frame = frame.where(self.file_of_row().isin([f for p in members for f in p["only"]]))
+            elif without:
+                frame = frame.where(~self.file_of_row().isin([f for p in members for f in p["without"]]))
+            frames.append((frame, written))
+        return frames
+
+    @staticmethod
+    def file_of_row() -> Column:
+        """The file a scanned row came from, relative to its part directory's prefix."""
+        return F.substring_index("_metadata.file_path", f"/{PART}=", -1)
 
     def sql(self, query: str, args: Any = None) -> DataFrame:
         """Run a query over the tables, by bare or ``schema.table`` name.
@@ -312,9 +343,14 @@ class Dataset:
     # -- writing -----------------------------------------------------------------
 
     def write_parts(
-        self, table: str, version: TableVersion, df: DataFrame, dead: str | None = None
-    ) -> tuple[list[dict], int, list[dict]]:
-        """Write rows as a new part; returns (part entries, rows, entries of dead rows).
+        self,
+        table: str,
+        version: TableVersion,
+        df: DataFrame,
+        dead: str | None = None,
+        measured: Sequence[str] = (),
+    ) -> Written:
+        """Write rows as a new part, counting them and their range in ``measured`` columns.
 
         Rows where the boolean column ``dead`` is true go to a directory of their own
         that is never listed: it only serves later steps of the same load.
@@ -330,7 +366,9 @@ class Dataset:
             df = df.withColumn(PART, F.when(quoted(dead), F.lit(gone)).otherwise(F.lit(live)))
             leading = [PART]
         placed, columns = apply_layout(df, version.partitions, (), leading)
-        placed = placed.observe(counted, F.count_if(is_live).alias("rows"))
+        ranged = [c for c in measured if isinstance(df.schema[c].dataType, _RANGED)]
+        ends = [f(quoted(c)).alias(f"{f.__name__}_{c}") for c in ranged for f in (F.min, F.max)]
+        placed = placed.observe(counted, F.count_if(is_live).alias("rows"), *ends)
         if dead:
             placed = placed.drop(dead)
         if version.sorts:
@@ -341,8 +379,13 @@ class Dataset:
             writer.mode("append").parquet(home)
         else:
             writer.mode("errorifexists").parquet(f"{home}/{PART}={live}")
-        rows = int(counted.get.get("rows") or 0)
-        return self._leaves(home, live, version), rows, self._leaves(home, gone, version) if dead else []
+        seen = counted.get
+        return Written(
+            self._leaves(home, live, version),
+            int(seen.get("rows") or 0),
+            self._leaves(home, gone, version) if dead else [],
+            {c: (seen.get(f"min_{c}"), seen.get(f"max_{c}")) for c in ranged},
+        )
 
     def _leaves(self, home: str, part: str, version: TableVersion) -> list[dict]:
         """Entries of the directories that hold files: one per partition value, or just the part."""
@@ -356,43 +399,89 @@ class Dataset:
         for top in {e["path"].split("/")[0] for e in entries}:
             fs.delete(self.spark, f"{self._home(table)}/data/{top}")
 
-    def touched_parts(
-        self, table: str, version: TableVersion, keys: DataFrame, key: Sequence[str]
-    ) -> dict[str, tuple[int, int]]:
-        """part path -> (rows, rows whose key is listed), for parts with at least one hit.
+    def without_keys(
+        self, table: str, version: TableVersion, keys: DataFrame, key: Sequence[str], bounds: Mapping[str, tuple]
+    ) -> tuple[list[dict], int]:
+        """(parts, rows removed) of the table without the listed (distinct) keys.
 
-        Reads only the key columns. What comes back is one line per part.
+        Finds the files that hold one of them on key columns alone, within the keys' range,
+        so that row groups outside it are skipped. Only those files are rewritten; files
+        that lose every row are left out unread, and all other files stay where they are.
         """
-        by_schema: dict[int, list[dict]] = {}
+        hits = self._matched_rows(table, version, keys, key, bounds)
+        if not hits:
+            return version.parts, 0
+        by_part: dict[str, list[str]] = {}
+        for file in hits:
+            by_part.setdefault(f"{PART}={unquote(file.rpartition('/')[0])}", []).append(file)
+        replaced = sum(len(p.get("without", ())) for p in version.parts) + len(hits)
+        sizes = {} if replaced > _REPLACED_FILES else self._file_rows(table, version, by_part)
+        parts, rewrite = [], []
         for part in version.parts:
-            by_schema.setdefault(part["schema"], []).append(part)
-        if not by_schema:
-            return {}
-        listed = keys.select(*(quoted(k) for k in key)).withColumn("__hit", F.lit(1))
+            mine = by_part.get(part["path"])
+            if mine is None:
+                parts.append(part)
+            elif not sizes:
+                rewrite.append(part)
+            else:
+                some_stay = [f for f in mine if sizes[f] > hits[f]]
+                if some_stay:
+                    rewrite.append({"path": part["path"], "schema": part["schema"], "only": some_stay})
+                gone = sorted({*part.get("without", ()), *mine})
+                if len(fs.data_files(self.spark, f"{self._home(table)}/data/{part['path']}")) > len(gone):
+                    parts.append({**part, "without": gone})
+        if rewrite:
+            existing = self.scan(table, version, rewrite).select(*(quoted(c) for c in version.schema.names))
+            kept = keep_unmatched(guard_keys(existing, key, "existing"), keys, key)
+            parts += self.write_parts(table, version, kept).parts
+        return parts, sum(hits.values())
+
+    def _matched_rows(
+        self, table: str, version: TableVersion, keys: DataFrame, key: Sequence[str], bounds: Mapping[str, tuple]
+    ) -> dict[str, int]:
+        """file -> rows whose key is listed; one line per file that holds any."""
         frames = []
-        for index, parts in by_schema.items():
-            stored = T.StructType.fromJson(version.schemas[index])
-            paths = [f"{self._home(table)}/data/{p['path']}" for p in parts]
-            frame = self.spark.read.schema(stored).option("basePath", f"{self._home(table)}/data").parquet(*paths)
+        for frame, written in self._frames(table, version, version.parts):
+            for c, (low, high) in bounds.items():
+                if c in written.names and low is not None:
+                    # a null stays in, to be refused below
+                    frame = frame.where(quoted(c).between(F.lit(low), F.lit(high)) | quoted(c).isNull())
             columns = [
-                (quoted(k) if k in stored.names else F.lit(None)).cast(version.schema[k].dataType).alias(k) for k in key
+                (quoted(k) if k in written.names else F.lit(None)).cast(version.schema[k].dataType).alias(k) for k in key
             ]
-            frames.append(frame.select(*columns, self.part_of_row().alias(PART)))
+            frames.append(frame.select(*columns, self.file_of_row().alias("__file")))
+        if not frames:
+            return {}
         keyed = guard_keys(reduce(DataFrame.unionByName, frames), key, "existing")
-        joined = keyed.join(listed, list(key), "left")
-        counts = joined.groupBy(PART).agg(F.count(F.lit(1)).alias("rows"), F.count("__hit").alias("hits"))
-        return {unquote(r[PART]): (r["rows"], r["hits"]) for r in counts.where("hits > 0").collect()}
+        matched = keyed.join(keys.select(*(quoted(k) for k in key)), list(key), "left_semi")
+        return {r["__file"]: r["n"] for r in matched.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def _file_rows(self, table: str, version: TableVersion, by_part: Mapping[str, list[str]]) -> dict[str, int]:
+        """file -> all its rows, from the footers of the named files."""
+        parts = [
+            {"path": p["path"], "schema": p["schema"], "only": by_part[p["path"]]}
+            for p in version.parts
+            if p["path"] in by_part
+        ]
+        frames = [f.select(self.file_of_row().alias("__file")) for f, _ in self._frames(table, version, parts)]
+        counts = reduce(DataFrame.unionByName, frames).groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
+        return {r["__file"]: r["n"] for r in counts.collect()}
+
+    def compact(self, table: str) -> TableVersion:
+        """Rewrite a table that has gathered many small parts, in its layout."""
+        version = self.version(table)
+        rows = self.table(table, version=version)
+        written = self.write_parts(table, version, rows if version.partitions else rows.hint("rebalance"))
+        return self.publish(table, replace(version, parts=written.parts, rows=written.rows))
 
     def append_rows(self, table: str, df: DataFrame) -> TableVersion:
         """Append to a bookkeeping table, creating it; its parts are put together now and then."""
         version = self.version(table) or TableVersion(schemas=[json.loads(SCHEMAS[table].json())])
-        entries, rows, _ = self.write_parts(table, version, df)
-        version = self.publish(
-            table, replace(version, parts=[*version.parts, *entries], rows=version.rows + rows, loaded=True)
-        )
+        written = self.write_parts(table, version, df)
+        version = replace(version, parts=[*version.parts, *written.parts], rows=version.rows + written.rows, loaded=True)
+        version = self.publish(table, version)
         if len(version.parts) >= _SMALL_PARTS:
-            whole, rows, _ = self.write_parts(table, version, self.table(table, version=version).hint("rebalance"))
-            version = self.publish(table, replace(version, parts=whole, rows=rows))
+            version = self.compact(table)
             self.vacuum(table, keep=_SMALL_PARTS)
         return version
 

@@ -38,6 +38,7 @@ from lodeworks.operators.merge import (
     FILE_SEQ,
     ROW_SEQ,
     keep_unmatched,
+    known_keys,
     last_per_key,
     new_rows,
 )
@@ -243,12 +244,13 @@ def _apply(dataset: Dataset, task: _Task, load_id: str) -> int:
     if task.action == "insert-only":
         existing = dataset.table(task.table, version=version)
         rows = new_rows(existing, rows, task.key or [ROW_ID], hard_delete=task.flag)
-    entries, count, _ = dataset.write_parts(task.table, version, rows.drop(*POSITION))
+    written = dataset.write_parts(task.table, version, rows.drop(*POSITION))
     if task.action == "replace":
-        dataset.publish(task.table, replace(done, parts=entries, rows=count))
+        done = replace(done, parts=written.parts, rows=written.rows)
     else:
-        dataset.publish(task.table, replace(done, parts=[*version.parts, *entries], rows=version.rows + count))
-    return count
+        done = replace(done, parts=[*version.parts, *written.parts], rows=version.rows + written.rows)
+    dataset.publish(task.table, done)
+    return written.rows
 
 
 def _replace_keys(
@@ -262,25 +264,16 @@ def _replace_keys(
     """Publish the table with every row of the winners' keys replaced by the winner.
 
     The folded batch is written once, straight into its final part (rows that end
-    deleted beside it). Its keys are then read from there, so their size is known: only
-    parts that hold one of them are rewritten, in an anti-join that Spark plans as a
-    broadcast or as a shuffle by that size. All other parts are kept as they are.
+    deleted beside it). Its keys are then read from there, so that their size is known
+    and Spark plans each join with them as a broadcast or as a shuffle by that size.
     """
-    entries, count, gone = dataset.write_parts(table, version, winners, dead)
-    keys = dataset.scan(table, version, [*entries, *gone]).select(*(quoted(k) for k in key))
-    hits = dataset.touched_parts(table, version, keys, key)
-    touched = [p for p in version.parts if p["path"] in hits]
-    # a part that loses all its rows is dropped unread
-    partly = [p for p in touched if hits[p["path"]][0] > hits[p["path"]][1]]
-    parts, rows = [p for p in version.parts if p["path"] not in hits], version.rows
-    if partly:
-        existing = guard_keys(dataset.scan(table, version, partly), key, "existing")
-        kept, _, _ = dataset.write_parts(table, version, keep_unmatched(existing.select(*version.schema.names), keys, key))
-        parts += kept
-    rows += count - sum(matched for _, matched in hits.values())
-    dataset.publish(table, replace(version, parts=[*parts, *entries], rows=rows))
-    dataset.discard(table, gone)
-    return count
+    written = dataset.write_parts(table, version, winners, dead, measured=key)
+    keys = dataset.scan(table, version, [*written.parts, *written.dead]).select(*(quoted(k) for k in key))
+    parts, removed = dataset.without_keys(table, version, keys, key, written.bounds)
+    rows = version.rows - removed + written.rows
+    dataset.publish(table, replace(version, parts=[*parts, *written.parts], rows=rows))
+    dataset.discard(table, written.dead)
+    return written.rows
 
 
 def delete_rows(dataset: Dataset, table: str, keys: DataFrame, key: Sequence[str]) -> int:
@@ -291,15 +284,8 @@ def delete_rows(dataset: Dataset, table: str, keys: DataFrame, key: Sequence[str
         T.StructType([version.schema[k] for k in key]),
     ).distinct()
     with _named_errors():
-        hits = dataset.touched_parts(table, version, keys, key)
-        touched = [p for p in version.parts if p["path"] in hits]
-        kept: list[dict] = []
-        if touched:
-            existing = dataset.scan(table, version, touched).select(*version.schema.names)
-            kept, _, _ = dataset.write_parts(table, version, keep_unmatched(guard_keys(existing, key, "existing"), keys, key))
-    removed = sum(matched for _, matched in hits.values())
-    parts = [p for p in version.parts if p["path"] not in hits]
-    dataset.publish(table, replace(version, parts=[*parts, *kept], rows=version.rows - removed, loaded=True))
+        parts, removed = dataset.without_keys(table, version, keys, key, {})
+    dataset.publish(table, replace(version, parts=parts, rows=version.rows - removed, loaded=True))
     return removed
 
 
@@ -310,7 +296,7 @@ def update_rows(
     current = dataset.version(table)
     version = current.evolved(merge_schemas(current.schema, incoming.schema))
     winners = last_per_key(conform(incoming, version.schema), key, order=order_by).drop(DELETED)
-    known = guard_keys(dataset.table(table, version=version), key, "existing").select(*(quoted(k) for k in key)).distinct()
+    known = known_keys(dataset.table(table, version=version), winners, key)
     matched = winners.join(known, list(key), "left_semi").select(*winners.columns)
     with _named_errors():
         return _replace_keys(dataset, table, replace(version, loaded=True), matched, list(key), None)

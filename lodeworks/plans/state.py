@@ -102,12 +102,12 @@ def prune_pipeline_state(dataset: Dataset, keep: int) -> int:
         if ops.surplus_state(state.select("pipeline_name"), keep) < keep:
             return 0
         kept = ops.newest_per_group(state, ["pipeline_name"], ["_dlt_load_id", "_dlt_id"], keep)
-        entries, rows, _ = dataset.write_parts(STATE_TABLE, version, kept)
-        if rows in (0, version.rows):
-            dataset.discard(STATE_TABLE, entries)
+        written = dataset.write_parts(STATE_TABLE, version, kept)
+        if written.rows in (0, version.rows):
+            dataset.discard(STATE_TABLE, written.parts)
             return 0
-        dataset.publish(STATE_TABLE, replace(version, parts=entries, rows=rows))
+        dataset.publish(STATE_TABLE, replace(version, parts=written.parts, rows=written.rows))
     except (PySparkException, ConcurrentPublishError) as error:
         warnings.warn(f"could not trim {STATE_TABLE}; old rows stay: {error}", stacklevel=2)
         return 0
-    return version.rows - rows
+    return version.rows - written.rows

@@ -151,3 +151,79 @@ def test_version_files_are_plain_json(spark, dataset):
     folder = f"{dataset.root}/public/t/versions"
     newest = json.loads(fs.read_text(spark, f"{folder}/{fs.children(spark, folder)[-1]}"))
     assert newest["rows"] == 1 and T.StructType.fromJson(newest["schemas"][-1]).names[:2] == ["id", "v"]
+
+
+def test_merge_rewrites_only_the_files_that_hold_a_key(spark, dataset):
+    df = spark.range(0, 800, 1, 8).select("id", F.lit("old").alias("v"))
+    spec = LoadSpec("t", df, write_disposition="upsert", primary_key="id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        load(dataset, spec)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    (part,) = dataset.version("t").parts
+    home = f"{dataset.root}/public/t/data"
+    files = fs.data_files(spark, f"{home}/{part['path']}")
+    assert len(files) > 2
+    for i, ids in enumerate([(5,), (5, 900), (6, 700)]):
+        change = spark.createDataFrame([(k, f"new{i}") for k in ids], "id long, v string")
+        load(dataset, LoadSpec("t", change, write_disposition="upsert", primary_key="id"))
+        assert dataset.table("t").count() == dataset.version("t").rows == (801 if i else 800)
+    first = dataset.version("t").parts[0]
+    assert first["path"] == part["path"] and 1 <= len(first["without"]) <= 3
+    changed = dataset.table("t").where("v <> 'old'").select("id", "v")
+    assert rows(changed) == sorted([(5, "new1"), (900, "new1"), (6, "new2"), (700, "new2")], key=str)
+    # files left out are not even opened
+    for name in first["without"]:
+        fs.delete(spark, f"{home}/__part={name}")
+        fs.write_new(spark, f"{home}/__part={name}", "not parquet")
+    assert dataset.table("t").count() == 801
+    assert dataset.table("t").where("id < 10").count() == 10
+    dataset.compact("t")
+    assert "without" not in dataset.version("t").parts[0] and dataset.table("t").count() == 801
+
+
+def test_many_replaced_files_rewrite_the_directory(spark, dataset, monkeypatch):
+    from lodeworks.plans import dataset as module
+
+    load(dataset, LoadSpec("t", spark.range(0, 100, 1, 4), write_disposition="append"))
+    monkeypatch.setattr(module, "_REPLACED_FILES", 2)
+    change = spark.range(0, 100, 30).withColumn("v", F.lit("n"))
+    load(dataset, LoadSpec("t", change, write_disposition="upsert", primary_key="id"))
+    version = dataset.version("t")
+    assert not any("without" in p for p in version.parts)
+    assert dataset.table("t").count() == version.rows == 100 and dataset.table("t").where("v = 'n'").count() == 4
+
+
+def test_a_batch_that_replaces_everything_rereads_nothing(spark, dataset):
+    df = spark.range(50).withColumn("v", F.lit("a"))
+    load(dataset, LoadSpec("t", df, write_disposition="upsert", primary_key="id"))
+    load(dataset, LoadSpec("t", df.withColumn("v", F.lit("b")), write_disposition="upsert", primary_key="id"))
+    assert len(dataset.version("t").parts) == 1
+    assert dataset.table("t").where("v = 'b'").count() == 50 == dataset.version("t").rows
+
+
+def test_only_rows_in_the_keys_range_are_looked_at(spark, dataset):
+    load(dataset, LoadSpec("t", spark.range(50).coalesce(1)))
+    keys = spark.createDataFrame([(7,), (9,)], "id long")
+    for bounds, found in (({}, 2), ({"id": (7, 9)}, 2), ({"id": (8, 9)}, 1)):
+        hits = dataset._matched_rows("t", dataset.version("t"), keys, ["id"], bounds)
+        assert sum(hits.values()) == found
+
+
+@pytest.mark.parametrize("key_type", ["string", "int", "date", "decimal(10,2)", "timestamp", "binary"])
+def test_keys_of_any_type(spark, dataset, key_type):
+    def batch(numbers, v):
+        value = {
+            "date": "date_add(date'2024-01-01', id)",
+            "timestamp": "timestamp_seconds(id)",
+            "binary": "encode(concat('k', id), 'utf-8')",
+            "string": "concat('k', id)",
+        }.get(key_type, f"cast(id as {key_type})")
+        df = spark.createDataFrame([(n,) for n in numbers], "id int")
+        return LoadSpec("t", df.select(F.expr(value).alias("k"), F.lit(v).alias("v")), write_disposition="upsert", primary_key="k")
+
+    load(dataset, batch(range(10), "a"))
+    load(dataset, batch(range(5, 12), "b"))
+    assert rows(dataset.table("t").groupBy("v").count()) == [("a", 5), ("b", 7)]
+    assert dataset.version("t").rows == 12

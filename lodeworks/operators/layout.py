@@ -158,6 +158,10 @@ def partition_value(key: PartitionKey, dtype: T.DataType, value: Column | None =
             f"partition transform {key.transform!r} needs a date or timestamp, "
             f"column {key.column!r} is {dtype.simpleString()}"
         )
+    if isinstance(dtype, T.TimestampType):
+        # an instant belongs to its UTC day, whatever zone a writer's or reader's session is in
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        value = F.timestamp_add("MICROSECOND", F.unix_micros(value), epoch)
     return F.date_format(value, _TIME_FORMAT[key.transform])
 
 

@@ -23,7 +23,7 @@ from lodeworks.errors import DuplicateKeyError, LayoutError, LoadError, NullKeyE
 from lodeworks.functions.keys import NULL_KEY, guard_keys, quoted, split_hard_delete
 from lodeworks.functions.names import check_names, normalize_identifier
 from lodeworks.functions.nested import child_tables
-from lodeworks.functions.schema import conform, merge_schemas
+from lodeworks.functions.schema import conform, logical_type, merge_schemas
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS, since
 from lodeworks.operators.identity import ROW_ID, with_identity
 from lodeworks.operators.layout import (
@@ -145,6 +145,7 @@ def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, default_disposition
         rows.write.parquet(staged)
         rows = read_package(dataset.spark, [staged])
     rows, spec = _normalized(rows, spec)
+    rows = _typed(rows, spec)
     order = [normalize_identifier(c) for c in order]
     position = [c for c in POSITION if c in rows.columns]
     rows = with_identity(rows, load_id, position or order)
@@ -176,6 +177,20 @@ def _normalized(rows: DataFrame, spec: LoadSpec) -> tuple[DataFrame, LoadSpec]:
     return rows, replace(spec, primary_key=key, columns=hints, data=rows)
 
 
+def _typed(rows: DataFrame, spec: LoadSpec) -> DataFrame:
+    """Columns with a ``data_type`` hint in that type; a hinted column the rows lack is null."""
+    columns = {}
+    for name, hints in spec.columns.items():
+        declared = hints.get("data_type")
+        if declared is None:
+            continue
+        dtype = logical_type(declared, hints.get("precision"), hints.get("scale"))
+        value = quoted(name) if name in rows.columns else F.lit(None)
+        metadata = dict(rows.schema[name].metadata or {}) if name in rows.columns else {}
+        columns[name] = value.cast(dtype).alias(name, metadata={**metadata, "logical": declared})
+    return rows.withColumns(columns) if columns else rows
+
+
 def _task(spec: LoadSpec, rows: DataFrame, action: str, files: list[str]) -> _Task:
     flag = resolve_hard_delete(spec)
     key = resolve_primary_key(spec)
@@ -341,7 +356,10 @@ def load_incremental(
     dtype = spec.data.schema[cursor].dataType
     low = None if last is None else F.lit(last).cast(dtype)
     fresh = since(spec.data, cursor, low, closed=closed)
-    high = fresh.agg(F.max(quoted(cursor)).cast("string")).first()[0]
+    top = F.max(quoted(cursor))
+    # an instant is stored with its offset, so a session in another zone reads the same one
+    as_text = F.date_format(top, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX") if isinstance(dtype, T.TimestampType) else top.cast("string")
+    high = fresh.agg(as_text).first()[0]
     if high is not None:
         fresh = since(fresh, cursor, up_to=F.lit(high).cast(dtype))
     key = resolve_primary_key(spec)

@@ -24,10 +24,14 @@ class LoadSpec:
     """A named input with its hints.
 
     ``data`` is a DataFrame or the ordered list of Parquet files of a package.
-    ``columns`` holds per-column hints (``primary_key``, ``hard_delete``, ``partition``,
-    ``sort``); the same names in ``StructField.metadata`` count too. ``order_by`` names
-    the columns that order the rows of a DataFrame, which a keyed batch with repeated
-    keys needs. ``nested`` turns structs into columns and arrays into child tables.
+
+    ``columns`` holds per-column hints: ``primary_key``, ``hard_delete``, ``partition`` and
+    ``sort``, which ``StructField.metadata`` may carry as well, and ``data_type`` with
+    ``precision`` and ``scale``.
+
+    ``order_by`` names the columns that order the rows of a DataFrame, which a keyed batch
+    with repeated keys needs. ``nested`` turns structs into columns and arrays into child
+    tables.
     """
 
     name: str

@@ -148,3 +148,18 @@ def test_merge_rewrites_only_the_partitions_it_touches(spark, dataset):
     after = {p["path"] for p in dataset.version("t").parts}
     assert len(before & after) == 3
     assert dataset.table("t").where("v = 'new'").count() == 2 and dataset.table("t").count() == 100
+
+
+def test_instants_are_partitioned_by_utc_whatever_the_session_zone(spark, dataset):
+    df = spark.range(0, 96).select("id", F.timestamp_seconds(F.col("id") * 1800).alias("ts"))
+    zones = ("America/Los_Angeles", "UTC", "Asia/Tokyo")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zones[0])
+        load(dataset, with_layout(LoadSpec("t", df), [("ts", "day")]))
+        assert sorted(p["path"].rsplit("=")[-1] for p in dataset.version("t").parts) == ["1970-01-01", "1970-01-02"]
+        for zone in zones:
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            low, high = F.timestamp_seconds(F.lit(3600 * 5)), F.timestamp_seconds(F.lit(3600 * 30))
+            assert dataset.table("t", between=("ts", low, high)).count() == 51
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -251,3 +251,18 @@ def test_row_ids_are_the_same_on_every_run(spark, dataset, tmp_path):
     load(dataset, LoadSpec("c", fs.data_files(spark, path)), load_id="L-a2")
     ids = [{r[0] for r in dataset.table(n).select("_dlt_id").collect()} for n in "ab"]
     assert len(ids[0]) == 50 and not ids[0] & ids[1]
+
+
+def test_declared_types(spark, dataset):
+    df = spark.createDataFrame([("1.5", 7, "1" + "0" * 60)], "price string, n int, total string")
+    columns = {
+        "price": {"data_type": "decimal"},
+        "n": {"data_type": "bigint"},
+        "total": {"data_type": "wei"},
+        "later": {"data_type": "date"},
+    }
+    load(dataset, LoadSpec("t", df, columns=columns))
+    types = dict(dataset.table("t").dtypes)
+    assert (types["price"], types["n"], types["total"], types["later"]) == ("decimal(38,9)", "bigint", "string", "date")
+    assert dataset.version("t").schema["total"].metadata["logical"] == "wei"
+    assert dataset.table("t").first()["total"] == "1" + "0" * 60

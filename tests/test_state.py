@@ -185,3 +185,17 @@ def test_cursor_predicate_reaches_the_scan(spark, tmp_path):
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(id), GreaterThan(id,3), LessThanOrEqual(id,7)]" in text
     assert plan.count() == 4
+
+
+def test_instant_cursor_survives_a_change_of_session_zone(spark, dataset):
+    def seen(n):
+        rows_ = spark.range(n).select("id", F.timestamp_seconds(F.col("id") * 3600 + 1_700_000_000).alias("at"))
+        return LoadSpec("events", rows_)
+
+    try:
+        for n, zone in ((3, "Asia/Tokyo"), (5, "America/Los_Angeles"), (5, "UTC")):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            load_incremental(dataset, seen(n), "at", pipeline="p")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert rows(dataset.table("events").select("id")) == [(i,) for i in range(5)]

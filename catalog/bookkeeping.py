@@ -9,14 +9,15 @@ from lodeworks import LoadSpec, load, load_incremental, stream_load
 from lodeworks.operators import bookkeeping as ops
 from lodeworks.plans import files as fs
 
-# Every event as a state row of its type's pipeline, and as a load that failed if its value is high.
+# Every event as a state row of its type's pipeline; every event but errors as a load, failed
+# if its value is high.
 _STATE = """
     SELECT event_type AS pipeline_name, lpad(CAST(event_id AS VARCHAR), 12, '0') AS _dlt_load_id,
            CAST(event_id AS VARCHAR) AS _dlt_id, props AS state FROM events
 """
 _LOADS = """
     SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') AS load_id, CASE WHEN value > 50 THEN 1 ELSE 0 END AS status
-    FROM events WHERE user_id <> 7
+    FROM events WHERE event_type <> 'error'
 """
 
 
@@ -30,7 +31,7 @@ def _state(spark, folder):
 
 
 def _loads(spark, folder):
-    return read(spark, folder, "events").where("user_id <> 7").select(
+    return read(spark, folder, "events").where("event_type <> 'error'").select(
         F.lpad(F.col("event_id").cast("string"), 12, "0").alias("load_id"),
         F.when(F.col("value") > 50, 1).otherwise(0).alias("status"),
     )

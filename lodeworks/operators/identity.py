@@ -17,8 +17,9 @@ LOAD_ID = "_dlt_load_id"
 def with_identity(df: DataFrame, load_id: str, order: Sequence[str] = ()) -> DataFrame:
     """Add ``_dlt_load_id`` and, unless the rows bring one, ``_dlt_id``.
 
-    With ``order`` (the columns that place a row in its package) the id is a digest of
-    load id and position, so a retried task or a repeated load gives the same id.
+    With ``order`` (columns that together place a row in its package, one row per place)
+    the id is a digest of load id and position, so a retried task or a repeated load gives
+    the same id.
     """
     added = {LOAD_ID: F.lit(load_id)}
     if ROW_ID not in df.columns:

@@ -67,6 +67,7 @@ class _Task:
     key: list[str] | None
     flag: str | None
     files: list[str]
+    fresh_ids: bool  # row ids made for this load, so none of them is stored yet
 
     @property
     def schema(self) -> T.StructType:
@@ -142,24 +143,29 @@ def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, default_disposition
         # child rows point at their parent, so the parent's id must come out the same in
         # every job: rows without an order get one from files written once
         staged = fs.shared_folder(dataset.spark) + "/rows"
-        rows.write.parquet(staged)
+        rows.drop(*(f.name for f in rows.schema.fields if isinstance(f.dataType, T.NullType))).write.parquet(staged)
         rows = read_package(dataset.spark, [staged])
     rows, spec = _normalized(rows, spec)
     rows = _typed(rows, spec)
     order = [normalize_identifier(c) for c in order]
-    position = [c for c in POSITION if c in rows.columns]
-    rows = with_identity(rows, load_id, position or order)
+    position = [c for c in POSITION if c in rows.columns] or order
+    key = resolve_primary_key(spec)
+    if key and position == order and (order or action == "upsert") and set(key) <= set(rows.columns):
+        # rows of different keys may share their place in the order
+        position = [*key, *order]
+    fresh_ids = ROW_ID not in rows.columns
+    rows = with_identity(rows, load_id, position)
     if not spec.nested:
         spec = replace(spec, data=rows, order_by=order)
-        return [_task(spec, rows, action, files)]
+        return [_task(spec, rows, action, files, fresh_ids)]
     frames = child_tables(rows, spec.target, spec.max_nesting)
     root, *children = frames.items()
     spec = replace(spec, data=root[1], order_by=order)
-    tasks = [_task(spec, root[1], action, files)]
+    tasks = [_task(spec, root[1], action, files, fresh_ids)]
     for table, frame in children:
         child = LoadSpec(table, frame, write_disposition=spec.write_disposition, merge_strategy=spec.merge_strategy)
         # child rows have no key but their own id
-        tasks.append(_task(replace(child, order_by=[ROW_ID]), frame, action, []))
+        tasks.append(_task(replace(child, order_by=[ROW_ID]), frame, action, [], fresh_ids))
     return tasks
 
 
@@ -191,12 +197,12 @@ def _typed(rows: DataFrame, spec: LoadSpec) -> DataFrame:
     return rows.withColumns(columns) if columns else rows
 
 
-def _task(spec: LoadSpec, rows: DataFrame, action: str, files: list[str]) -> _Task:
+def _task(spec: LoadSpec, rows: DataFrame, action: str, files: list[str], fresh_ids: bool) -> _Task:
     flag = resolve_hard_delete(spec)
     key = resolve_primary_key(spec)
     if flag is not None and flag not in rows.columns:
         flag = None
-    return _Task(spec.target, spec, rows, action, key, flag, files)
+    return _Task(spec.target, spec, rows, action, key, flag, files, fresh_ids)
 
 
 def _verify(dataset: Dataset, tasks: list[_Task]) -> None:
@@ -247,20 +253,24 @@ def _apply(dataset: Dataset, task: _Task, load_id: str) -> int:
     rows = conform(task.rows.select(*(quoted(c) for c in wanted)), T.StructType([*version.schema.fields, *position]))
     done = replace(version, loaded=True, last_load=load_id)
 
-    if task.action == "upsert":
-        key, flag = task.key or [ROW_ID], task.flag
-        if not task.key and flag:
-            # no extract repeats a row id, so a delete by row id has nothing to delete
-            rows, flag = split_hard_delete(rows, flag)[0], None
+    action, flag = task.action, task.flag
+    if action in ("upsert", "insert-only") and not task.key:
+        # a delete by row id has nothing to delete: no later load repeats an id
+        rows, flag = (split_hard_delete(rows, flag)[0], None) if flag else (rows, None)
+        # ids made for this load match no stored row, so there is nothing to look up
+        action = "append" if task.fresh_ids else action
+
+    if action == "upsert":
+        key = task.key or [ROW_ID]
         winners = last_per_key(rows, key, order=task.spec.order_by, hard_delete=flag)
         winners = winners if flag else winners.drop(DELETED)
         return _replace_keys(dataset, task.table, done, winners, key, DELETED if flag else None)
 
-    if task.action == "insert-only":
+    if action == "insert-only":
         existing = dataset.table(task.table, version=version)
-        rows = new_rows(existing, rows, task.key or [ROW_ID], hard_delete=task.flag)
+        rows = new_rows(existing, rows, task.key or [ROW_ID], hard_delete=flag)
     written = dataset.write_parts(task.table, version, rows.drop(*POSITION))
-    if task.action == "replace":
+    if action == "replace":
         done = replace(done, parts=written.parts, rows=written.rows)
     else:
         done = replace(done, parts=[*version.parts, *written.parts], rows=version.rows + written.rows)

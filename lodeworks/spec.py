@@ -30,7 +30,8 @@ class LoadSpec:
     ``precision`` and ``scale``.
 
     ``order_by`` names the columns that order the rows of a DataFrame, which a keyed batch
-    with repeated keys needs. ``nested`` turns structs into columns and arrays into child
+    with repeated keys needs; no two rows (of one key, if there is a key) may share a
+    place. ``nested`` turns structs into columns and arrays into child
     tables.
     """
 

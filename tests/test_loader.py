@@ -266,3 +266,27 @@ def test_declared_types(spark, dataset):
     assert (types["price"], types["n"], types["total"], types["later"]) == ("decimal(38,9)", "bigint", "string", "date")
     assert dataset.version("t").schema["total"].metadata["logical"] == "wei"
     assert dataset.table("t").first()["total"] == "1" + "0" * 60
+
+
+@pytest.mark.parametrize("disposition", ["append", "upsert", "insert-only", "replace"])
+def test_row_ids_are_unique_even_if_keys_share_a_place(spark, dataset, disposition):
+    df = spark.createDataFrame([(k, 1) for k in range(20)], "id long, at int")
+    load(dataset, LoadSpec("t", df, write_disposition=disposition, primary_key="id", order_by=["at"]), load_id="L")
+    ids = [r[0] for r in dataset.table("t").select("_dlt_id").collect()]
+    assert len(set(ids)) == 20
+
+
+def test_keyless_merge_keeps_equal_rows(spark, dataset):
+    df = spark.createDataFrame([(1, 1), (1, 1)], "id long, at int")
+    for _ in range(2):
+        load(dataset, LoadSpec("t", df, write_disposition="merge", order_by=["at"]))
+    assert dataset.table("t").count() == 4
+
+
+def test_keyless_merge_on_ids_the_rows_bring(spark, dataset):
+    def batch(*data):
+        return LoadSpec("t", spark.createDataFrame(list(data), "_dlt_id string, v long"), write_disposition="merge")
+
+    load(dataset, batch(("a", 1), ("b", 2)))
+    load(dataset, batch(("b", 3), ("c", 4)))
+    assert rows(dataset.table("t").select("_dlt_id", "v")) == [("a", 1), ("b", 3), ("c", 4)]

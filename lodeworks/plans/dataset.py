@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 
 from lodeworks.errors import UndefinedDatasetError, UndefinedTableError
 from lodeworks.functions.keys import guard_keys, quoted
+from lodeworks.functions.local import empty_frame, local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
 from lodeworks.functions.schema import conform, same_shape
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS
@@ -243,7 +244,7 @@ class Dataset:
         for name in self.table_names() if names is None else names:
             version = self.version(name)
             rows.append((name, version.loaded, version.rows))
-        return self.spark.createDataFrame(rows, "table string, loaded boolean, row_count bigint")
+        return local_frame(self.spark, rows, "table string, loaded boolean, row_count bigint")
 
     def table(
         self,
@@ -283,7 +284,7 @@ class Dataset:
         technical += [T.StructField(k.derived, T.StringType()) for k in version.partitions]
         full = T.StructType([*current.fields, *technical])
         if not parts:
-            return self.spark.createDataFrame([], full)
+            return empty_frame(self.spark, full)
         return reduce(DataFrame.unionByName, (conform(f, full) for f, _ in self._frames(name, version, parts, technical)))
 
     def _frames(
@@ -492,6 +493,6 @@ class Dataset:
         """
         version = self.version(table)
         if version is None or not version.loaded:
-            return self.spark.createDataFrame([], SCHEMAS[table])
+            return empty_frame(self.spark, SCHEMAS[table])
         return self.table(table, version=version)
 

@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from lodeworks.errors import DuplicateKeyError, LayoutError, LoadError, NullKeyError
 from lodeworks.functions.keys import NULL_KEY, guard_keys, quoted, split_hard_delete
+from lodeworks.functions.local import local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
 from lodeworks.functions.nested import child_tables
 from lodeworks.functions.schema import conform, logical_type, merge_schemas
@@ -120,12 +121,12 @@ def _report(spark, tasks: list[_Task], written: dict[str, int]) -> DataFrame:
     frames = []
     plain = [(t.table, None, written[t.table]) for t in tasks if not t.files and t.table in written]
     if plain:
-        frames.append(spark.createDataFrame(plain, "table string, file string, rows bigint"))
+        frames.append(local_frame(spark, plain, "table string, file string, rows bigint"))
     for t in tasks:
         if t.files:
             frames.append(rows_per_file(spark, t.files).select(F.lit(t.table).alias("table"), "file", "rows"))
     if not frames:
-        return spark.createDataFrame([], "table string, file string, rows bigint")
+        return local_frame(spark, [], "table string, file string, rows bigint")
     return reduce(DataFrame.unionByName, frames)
 
 

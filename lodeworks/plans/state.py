@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.errors import ConcurrentPublishError
+from lodeworks.functions.local import local_frame
 from lodeworks.operators import bookkeeping as ops
 from lodeworks.operators.bookkeeping import COMPLETED, LOADS_TABLE, SCHEMAS, STATE_TABLE, VERSION_TABLE
 from lodeworks.plans.dataset import Dataset
@@ -30,7 +31,7 @@ def _now() -> datetime:
 
 
 def _append_row(dataset: Dataset, table: str, row: tuple) -> None:
-    dataset.append_rows(table, dataset.spark.createDataFrame([row], SCHEMAS[table]))
+    dataset.append_rows(table, local_frame(dataset.spark, [row], SCHEMAS[table]))
 
 
 def is_complete(dataset: Dataset, load_id: str) -> bool:

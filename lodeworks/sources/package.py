@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodeworks.errors import LoadError
+from lodeworks.functions.local import local_frame
 from lodeworks.functions.schema import conform, merge_schemas
 from lodeworks.operators.merge import FILE_SEQ, ROW_SEQ
 from lodeworks.plans import files as fs
@@ -54,7 +55,7 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 def file_order(spark: SparkSession, listed: Sequence[str]) -> DataFrame:
     """(file, sequence number): one row per file, so as small as the file list."""
     rows = [(fs.uri(spark, path), seq) for seq, path in enumerate(listed)]
-    return spark.createDataFrame(rows, T.StructType().add(_FILE, "string").add(FILE_SEQ, "integer"))
+    return local_frame(spark, rows, T.StructType().add(_FILE, "string").add(FILE_SEQ, "integer"))
 
 
 def in_file_order(rows: DataFrame, listed: Sequence[str]) -> DataFrame:

@@ -166,3 +166,11 @@ def test_hot_key_is_reduced_before_the_shuffle(spark):
     new = spark.range(0, 1000, 1, 4).select(F.lit(1).alias("k"), F.col("id").alias("n"))
     plan = merge.last_per_key(new, ["k"], order=["n"])._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan and "Window" not in plan
+
+
+def test_an_empty_table_costs_no_join(spark):
+    from lodeworks.functions.local import empty_frame
+
+    new = spark.range(5).withColumn("v", F.lit("a"))
+    plan = merge.insert_only(empty_frame(spark, new.schema), new, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan

@@ -136,3 +136,9 @@ def test_series_with_a_null_token(spark, tmp_path):
     (tmp_path / "s.csv").write_text("observation_date,X\n2024-01-01,1.5\n2024-01-02,.\n")
     got = read_series(spark, str(tmp_path / "s.csv"), "rate", date_column="observation_date")
     assert [(str(d), v) for d, v in rows(got)] == [("2024-01-01", 1.5), ("2024-01-02", None)]
+
+
+def test_file_order_is_broadcast_by_its_size(spark, tmp_path):
+    spark.range(30).repartition(3).write.parquet(str(tmp_path / "f"))
+    plan = read_package(spark, [str(tmp_path / "f")])._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan

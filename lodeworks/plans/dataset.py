@@ -100,6 +100,11 @@ class Written:
     bounds: dict  # key column -> (lowest, highest) of all rows, dead ones included
 
 
+def _part_of(file: str) -> str:
+    """The part directory of a file as ``Dataset.file_of_row`` names it."""
+    return f"{PART}={unquote(file.rpartition('/')[0])}"
+
+
 class Dataset:
     """Tables of one namespace in one directory."""
 
@@ -409,38 +414,56 @@ class Dataset:
         so that row groups outside it are skipped. Only those files are rewritten; files
         that lose every row are left out unread, and all other files stay where they are.
         """
-        hits = self._matched_rows(table, version, keys, key, bounds)
+        matched = self._matched_rows(table, version, keys, key, bounds)
+        spare = _REPLACED_FILES - sum(len(p.get("without", ())) for p in version.parts)
+        lines = matched.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).limit(max(spare, 0) + 1).collect()
+        if len(lines) > spare:
+            return self._directories_without_keys(table, version, matched, keys, key)
+        hits = {r["__file"]: r["n"] for r in lines}
         if not hits:
             return version.parts, 0
         by_part: dict[str, list[str]] = {}
         for file in hits:
-            by_part.setdefault(f"{PART}={unquote(file.rpartition('/')[0])}", []).append(file)
-        replaced = sum(len(p.get("without", ())) for p in version.parts) + len(hits)
-        sizes = {} if replaced > _REPLACED_FILES else self._file_rows(table, version, by_part)
+            by_part.setdefault(_part_of(file), []).append(file)
+        sizes = self._file_rows(table, version, by_part)
         parts, rewrite = [], []
         for part in version.parts:
             mine = by_part.get(part["path"])
             if mine is None:
                 parts.append(part)
-            elif not sizes:
-                rewrite.append(part)
-            else:
-                some_stay = [f for f in mine if sizes[f] > hits[f]]
-                if some_stay:
-                    rewrite.append({"path": part["path"], "schema": part["schema"], "only": some_stay})
-                gone = sorted({*part.get("without", ()), *mine})
-                if len(fs.data_files(self.spark, f"{self._home(table)}/data/{part['path']}")) > len(gone):
-                    parts.append({**part, "without": gone})
-        if rewrite:
-            existing = self.scan(table, version, rewrite).select(*(quoted(c) for c in version.schema.names))
-            kept = keep_unmatched(guard_keys(existing, key, "existing"), keys, key)
-            parts += self.write_parts(table, version, kept).parts
-        return parts, sum(hits.values())
+                continue
+            some_stay = [f for f in mine if sizes[f] > hits[f]]
+            if some_stay:
+                rewrite.append({"path": part["path"], "schema": part["schema"], "only": some_stay})
+            gone = sorted({*part.get("without", ()), *mine})
+            if fs.count_files(self.spark, f"{self._home(table)}/data/{part['path']}") > len(gone):
+                parts.append({**part, "without": gone})
+        return [*parts, *self._rewritten(table, version, rewrite, keys, key)], sum(hits.values())
+
+    def _directories_without_keys(
+        self, table: str, version: TableVersion, matched: DataFrame, keys: DataFrame, key: Sequence[str]
+    ) -> tuple[list[dict], int]:
+        """The same for a batch that touches more files than a version may name: by directory."""
+        folder = F.regexp_extract("__file", "^(.*)/", 1).alias("folder")
+        lines = matched.groupBy(folder).agg(F.count(F.lit(1)).alias("n")).collect()
+        touched = {_part_of(f"{r['folder']}/"): r["n"] for r in lines}
+        parts = [p for p in version.parts if p["path"] not in touched]
+        rewrite = [p for p in version.parts if p["path"] in touched]
+        return [*parts, *self._rewritten(table, version, rewrite, keys, key)], sum(touched.values())
+
+    def _rewritten(
+        self, table: str, version: TableVersion, parts: Sequence[dict], keys: DataFrame, key: Sequence[str]
+    ) -> list[dict]:
+        if not parts:
+            return []
+        existing = self.scan(table, version, parts).select(*(quoted(c) for c in version.schema.names))
+        kept = keep_unmatched(guard_keys(existing, key, "existing"), keys, key)
+        return self.write_parts(table, version, kept).parts
 
     def _matched_rows(
         self, table: str, version: TableVersion, keys: DataFrame, key: Sequence[str], bounds: Mapping[str, tuple]
-    ) -> dict[str, int]:
-        """file -> rows whose key is listed; one line per file that holds any."""
+    ) -> DataFrame:
+        """One row, naming its file, for every table row whose key is listed."""
         frames = []
         for frame, written in self._frames(table, version, version.parts):
             for c, (low, high) in bounds.items():
@@ -452,10 +475,9 @@ class Dataset:
             ]
             frames.append(frame.select(*columns, self.file_of_row().alias("__file")))
         if not frames:
-            return {}
+            return empty_frame(self.spark, T.StructType().add("__file", "string"))
         keyed = guard_keys(reduce(DataFrame.unionByName, frames), key, "existing")
-        matched = keyed.join(keys.select(*(quoted(k) for k in key)), list(key), "left_semi")
-        return {r["__file"]: r["n"] for r in matched.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return keyed.join(keys.select(*(quoted(k) for k in key)), list(key), "left_semi").select("__file")
 
     def _file_rows(self, table: str, version: TableVersion, by_part: Mapping[str, list[str]]) -> dict[str, int]:
         """file -> all its rows, from the footers of the named files."""

@@ -50,7 +50,21 @@ def children(spark: SparkSession, path: str) -> list[str]:
     system, p = _open(spark, path)
     if not system.exists(p):
         return []
-    return sorted(status.getPath().getName() for status in system.listStatus(p))
+    statuses = system.listStatus(p)
+    paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)
+    # "{<folder>/a,<folder>/b}": one call for all names, as a directory may hold very many
+    text = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)
+    names = f",{text[1:-1]}".split(f",{system.makeQualified(p).toString()}/")[1:]
+    if len(names) != len(statuses):
+        names = [status.getPath().getName() for status in statuses]
+    return sorted(names)
+
+
+def count_files(spark: SparkSession, path: str) -> int:
+    """Number of data files directly inside a directory that a write made."""
+    system, p = _open(spark, path)
+    _, marker = _open(spark, f"{path}/_SUCCESS")
+    return len(system.listStatus(p)) - int(system.exists(marker))
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:

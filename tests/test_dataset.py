@@ -208,7 +208,7 @@ def test_only_rows_in_the_keys_range_are_looked_at(spark, dataset):
     keys = spark.createDataFrame([(7,), (9,)], "id long")
     for bounds, found in (({}, 2), ({"id": (7, 9)}, 2), ({"id": (8, 9)}, 1)):
         hits = dataset._matched_rows("t", dataset.version("t"), keys, ["id"], bounds)
-        assert sum(hits.values()) == found
+        assert hits.count() == found
 
 
 @pytest.mark.parametrize("key_type", ["string", "int", "date", "decimal(10,2)", "timestamp", "binary"])
@@ -227,3 +227,11 @@ def test_keys_of_any_type(spark, dataset, key_type):
     load(dataset, batch(range(5, 12), "b"))
     assert rows(dataset.table("t").groupBy("v").count()) == [("a", 5), ("b", 7)]
     assert dataset.version("t").rows == 12
+
+
+def test_listing_keeps_odd_names_apart(spark, tmp_path):
+    names = sorted(["a", "b,c", "d e", "{f}", "g=h%20", "é"])
+    for name in names:
+        (tmp_path / name).mkdir()
+    assert fs.children(spark, str(tmp_path)) == names
+    assert fs.children(spark, str(tmp_path / "a")) == fs.children(spark, str(tmp_path / "missing")) == []

@@ -8,12 +8,14 @@ running it again under the same id changes nothing.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
 from datetime import datetime, timezone
 from functools import reduce
 from typing import Any
 
+from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,6 +57,7 @@ from lodeworks.spec import (
 )
 
 POSITION = (FILE_SEQ, ROW_SEQ)
+_TABLES_AT_ONCE = 4
 
 
 @dataclass(frozen=True)
@@ -99,21 +102,32 @@ def load(
     tasks = [t for spec in specs for t in _prepare(dataset, spec, load_id, default_disposition)]
     _verify(dataset, tasks)
 
-    lines = []
+    written: dict[str, int] = {}
     if not bookkeeping.is_complete(dataset, load_id):
         _declare(dataset, tasks)
-        for task in tasks:
-            # a load that broke off after this table was published goes on with the next
-            if dataset.version(task.table).last_load != load_id:
-                with _named_errors():
-                    written = _apply(dataset, task, load_id)
-                lines.append((task.table, written))
+        # a load that broke off after some tables were published goes on with the others
+        left = [t for t in tasks if dataset.version(t.table).last_load != load_id]
+        written = _apply_all(dataset, left, load_id)
         version_hash = bookkeeping.update_stored_schema(dataset, schema_name)
         if pipeline is not None:
             bookkeeping.save_state(dataset, pipeline, state, load_id)
         bookkeeping.complete_load(dataset, load_id, schema_name, version_hash)
         bookkeeping.prune_pipeline_state(dataset, max_state_rows)
-    return _report(spark, tasks, dict(lines))
+    return _report(spark, tasks, written)
+
+
+def _apply_all(dataset: Dataset, tasks: list[_Task], load_id: str) -> dict[str, int]:
+    """Load each table, a few at a time: tables share nothing, so their jobs may overlap."""
+
+    def one(task: _Task) -> int:
+        with _named_errors():
+            return _apply(dataset, task, load_id)
+
+    if len(tasks) < 2:
+        return {t.table: one(t) for t in tasks}
+    with ThreadPoolExecutor(_TABLES_AT_ONCE) as pool:
+        running = {t.table: pool.submit(inheritable_thread_target(dataset.spark)(one), t) for t in tasks}
+    return {table: future.result() for table, future in running.items()}
 
 
 def _report(spark, tasks: list[_Task], written: dict[str, int]) -> DataFrame:

@@ -24,7 +24,7 @@ def _is_nested(dtype: T.DataType) -> bool:
     return isinstance(dtype, (T.StructType, T.ArrayType, T.MapType))
 
 
-def _leaves(value: Column, dtype: T.DataType, name: str, depth: int, arrays: bool) -> list[tuple[str, Column, T.DataType, int]]:
+def _leaves(value: Column, dtype: T.DataType, name: str, depth: int) -> list[tuple[str, Column, T.DataType, int]]:
     """(name, expression, type, levels left) of every column one value becomes."""
     if not _is_nested(dtype):
         return [(name, value, dtype, depth)]
@@ -33,7 +33,7 @@ def _leaves(value: Column, dtype: T.DataType, name: str, depth: int, arrays: boo
     if isinstance(dtype, T.StructType):
         out = []
         for f in dtype.fields:
-            out += _leaves(value.getField(f.name), f.dataType, f"{name}{SEPARATOR}{f.name}", depth - 1, arrays)
+            out += _leaves(value.getField(f.name), f.dataType, f"{name}{SEPARATOR}{f.name}", depth - 1)
         return out
     return [(name, value, dtype, depth)]
 
@@ -42,7 +42,7 @@ def flatten_struct(df: DataFrame, max_nesting: int = MAX_NESTING) -> DataFrame:
     """Struct fields as ``parent__field`` columns; below ``max_nesting`` levels, JSON text."""
     columns = []
     for f in df.schema.fields:
-        for name, value, _, _ in _leaves(quoted(f.name), f.dataType, f.name, max_nesting, False):
+        for name, value, _, _ in _leaves(quoted(f.name), f.dataType, f.name, max_nesting):
             columns.append(value.alias(name))
     return df.select(*columns)
 
@@ -62,7 +62,7 @@ def child_tables(df: DataFrame, table: str, max_nesting: int = MAX_NESTING) -> d
 def _collect(df: DataFrame, table: str, depths: dict[str, int], out: dict[str, DataFrame]) -> None:
     kept, lists = [], []
     for f in df.schema.fields:
-        for name, value, dtype, depth in _leaves(quoted(f.name), f.dataType, f.name, depths[f.name], True):
+        for name, value, dtype, depth in _leaves(quoted(f.name), f.dataType, f.name, depths[f.name]):
             if isinstance(dtype, T.ArrayType):
                 lists.append((name, value, dtype, depth))
             else:

@@ -98,12 +98,8 @@ def _merge_numbers(a: T.DataType, b: T.DataType) -> T.DataType | None:
     if None in sizes:
         return None
     integral, scale = (max(s[i] for s in sizes) for i in (0, 1))
-    return _wide_decimal(integral + scale, scale)
-
-
-def _wide_decimal(precision: int, scale: int) -> T.DecimalType:
-    # DecimalType refuses nothing on the Python side; the caller reports > 38
-    return T.DecimalType(precision, scale)
+    # more than 38 digits are possible here; the caller refuses them
+    return T.DecimalType(integral + scale, scale)
 
 
 def merge_schemas(a: T.StructType, b: T.StructType, path: str = "") -> T.StructType:

@@ -7,6 +7,11 @@ from lodeworks.functions.names import check_names, normalize_identifier
 from lodeworks.functions.schema import conform, logical_type, merge_schemas, merge_types
 
 
+@pytest.fixture(autouse=True)
+def session(spark):
+    """DDL text is parsed by a session."""
+
+
 def kind(ddl):
     return T.StructType.fromDDL(f"x {ddl}")["x"].dataType
 

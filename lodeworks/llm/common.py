@@ -88,13 +88,22 @@ def block_pairs(df: DataFrame, keys: list[str], by: Column, size: int) -> DataFr
     each row goes to every pair (i, j), i <= j, of blocks with its own in it. Columns added:
     i, j and own (the row's block). All pairs are met once, in about (rows / size)^2 / 2 tasks.
     """
+    return grouped(dealt_blocks(df, keys, by, size), [*keys, "i", "j"])
+
+
+def grouped(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Partitions that hold whole groups, in the order ``runs`` needs."""
+    return df.repartition(*keys).sortWithinPartitions(*keys)
+
+
+def dealt_blocks(df: DataFrame, keys: list[str], by: Column, size: int) -> DataFrame:
+    """The rows of ``block_pairs``, not yet moved to their tasks."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
     counts = counts.select(*keys, F.ceil(F.col("members") / size).cast("int").alias("blocks"))
     dealt = df.join(counts, keys).withColumn("own", F.pmod(F.xxhash64(by, F.lit(7)), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
-    dealt = dealt.drop("other", "blocks")
-    return dealt.repartition(*keys, "i", "j").sortWithinPartitions(*keys, "i", "j")
+    return dealt.drop("other", "blocks")
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[pa.Table, np.ndarray]]:
@@ -119,6 +128,19 @@ def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[tuple[p
         yield rest, np.array([0, rest.num_rows])
 
 
+def vectors(embedding: Column) -> Column:
+    """Whether an array can be compared: it has components, all finite, not all zero."""
+    finite = F.forall(embedding, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    return F.coalesce(finite & F.exists(embedding, lambda x: x != 0), F.lit(False))
+
+
+def matrix(column: pa.ChunkedArray | pa.Array, kind: str = "<f8") -> np.ndarray:
+    """A column of equally long arrays as rows."""
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(column), -1).astype(kind, copy=False)
+
+
 def spanning(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For links a-b: each node but the smallest of its component, with that smallest one."""
     if not len(a):

@@ -19,47 +19,68 @@ from pyspark.sql import functions as F
 from lodeworks.llm.common import components, dealt_blocks, grouped, matrix, runs, ship, spanning, stored, vectors
 from lodeworks.llm.registry import query, read
 
+#: Fixed caps below so many components; their height lets pairs of cosine 0.9 share most of a cap.
+_FEW, _HEIGHT = 16, 0.75
 
-def codes(dim: int, size: int, seed: int) -> list[np.ndarray]:
-    """Random unit vectors for each half of ``dim`` components (one part only if there is one component)."""
-    parts = [dim - dim // 2, dim // 2] if dim > 1 else [1]
-    made = []
-    for k, width in enumerate(parts):
-        c = np.random.default_rng([seed, dim, k]).standard_normal((size, width))
-        made.append(c / np.linalg.norm(c, axis=1, keepdims=True))
-    return made
-
-
-def decode(unit: np.ndarray, tables: list[np.ndarray], height: float) -> list[np.ndarray]:
-    """For each row, the sorted numbers of all directions whose product with it is ``height`` / sqrt(dim) or more."""
-    dim = unit.shape[1]
-    if len(tables) == 1:
-        return [np.flatnonzero(row >= min(height, 0.9) / np.sqrt(dim)).astype(np.int32) for row in unit @ tables[0].T]
-    cut, width, size = height * np.sqrt(2 / dim), tables[0].shape[1], len(tables[1])
-    first, second = unit[:, :width] @ tables[0].T, unit[:, width:] @ tables[1].T
-    found = []
-    for a, b in zip(first, second):
-        # only entries that can reach the cut with the best partner are paired at all
-        x, y = np.flatnonzero(a >= cut - b.max()), np.flatnonzero(b >= cut - a.max())
-        i, j = np.nonzero(a[x][:, None] + b[y][None, :] >= cut)
-        found.append((x[i] * size + y[j]).astype(np.int32))  # rising, as x and y are
-    return found
-
-
-def _decoded(batches: Iterator[pa.RecordBatch], size: int, height: float, seed: int) -> Iterator[pa.RecordBatch]:
-    tables: dict[int, list[np.ndarray]] = {}
+
+class Caps:
+    """The code for vectors of one length, and the height of its caps.
+
+    Vectors are rotated at random, so that no half is empty. The height is the quantile of a
+    random vector's products with all directions that leaves it ``filters`` of them. Under
+    ``_FEW`` components such caps would be narrower than the pairs looked for: one code of
+    single directions then has caps of a fixed height, and as many as give ``filters``.
+    """
+
+    def __init__(self, dim: int, filters: int, size: int, seed: int) -> None:
+        def directions(width: int, n: int, part: int) -> np.ndarray:
+            c = np.random.default_rng([seed, dim, part]).standard_normal((n, width))
+            return c / np.linalg.norm(c, axis=1, keepdims=True)
+
+        self.turn, _ = np.linalg.qr(np.random.default_rng([seed, dim, 9]).standard_normal((dim, dim)))
+        trial = directions(dim, 32, 3)
+        if dim < _FEW:
+            self.cut = _HEIGHT
+            share = (directions(dim, 200_000, 4) @ trial[0] >= _HEIGHT).mean()
+            self.tables = [directions(dim, int(np.ceil(filters / max(share, 1e-4))), 0)]
+        else:
+            self.tables = [directions(dim - dim // 2, size, 0), directions(dim // 2, size, 1)]
+            first, second = self._products(trial)
+            sums = (first[:, :, None] + second[:, None, :]).ravel()
+            at = len(sums) - 1 - min(len(sums) - 1, filters * len(trial))
+            self.cut = float(np.partition(sums, at)[at])
+
+    def _products(self, unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        turned, width = unit @ self.turn, self.tables[0].shape[1]
+        return turned[:, :width] @ self.tables[0].T, turned[:, width:] @ self.tables[1].T
+
+    def decode(self, unit: np.ndarray) -> list[np.ndarray]:
+        """For each row, the sorted numbers of all directions whose cap it lies in."""
+        if len(self.tables) == 1:
+            return [np.flatnonzero(row >= self.cut).astype(np.int32) for row in unit @ self.tables[0].T]
+        size, found = len(self.tables[1]), []
+        for a, b in zip(*self._products(unit)):
+            # only entries that can reach the cut with the best partner are paired at all
+            x, y = np.flatnonzero(a >= self.cut - b.max()), np.flatnonzero(b >= self.cut - a.max())
+            i, j = np.nonzero(a[x][:, None] + b[y][None, :] >= self.cut)
+            found.append((x[i] * size + y[j]).astype(np.int32))  # rising, as x and y are
+        return found
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], expected: int, size: int, seed: int) -> Iterator[pa.RecordBatch]:
+    caps: dict[int, Caps] = {}
     for batch in batches:
         column = batch.column("embedding")
         lengths = np.array(column.value_lengths())
         filters = np.empty(len(column), object)
         for dim in np.unique(lengths).tolist():
             at = np.flatnonzero(lengths == dim)
-            tables.setdefault(dim, codes(dim, size, seed))
+            caps[dim] = caps.get(dim) or Caps(dim, expected, size, seed)
             for k in range(0, len(at), 2048):
                 part = at[k : k + 2048]
                 x = matrix(column.take(pa.array(part)))
                 x = x / np.abs(x).max(axis=1, keepdims=True)
-                for row, f in zip(part, decode(x / np.linalg.norm(x, axis=1, keepdims=True), tables[dim], height)):
+                for row, f in zip(part, caps[dim].decode(x / np.linalg.norm(x, axis=1, keepdims=True))):
                     filters[row] = f
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(c) for c in ("rep", "mark", "copies", "embedding")], pa.array(lengths, pa.int32()), pa.array(list(filters), pa.list_(pa.int32()))],
@@ -151,14 +172,13 @@ def _verified_part(table: pa.Table, bounds: np.ndarray, cosine: float) -> pa.Rec
     )
 
 
-def link_embeddings(rows: DataFrame, cosine: float = 0.9, code_size: int = 384, height: float = 3.6, block: int = 1024, seed: int = 1) -> DataFrame:
+def link_embeddings(rows: DataFrame, cosine: float = 0.9, filters: int = 24, code_size: int = 384, block: int = 1024, seed: int = 1) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept.
 
     Vectors link if their cosine, in double precision, is ``cosine`` or more and they share a
-    filter. Equal vectors are one class with a count from the start. ``height`` is the
-    threshold in standard deviations of a random product, ``code_size`` the vectors per code:
-    a vector gets about code_size^2 * P(normal > height) filters, and a filter about
-    rows * P(normal > height) vectors; raise both for larger tables. A filter with over
+    filter. Equal vectors are one class with a count from the start. A vector gets about
+    ``filters`` of code_size^2 directions, and a direction about rows * filters / code_size^2
+    vectors, so ``code_size`` should grow as the square root of the table. A filter with over
     ``block`` vectors is verified in pairs of blocks. A pair counts in its first common filter
     only; tasks return counts per vector and spanning trees, never the pairs.
 
@@ -173,7 +193,7 @@ def link_embeddings(rows: DataFrame, cosine: float = 0.9, code_size: int = 384,
     classes = sound.groupBy("mark", "mark2").agg(F.min("vec_id").alias("rep"), F.min_by("embedding", "vec_id").alias("embedding"), F.count(F.lit(1)).alias("copies"))
     schema = classes.select("rep", "mark", "copies", "embedding").schema.add("dim", "integer")
     decoded = classes.select("rep", "mark", "copies", "embedding").mapInArrow(
-        lambda it: _decoded(it, code_size, height, seed), f"rep long, mark long, copies long, embedding {schema['embedding'].dataType.simpleString()}, dim int, filters array<int>"
+        lambda it: _decoded(it, filters, code_size, seed), f"rep long, mark long, copies long, embedding {schema['embedding'].dataType.simpleString()}, dim int, filters array<int>"
     )
     decoded = stored(decoded)
     narrow = decoded.select("rep", "mark", "dim", F.explode("filters").alias("filter"))

@@ -83,11 +83,11 @@ def fit(x: Sparse, grades: np.ndarray, ridge: float = 1e-3, steps: int = 400, ra
     """Maximum likelihood with a ridge, by Adam; the same input gives the same model.
 
     Without rows, or with one grade only, the model has no weights and its thresholds give
-    the shares of the grades seen.
+    the shares of the grades seen (a quarter each tail, if none was).
     """
     top = max(1, int(grades.max(initial=0)))
     n = x.n
-    tail = np.array([((grades >= k).sum() + 0.5) / (n + 1) for k in range(1, top + 1)])
+    tail = np.array([((grades >= k).sum() + 0.5) / (n + 2) for k in range(1, top + 1)])
     cuts = -np.log(tail / (1 - tail))
     chosen, _ = telling(x, grades)
     if not len(chosen):

@@ -50,35 +50,48 @@ def _worded(text: str) -> tuple[list[tuple[int, int]], list[list[bytes]]]:
     return [x for x, w in zip(bounds, words) if w], [w for w in words if w]
 
 
-def span_hashes(text: str, run: int, min_words: int) -> tuple[list[int], list[bytes]]:
-    """Starts (numbers of sentences) and 128-bit hashes of all runs of ``run`` sentences with ``min_words`` words."""
+def runs_of(counts: list[int], run: int, min_words: int) -> list[tuple[int, int]]:
+    """Bounds of the shortest runs from each sentence on, and up to each, with ``run`` sentences and ``min_words`` words.
+
+    Both ways, so that of a passage that stands twice every sentence lies in a run inside it.
+    """
+    n, before = len(counts), np.cumsum([0, *counts])
+    at = np.arange(n + 1)
+    ends = np.maximum(at + run, np.searchsorted(before, before + min_words))
+    starts = np.minimum(at - run, np.searchsorted(before, before - min_words, "right") - 1)
+    ahead, back = ends <= n, starts >= 0
+    return sorted({*zip(at[ahead].tolist(), ends[ahead].tolist()), *zip(starts[back].tolist(), at[back].tolist())})
+
+
+def span_hashes(text: str, run: int, min_words: int) -> tuple[list[tuple[int, int]], list[bytes]]:
+    """Bounds (numbers of sentences) and 128-bit hashes of the text's runs."""
     _, words = _worded(text)
     joined = [b" ".join(w) for w in words]
-    before = np.cumsum([0, *map(len, words)])
-    starts = np.flatnonzero(before[run:] - before[:-run] >= min_words).tolist() if len(words) >= run else []
-    return starts, [xxhash.xxh3_128_digest(b" ".join(joined[k : k + run])) for k in starts]
+    bounds = runs_of([len(w) for w in words], run, min_words)
+    return bounds, [xxhash.xxh3_128_digest(b" ".join(joined[a:b])) for a, b in bounds]
 
 
 def _spans(batches: Iterator[pa.RecordBatch], run: int, min_words: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts, starts, hashes = [], [], []
+        counts, bounds, hashes = [], [], []
         for text in texts(batch.column("body")):
             at, found = span_hashes(text, run, min_words)
             counts.append(len(at))
-            starts += at
+            bounds += at
             hashes += found
         of = pa.array(np.repeat(np.arange(batch.num_rows), counts))
         h = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
+        ab = np.array(bounds, np.int32).reshape(-1, 2)
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc").take(of), batch.column("row").take(of), pa.array(starts, pa.int32()), pa.array(h[:, 0].copy()), pa.array(h[:, 1].copy())],
-            ["doc", "row", "pos", "h1", "h2"],
+            [batch.column("doc").take(of), batch.column("row").take(of), *[pa.array(x.copy()) for x in (ab[:, 0], ab[:, 1], h[:, 0], h[:, 1])]],
+            ["doc", "row", "pos", "stop", "h1", "h2"],
         )
 
 
-def remove_runs(text: str, starts: list[int], run: int) -> tuple[str, int]:
-    """The text without the runs that begin at these sentences, and how many sentences went."""
+def remove_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
+    """The text without these runs of sentences, and how many sentences went."""
     bounds, _ = _worded(text)
-    gone = [bounds[k] for k in sorted({k for s in starts for k in range(s, s + run)})]
+    gone = [bounds[k] for k in sorted({k for a, b in runs for k in range(a, b)})]
     kept, at = [], 0
     for a, b in gone:
         kept.append(text[at:a])
@@ -86,9 +99,10 @@ def remove_runs(text: str, starts: list[int], run: int) -> tuple[str, int]:
     return "".join([*kept, text[at:]]), len(gone)
 
 
-def _removed(batches: Iterator[pa.RecordBatch], run: int) -> Iterator[pa.RecordBatch]:
+def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        found = [remove_runs(t, s, run) if s else (t, 0) for t, s in zip(texts(batch.column("body")), batch.column("starts").to_pylist())]
+        runs = [[(x["pos"], x["stop"]) for x in r or ()] for r in batch.column("runs").to_pylist()]
+        found = [remove_runs(t, r) if r else (t, 0) for t, r in zip(texts(batch.column("body")), runs)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc"), batch.column("whole"), pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())],
             ["doc", "whole", "left", "n_removed"],
@@ -99,26 +113,26 @@ def _cleaned(docs: DataFrame, run: int, min_words: int) -> DataFrame:
     """doc, whole (all columns), left (the text that stays), n_removed (sentences)."""
     ship(docs.sparkSession)
     rows = packed(docs)
-    spans = rows.select("doc", "row", "body").mapInArrow(lambda it: _spans(it, run, min_words), "doc long, row long, pos int, h1 long, h2 long")
+    spans = rows.select("doc", "row", "body").mapInArrow(lambda it: _spans(it, run, min_words), "doc long, row long, pos int, stop int, h1 long, h2 long")
     at = F.struct("doc", "row", "pos")
     # copies of a passage are summed up in each task first, so a very common one is a row per task
     repeated = spans.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2", "first")
     repeated = stored(repeated)  # read from files, it is a plain side of the join, whose hot keys Spark may then split
     later = spans.join(repeated, ["h1", "h2"]).where(at != F.col("first"))
-    starts = later.groupBy("doc", "row").agg(F.collect_set("pos").alias("starts"))
-    joined = rows.join(starts, ["doc", "row"], "left").select("doc", "whole", "body", "starts")
+    covered = later.groupBy("doc", "row").agg(F.collect_set(F.struct("pos", "stop")).alias("runs"))
+    joined = rows.join(covered, ["doc", "row"], "left").select("doc", "whole", "body", "runs")
     schema = joined.select("doc", "whole").schema.add("left", "string").add("n_removed", "long")
-    return joined.mapInArrow(lambda it: _removed(it, run), schema)
+    return joined.mapInArrow(_removed, schema)
 
 
 def dedup_spans(docs: DataFrame, run: int = 3, min_words: int = 15) -> DataFrame:
     """The documents without the sentences of passages that stand earlier already.
 
-    Every run of ``run`` consecutive sentences with ``min_words`` words or more is compared
-    with every other of the corpus by its words, A-Z in lower case. Of equal runs the first
-    by (doc_id, place) stays; every sentence that another covers goes, the rest of the text
-    is left as it was, to the character. Long sentences count as several (see ``sentences``),
-    so a passage of over 50 words always holds a run.
+    Runs of consecutive sentences, ``run`` or more of them with ``min_words`` words or more
+    (see ``runs_of``), are compared with all others of the corpus by their words, A-Z in lower
+    case. Of equal runs the first by (doc_id, place) stays; every sentence that another covers
+    goes, the rest of the text is left as it was, to the character. Long sentences count as
+    several (see ``sentences``), so a passage of over 50 words always holds a run.
 
     Null text stays null. A document may end up empty but is never dropped. Rows without
     doc_id are one document after all others; rows alike in id and text are one place, so
@@ -137,19 +151,6 @@ def span_report(docs: DataFrame, run: int = 3, min_words: int = 15) -> DataFrame
     )
 
 
-def brute_force(documents: list[tuple[int, str]], run: int = 3, min_words: int = 15) -> dict[int, str]:
-    """The texts that stay, by plain comparison of the runs' words; for tests on small fixtures."""
-    seen: dict[tuple, tuple] = {}
-    gone: dict[int, set] = {}
-    for doc, text in sorted(documents):
-        bounds = [(a, b) for a, b in sentences(text) if text[a:b].split()]
-        for k in range(len(bounds) - run + 1):
-            words = tuple(w for a, b in bounds[k : k + run] for w in text[a:b].encode().lower().split())
-            if len(words) >= min_words and seen.setdefault(words, (doc, k)) != (doc, k):
-                gone.setdefault(doc, set()).update(bounds[k : k + run])
-    return {doc: "".join(text[a:b] for a, b in sentences(text) if (a, b) not in gone.get(doc, ())) for doc, text in documents}
-
-
 @query("op10_substring_dedup")
 def op10_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return span_report(read(spark, folder, "documents"))

@@ -1,0 +1,133 @@
+"""Line, SimHash and span dedup and license scans against plain Python versions, and the registered queries against SQL."""
+
+import pytest
+from compare import connect, difference
+from conftest import SMALL
+from llm.fixtures import CLASHES, LONG, NO_ID, PASSAGE, ROWS, brute_groups, brute_lines, brute_spans, by_id, documents, sha
+
+from lodeworks.llm import licenses, lines, simhash, spans
+from lodeworks.llm.queries import QUERIES, SQL
+
+
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_query_agrees_with_sql(spark, name):
+    assert difference(QUERIES[name](spark, SMALL), connect(SMALL), SQL[name]) is None
+
+
+def test_every_operator_has_one_query():
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES) == list(range(1, 11))
+
+
+def test_line_report(spark):
+    got = by_id(tuple(r) for r in lines.line_report(documents(spark)).collect())
+    assert got == by_id((d, n, gone, sha(t)) for d, t, n, gone in brute_lines(ROWS))
+
+
+def test_deduped_documents_keep_their_other_columns(spark):
+    docs = documents(spark)
+    for left in (lines.dedup_lines(docs), spans.dedup_spans(docs)):
+        assert left.schema.names == docs.schema.names and [f.dataType for f in left.schema] == [f.dataType for f in docs.schema]
+        rows = left.collect()
+        assert len(rows) == len(ROWS)
+        for r in rows:
+            assert r["n_chars"] == len(r["text"] or "")
+            assert all(r[c] == f"{c} of {'none' if r['doc_id'] is None else r['doc_id']}" for c in CLASHES)
+
+
+def test_deduped_lines_leave_null_text_null(spark):
+    got = by_id((r.doc_id, r.text) for r in lines.dedup_lines(documents(spark)).collect())
+    assert got == by_id((d, None if o is None else t) for (d, t, _, _), (_, o) in zip(brute_lines(ROWS), ROWS))
+
+
+def test_a_line_of_many_documents_stays_in_the_smallest(spark):
+    rows = [(k, f"a very common line\nown line number {k}") for k in range(300, 0, -1)]
+    got = {r.doc_id: r.n_dropped for r in lines.line_report(documents(spark, rows)).collect()}
+    assert got == {k: int(k > 1) for k in range(1, 301)}
+
+
+def test_simhash_groups(spark):
+    want = by_id((None if d == NO_ID else d, f"{x:016x}", None if c == NO_ID else c) for d, x, c in brute_groups(ROWS))
+    for shard in (4096, 2):  # also with shards cut into several trees
+        assert by_id(tuple(r) for r in simhash.simhash_groups(documents(spark), shard=shard).collect()) == want
+
+
+def test_simhash_links_all_prints_within_two_bits(spark):
+    tree, values = simhash.BKTree(), [(k * 0x9E3779B97F4A7C15) % 2**64 ^ (1 << k % 64) for k in range(200)] + [3, 1, 0, 7, 7]
+    for v in values:
+        tree.add(v)
+    for v in values:
+        assert sorted(tree.within(v, 2)) == sorted({x for x in values if (x ^ v).bit_count() <= 2})
+
+
+def test_simhash_dedup_keeps_the_smallest(spark):
+    docs = documents(spark)
+    kept = {d for d, _, c in brute_groups(ROWS) if d == c}
+    left = simhash.dedup_simhash(docs)
+    assert left.columns == docs.columns
+    assert by_id((r.doc_id, r.text) for r in left.collect()) == by_id((d, t) for d, t in ROWS if (NO_ID if d is None else d) in kept)
+
+
+def test_spans(spark):
+    want = brute_spans(ROWS)
+    got = by_id((r.doc_id, r.text) for r in spans.dedup_spans(documents(spark)).collect())
+    assert got == by_id((d, t) for (d, _), t in zip(ROWS, want))
+    report = {(r.doc_id, r.kept_sha256): r for r in spans.span_report(documents(spark)).collect()}
+    assert {k for k in report} == {(d, sha(t or "")) for (d, _), t in zip(ROWS, want)}
+    assert report[7, sha("")].n_removed > 100 and report[0, sha(ROWS[0][1])].n_removed == 0
+
+
+def test_a_passage_of_few_long_sentences_is_found(spark):
+    one = " ".join(f"w{k}" for k in range(60)) + ". "
+    rows = [(1, "Start of one. " + one + "End."), (2, "Another start here. " + one + "Other end.")]
+    got = {r.doc_id: r.kept_text for r in spans.span_report(documents(spark, rows)).collect()}
+    assert got == {1: rows[0][1], 2: "Another start here. Other end."}
+
+
+def test_clean_documents_keep_their_text(spark):
+    rows = [(k, f"Only {k} here. The. It. A. Of. So says number {k} of this lot, which has words of {k} alone.") for k in range(50)]
+    assert all(r.n_removed == 0 for r in spans.span_report(documents(spark, rows)).collect())
+
+
+def test_sentences_are_the_whole_text():
+    for _, t in ROWS:
+        t = t or ""
+        assert "".join(t[a:b] for a, b in spans.sentences(t)) == t
+    assert all(len(PASSAGE[a:b].split()) <= 12 for a, b in spans.sentences(PASSAGE))
+
+
+def _scanned(text):
+    """n_words, starts of base phrases, base labels, labels without weights: by plain search."""
+    words, word = [], ""
+    for c in (text or "") + " ":
+        if c.isascii() and not c.isalnum():
+            words += [word] if word else []
+            word = ""
+        else:
+            word += c.lower() if c.isascii() else c
+    starts, base, every = [], set(), set()
+    for k, t in enumerate(licenses.TEMPLATES):
+        for o in range(-len(t.words), len(words)):
+            if all(o + s >= 0 and tuple(words[o + s : o + s + len(p)]) == p for s, p in t.keys):
+                every.add(t.label)
+                if k < licenses.N_BASE:
+                    starts.append(o + t.keys[0][0])
+                    base.add(t.label)
+    return len(words), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(every))
+
+
+def test_license_scan(spark):
+    rows = [*ROWS, (20, "MIT license"), (21, "license mit apache"), (22, "Licensed under CC BY-NC 4.0."), (23, "the GNU General Public License, version 3, GNU"), (24, "mité license " + "mit license " * 3000)]
+    got = licenses.scan_licenses(documents(spark, rows)).collect()
+    assert by_id(tuple(r)[:7] for r in got) == by_id((d, *_scanned(t)) for d, t in rows)
+    score = {r.doc_id: r.score for r in got}
+    assert score[3] == 0 and score[22] == 1 and 0 < score[20] < 1
+
+
+def test_empty_tables(spark):
+    docs = documents(spark, []).limit(0)
+    for f in (lines.dedup_lines, lines.line_report, simhash.simhash_groups, simhash.dedup_simhash, spans.dedup_spans, spans.span_report, licenses.scan_licenses):
+        assert f(docs).collect() == []
+
+
+def test_long_text_is_one_fingerprint():
+    assert simhash.fingerprint(LONG) == simhash.fingerprint(LONG.upper()) != 0

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, fields, replace
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
@@ -22,10 +22,24 @@ NULLS = ("first", "last")
 _TIME_FORMAT = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
 
 
+def _word(kind: object, field_name: str, allowed: Sequence[str], unset: str | None) -> None:
+    """Bring one attribute of a key to lower case and hold it to its vocabulary."""
+    given = getattr(kind, field_name)
+    word = str(given).lower() if given else unset
+    if word is not None and word not in allowed:
+        raise LayoutError(f"{field_name} of {kind.column!r} is {given!r}; known are {', '.join(allowed)}")
+    object.__setattr__(kind, field_name, word)
+
+
 @dataclass(frozen=True)
 class PartitionKey:
+    """A column, or the year, month, day or hour of it, that names directories."""
+
     column: str
-    transform: str = "identity"
+    transform: str | None = "identity"
+
+    def __post_init__(self) -> None:
+        _word(self, "transform", TRANSFORMS, "identity")
 
     @property
     def derived(self) -> str:
@@ -35,133 +49,106 @@ class PartitionKey:
 
 @dataclass(frozen=True)
 class SortKey:
+    """A column that orders the rows inside files; what is unset is up to the writer."""
+
     column: str
     direction: str | None = None
     nulls: str | None = None
 
+    def __post_init__(self) -> None:
+        _word(self, "direction", DIRECTIONS, None)
+        _word(self, "nulls", NULLS, None)
 
-def partition_key(entry: Any) -> PartitionKey:
-    """From a column name, a (column, transform) pair or a mapping."""
-    if isinstance(entry, str):
-        column, transform = entry, None
-    elif isinstance(entry, PartitionKey):
-        column, transform = entry.column, entry.transform
-    elif isinstance(entry, Mapping):
-        column, transform = entry.get("column"), entry.get("transform")
-    elif isinstance(entry, Sequence) and len(entry) == 2:
-        column, transform = entry
-    else:
-        raise LayoutError(f"cannot read partition entry {entry!r}: give a name, a (column, transform) pair or a mapping")
-    if not column:
-        raise LayoutError(f"partition entry {entry!r} names no column")
-    return PartitionKey(str(column), _choice(transform, TRANSFORMS, "partition transform", column) or "identity")
+    def satisfied_by(self, stored: SortKey) -> bool:
+        wishes = asdict(self).items()
+        return all(wish is None or wish == getattr(stored, name) for name, wish in wishes)
+
+
+# How many values a tuple may hold.
+_FORMS = {PartitionKey: (2, 2), SortKey: (1, 3)}
 
 
-def sort_key(entry: Any) -> SortKey:
-    """From a column name, a (column[, direction[, nulls]]) tuple or a mapping."""
+def read_key(kind: type, entry: Any) -> Any:
+    """A key of one kind from any of its written forms.
+
+    That is a bare column name, a mapping by attribute name, a tuple in attribute order (a
+    whole pair for partitions), or a key already made.
+    """
+    if isinstance(entry, kind):
+        return entry
+    names = [f.name for f in fields(kind)]
+    least, most = _FORMS[kind]
     if isinstance(entry, str):
-        parts = (entry,)
-    elif isinstance(entry, SortKey):
-        parts = (entry.column, entry.direction, entry.nulls)
+        values = {"column": entry}
     elif isinstance(entry, Mapping):
-        parts = (entry.get("column"), entry.get("direction"), entry.get("nulls"))
-    elif isinstance(entry, Sequence) and 1 <= len(entry) <= 3:
-        parts = tuple(entry)
+        values = {n: entry[n] for n in names if n in entry}
+    elif isinstance(entry, (tuple, list)) and least <= len(entry) <= most:
+        values = dict(zip(names, entry))
     else:
-        raise LayoutError(f"cannot read sort entry {entry!r}: give a name, a tuple of up to 3 or a mapping")
-    column, direction, nulls = (*parts, None, None)[:3]
-    if not column:
-        raise LayoutError(f"sort entry {entry!r} names no column")
-    return SortKey(
-        str(column),
-        _choice(direction, DIRECTIONS, "sort direction", column),
-        _choice(nulls, NULLS, "sort nulls", column),
-    )
-
-
-def _choice(value: Any, allowed: Sequence[str], what: str, column: Any) -> str | None:
-    if value is None or value == "":
-        return None
-    value = str(value).lower()
-    if value not in allowed:
-        raise LayoutError(f"{what} {value!r} on column {column!r} is not one of {', '.join(allowed)}")
-    return value
-
-
-def with_layout(spec, partition_by: Iterable[Any] | None = None, sorted_by: Iterable[Any] | None = None):
-    """``spec`` with an explicit layout, validated here and kept as plain dicts, in order."""
-    hints = {}
-    for name, entries, parse in (
-        ("partition_by", partition_by, partition_key),
-        ("sorted_by", sorted_by, sort_key),
-    ):
-        if entries is None:
-            continue
-        parsed = [vars(parse(e)).copy() for e in entries]
-        if not parsed:
-            raise LayoutError(f"{name} is an empty list; leave it out instead")
-        hints[name] = tuple(parsed)
-    return replace(spec, **hints)
+        values = {}
+    if not values.get("column"):
+        raise LayoutError(f"{entry!r} does not describe a {kind.__name__}: its attributes are {', '.join(names)}")
+    return kind(**{**values, "column": str(values["column"])})
 
 
-def resolve_partition_by(spec) -> list[PartitionKey]:
-    """Explicit layout first, else the ``partition`` column hints in schema order."""
-    if spec.partition_by:
-        return [partition_key(e) for e in spec.partition_by]
-    return [PartitionKey(c) for c in spec.hinted("partition")]
+@dataclass(frozen=True)
+class Layout:
+    """How a table's files are cut into directories and ordered, as one value."""
 
+    partitions: tuple[PartitionKey, ...] = ()
+    sorts: tuple[SortKey, ...] = ()
 
-def resolve_sorted_by(spec) -> list[SortKey]:
-    """Explicit layout first, else the ``sort`` column hints in schema order."""
-    if spec.sorted_by:
-        return [sort_key(e) for e in spec.sorted_by]
-    return [SortKey(c) for c in spec.hinted("sort")]
+    @classmethod
+    def read(cls, partition_by: Iterable[Any] | None = None, sorted_by: Iterable[Any] | None = None) -> Layout:
+        return cls(
+            tuple(read_key(PartitionKey, e) for e in partition_by or ()),
+            tuple(read_key(SortKey, e) for e in sorted_by or ()),
+        )
 
+    def __bool__(self) -> bool:
+        return bool(self.partitions or self.sorts)
 
-def missing_layout_columns(spec, columns: Iterable[str]) -> list[str]:
-    """Layout columns the table lacks, sorted, each once."""
-    named = [k.column for k in (*resolve_partition_by(spec), *resolve_sorted_by(spec))]
-    return sorted(set(named) - set(columns))
+    def lacks(self, columns: Iterable[str]) -> list[str]:
+        """Columns it names that are not among these, in alphabetical order."""
+        return sorted({k.column for k in self.partitions + self.sorts}.difference(columns))
 
+    def satisfied_by(self, stored: Layout) -> bool:
+        """Whether a table laid out as ``stored`` is what this asks for: order counts, wishes left unset do not."""
+        same_shape = self.partitions == stored.partitions and len(self.sorts) == len(stored.sorts)
+        return same_shape and all(map(SortKey.satisfied_by, self.sorts, stored.sorts))
 
-def declares_layout(spec) -> bool:
-    return bool(resolve_partition_by(spec) or resolve_sorted_by(spec))
 
+def with_layout(spec, partition_by: Iterable[Any] | None = None, sorted_by: Iterable[Any] | None = None):
+    """``spec`` with an explicit layout, read here once and kept as plain dicts, in order."""
+    given = {"partition_by": partition_by, "sorted_by": sorted_by}
+    given = {name: list(entries) for name, entries in given.items() if entries is not None}
+    for name, entries in given.items():
+        if not entries:
+            raise LayoutError(f"{name} holds no key; omit it to leave the layout open")
+    layout = Layout.read(**given)
+    plain = {"partition_by": layout.partitions, "sorted_by": layout.sorts}
+    return replace(spec, **{name: tuple(asdict(k) for k in plain[name]) for name in given})
 
-def layouts_match(
-    stored: tuple[Sequence[PartitionKey], Sequence[SortKey]],
-    declared: tuple[Sequence[PartitionKey], Sequence[SortKey]],
-) -> bool:
-    """Whether a stored layout satisfies a declared one.
 
-    Order counts, transforms compare without case, an unset direction or null placement
-    accepts whatever is stored.
-    """
-    partitions = [[(k.column, k.transform.lower()) for k in side[0]] for side in (stored, declared)]
-    if partitions[0] != partitions[1] or len(stored[1]) != len(declared[1]):
-        return False
-    return all(
-        have.column == want.column
-        and want.direction in (None, have.direction)
-        and want.nulls in (None, have.nulls)
-        for have, want in zip(stored[1], declared[1])
-    )
+def _utc(instant: Column) -> Column:
+    """Its UTC wall clock: an instant belongs to its UTC day, whatever zone a session is in."""
+    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def partition_value(key: PartitionKey, dtype: T.DataType, value: Column | None = None) -> Column:
     """The directory value of one partition key."""
     value = quoted(key.column) if value is None else value
     if key.transform == "identity":
-        return value.cast("string")
+        # an instant as text by UTC, like the transforms below
+        return _utc(value).cast("string") if isinstance(dtype, T.TimestampType) else value.cast("string")
     if not isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)):
         raise LayoutError(
             f"partition transform {key.transform!r} needs a date or timestamp, "
             f"column {key.column!r} is {dtype.simpleString()}"
         )
     if isinstance(dtype, T.TimestampType):
-        # an instant belongs to its UTC day, whatever zone a writer's or reader's session is in
-        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-        value = F.timestamp_add("MICROSECOND", F.unix_micros(value), epoch)
+        value = _utc(value)
     return F.date_format(value, _TIME_FORMAT[key.transform])
 
 

@@ -34,13 +34,11 @@ from lodeworks.functions.names import check_names, normalize_identifier
 from lodeworks.functions.schema import conform, same_shape
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS
 from lodeworks.operators.layout import (
+    Layout,
     PartitionKey,
     SortKey,
     apply_layout,
-    layouts_match,
-    partition_key,
     partition_value,
-    sort_key,
 )
 from lodeworks.operators.merge import keep_unmatched
 from lodeworks.plans import files as fs
@@ -76,12 +74,16 @@ class TableVersion:
         return T.StructType.fromJson(self.schemas[-1]) if self.schemas else T.StructType()
 
     @property
-    def partitions(self) -> list[PartitionKey]:
-        return [partition_key(e) for e in self.partition_by]
+    def layout(self) -> Layout:
+        return Layout.read(self.partition_by, self.sorted_by)
 
     @property
-    def sorts(self) -> list[SortKey]:
-        return [sort_key(e) for e in self.sorted_by]
+    def partitions(self) -> tuple[PartitionKey, ...]:
+        return self.layout.partitions
+
+    @property
+    def sorts(self) -> tuple[SortKey, ...]:
+        return self.layout.sorts
 
     def evolved(self, schema: T.StructType) -> TableVersion:
         """The same parts under a wider schema; no data is touched."""
@@ -178,8 +180,7 @@ class Dataset:
         self,
         tables: Mapping[str, T.StructType],
         keys: Mapping[str, Sequence[str]] | None = None,
-        partition_by: Mapping[str, Sequence[PartitionKey]] | None = None,
-        sorted_by: Mapping[str, Sequence[SortKey]] | None = None,
+        layouts: Mapping[str, Layout] | None = None,
     ) -> list[str]:
         """Add the tables that are missing, empty but with schema, key and layout.
 
@@ -190,22 +191,19 @@ class Dataset:
         present = set(self.table_names())
         added = []
         for table, schema in sorted(tables.items()):
-            layout = (list((partition_by or {}).get(table, ())), list((sorted_by or {}).get(table, ())))
+            layout = (layouts or {}).get(table, Layout())
             if table in present:
-                if any(layout):
-                    stored = self.version(table)
-                    if not layouts_match((stored.partitions, stored.sorts), layout):
-                        warnings.warn(
-                            f"{self.schema}.{table} exists with another layout; a layout is fixed when a "
-                            "table is created, so the declared one was not applied",
-                            stacklevel=2,
-                        )
+                if layout and not layout.satisfied_by(self.version(table).layout):
+                    warnings.warn(
+                        f"{self.schema}.{table} keeps the layout it was created with; another layout was declared and is ignored",
+                        stacklevel=2,
+                    )
                 continue
             first = TableVersion(
                 schemas=[json.loads(schema.json())],
                 key=list((keys or {}).get(table) or []) or None,
-                partition_by=[asdict(k) for k in layout[0]],
-                sorted_by=[asdict(k) for k in layout[1]],
+                partition_by=[asdict(k) for k in layout.partitions],
+                sorted_by=[asdict(k) for k in layout.sorts],
             )
             self.publish(table, first)
             added.append(table)
@@ -276,7 +274,9 @@ class Dataset:
                     continue
                 bounds = [F.lit(v).cast(dtype) for v in (low, high)]
                 if key.transform == "identity":
-                    rows = rows.where(F.col(key.derived).cast(dtype).between(*bounds))
+                    stored = dtype if not isinstance(dtype, T.TimestampType) else T.TimestampNTZType()
+                    ends = [partition_value(key, dtype, b).cast(stored) for b in bounds]
+                    rows = rows.where(F.col(key.derived).cast(stored).between(*ends))
                 else:
                     rows = rows.where(F.col(key.derived).between(*(partition_value(key, dtype, b) for b in bounds)))
         return rows.select(*(quoted(c) for c in version.schema.names))

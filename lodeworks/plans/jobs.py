@@ -4,18 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodeworks.functions.keys import quoted
 from lodeworks.plans import files as fs
 
-# Category names of the generated table.
-CATEGORIES = ("alpha", "beta", "gamma", "delta", "epsilon")
-
-_BUCKETS = 4096
-_ONE_TASK_ROWS = 1_000_000
-
 
 def resample_last(
     df: DataFrame, date: str, value: str, *, by: Sequence[str] = (), tie: Sequence[str] = (), unit: str = "month"
@@ -55,7 +49,6 @@ def timing_summary(
     elapsed: str = "elapsed",
     rows: str = "rows",
     failed: Column | None = None,
-    one_task_rows: int = _ONE_TASK_ROWS,
 ) -> DataFrame:
     """Per phase: runs that went well, errors, mean, p50, p95, min, max, rows, rows per second.
 
@@ -80,83 +73,42 @@ def timing_summary(
         F.when(F.sum(ok) > 0, F.sum(ok_rows) / F.sum(ok)).otherwise(F.lit(0.0)).alias("rows_per_sec"),
     )
     good = runs.where(~F.col("bad"))
-    points = exact_percentiles(good, "phase", "elapsed", {"p50": 0.5, "p95": 0.95}, one_task_rows=one_task_rows)
+    points = exact_percentiles(good, "phase", "elapsed", {"p50": 0.5, "p95": 0.95})
     return summary.join(points, "phase", "left").select(
         "phase", "n", "errors", "mean", "p50", "p95", "min", "max", "rows", "rows_per_sec"
     )
 
 
-def exact_percentiles(
-    df: DataFrame,
-    group: str,
-    value: str,
-    points: Mapping[str, float],
-    *,
-    one_task_rows: int = _ONE_TASK_ROWS,
-) -> DataFrame:
-    """Interpolated percentiles per group, exact for a group of any size.
+def exact_percentiles(df: DataFrame, group: str, value: str, points: Mapping[str, float]) -> DataFrame:
+    """Interpolated percentiles per group, exact for groups of any size and any values.
 
-    The built-in ``percentile`` brings a group's distinct values into one task, so it is
-    used only where the largest group is known to be small. Beyond that each wanted rank
-    is closed in on by counting: split the value range that holds it into buckets, keep
-    the bucket that holds it, repeat until that bucket is one value. Every pass is a
-    hash aggregate with a bounded number of buckets per group.
+    The built-in ``percentile`` brings a group's distinct values into one task. Here the
+    distinct values and their counts are laid out by range of (group, value) and written
+    once; a group spreads over as many ranges as it needs. Counts per range give each range
+    its first rank, and a value's rank follows inside its range. NaN counts as the largest
+    value, as in Spark's order.
     """
+    folder = fs.shared_folder(df.sparkSession)
     rows = df.where(quoted(value).isNotNull()).select(quoted(group).alias("g"), quoted(value).cast("double").alias("v"))
-    sizes = rows.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    if largest <= one_task_rows:
-        exact = [F.percentile("v", F.lit(p)).alias(name) for name, p in points.items()]
-        return rows.groupBy(F.col("g").alias(group)).agg(*exact)
-
-    spark, folder = df.sparkSession, fs.shared_folder(df.sparkSession)
-    position = {name: (F.col("n") - 1) * F.lit(float(p)) for name, p in points.items()}
-    wanted = [f(p).cast("bigint") for p in position.values() for f in (F.floor, F.ceil)]
-    targets = sizes.select("g", F.explode(F.array_distinct(F.array(*wanted))).alias("rank"), "lo", "hi")
-    targets = targets.withColumn("below", F.lit(0).cast("bigint"))
-    step = 0
-    while True:
-        # a written table: short lineage, and a size the join can be planned by
-        targets.write.parquet(f"{folder}/{step}")
-        targets = spark.read.schema(targets.schema).parquet(f"{folder}/{step}")
-        if targets.where("lo < hi").isEmpty():
-            break
-        targets = _narrowed(rows, targets)
-        step += 1
-    found = targets.groupBy("g").agg(F.map_from_entries(F.collect_list(F.struct("rank", "lo"))).alias("at"))
-    values = []
-    for name, p in position.items():
-        low = F.col("at")[F.floor(p).cast("bigint")]
-        high = F.col("at")[F.ceil(p).cast("bigint")]
-        values.append((low + (high - low) * (p - F.floor(p))).alias(name))
-    return sizes.join(found, "g").select(F.col("g").alias(group), *values)
-
-
-def _narrowed(rows: DataFrame, targets: DataFrame) -> DataFrame:
-    """The targets with their value range cut to the bucket that holds the wanted rank."""
-    width = F.col("hi") - F.col("lo")
-    place = F.floor((F.col("v") - F.col("lo")) / width * _BUCKETS).cast("int")
-    bucket = F.when(width == 0, F.lit(0)).when(F.col("v") == F.col("hi"), F.lit(_BUCKETS)).otherwise(place)
-    inside = rows.join(targets, "g").where(F.col("v").between(F.col("lo"), F.col("hi")))
-    counts = inside.groupBy("g", "rank", "below", bucket.alias("bucket")).agg(
-        F.count(F.lit(1)).alias("c"), F.min("v").alias("lo"), F.max("v").alias("hi")
-    )
-    # at most one row per bucket and wanted rank reaches this window
-    up_to = F.expr("sum(c) over (partition by g, rank order by bucket)") + F.col("below")
-    held = counts.withColumn("up_to", up_to).where("up_to > rank and up_to - c <= rank")
-    return held.select("g", "rank", "lo", "hi", (F.col("up_to") - F.col("c")).alias("below"))
-
-
-def generate_table(spark: SparkSession, rows: int, seed: int = 0) -> DataFrame:
-    """A synthetic table: id, ten random letters, a normal value, a category, a time as text."""
-    letters = [F.chr((F.rand(seed + i) * 26).cast("int") + F.lit(97)) for i in range(10)]
-    category = F.element_at(F.array(*map(F.lit, CATEGORIES)), (F.rand(seed + 11) * len(CATEGORIES)).cast("int") + 1)
-    micros = (F.rand(seed + 12) * 1_000_000).cast("bigint")
-    created = F.date_format(F.timestamp_micros(F.unix_seconds(F.current_timestamp()) * 1_000_000 + micros), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
-    return spark.range(1, rows + 1).select(
-        "id",
-        F.concat(*letters).alias("name"),
-        (F.randn(seed + 10) * 20.0 + 100.0).alias("value"),
-        category.alias("category"),
-        created.alias("created_at"),
-    )
+    counts = rows.groupBy("g", "v").agg(F.count(F.lit(1)).alias("c"))
+    laid = counts.repartitionByRange("g", "v").withColumn("part", F.spark_partition_id())
+    laid.write.parquet(f"{folder}/ranges")
+    laid = df.sparkSession.read.schema(laid.schema).parquet(f"{folder}/ranges")
+    # a row per group and range that holds some of it
+    held = laid.groupBy("g", "part").agg(F.sum("c").alias("held"))
+    earlier = Window.partitionBy("g").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    held = held.select("g", "part", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("first"), F.sum("held").over(Window.partitionBy("g")).alias("n"))
+    so_far = Window.partitionBy("g", "part").orderBy("v")
+    ranked = laid.join(held, ["g", "part"]).withColumn("up_to", F.col("first") + F.sum("c").over(so_far))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("up_to") > rank) & (F.col("up_to") - F.col("c") <= rank), F.col("v")))
+
+    found, values = [], []
+    for name, p in points.items():
+        place = (F.col("n") - 1) * F.lit(float(p))
+        found += [at(F.floor(place)).alias(f"low {name}"), at(F.ceil(place)).alias(f"high {name}"), F.max(place - F.floor(place)).alias(f"part {name}")]
+        low, high, part = (F.col(f"{x} {name}") for x in ("low", "high", "part"))
+        # equal ends as they are: between two infinities there is nothing to interpolate
+        values.append(F.when((low == high) | (part == 0), low).otherwise(low + (high - low) * part).alias(name))
+    return ranked.groupBy("g").agg(*found).select(F.col("g").alias(group), *values)

@@ -29,12 +29,7 @@ from lodeworks.functions.nested import child_tables
 from lodeworks.functions.schema import conform, logical_type, merge_schemas
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS, since
 from lodeworks.operators.identity import ROW_ID, with_identity
-from lodeworks.operators.layout import (
-    missing_layout_columns,
-    partition_value,
-    resolve_partition_by,
-    resolve_sorted_by,
-)
+from lodeworks.operators.layout import partition_value
 from lodeworks.operators.merge import (
     DELETED,
     DUPLICATE_KEY,
@@ -49,12 +44,7 @@ from lodeworks.plans import files as fs
 from lodeworks.plans import state as bookkeeping
 from lodeworks.plans.dataset import Dataset, TableVersion
 from lodeworks.sources.package import list_files, read_package, rows_per_file
-from lodeworks.spec import (
-    LoadSpec,
-    resolve_action,
-    resolve_hard_delete,
-    resolve_primary_key,
-)
+from lodeworks.spec import LoadSpec, resolve_action
 
 POSITION = (FILE_SEQ, ROW_SEQ)
 _TABLES_AT_ONCE = 4
@@ -164,7 +154,7 @@ def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, default_disposition
     rows = _typed(rows, spec)
     order = [normalize_identifier(c) for c in order]
     position = [c for c in POSITION if c in rows.columns] or order
-    key = resolve_primary_key(spec)
+    key = spec.key
     if key and position == order and (order or action == "upsert") and set(key) <= set(rows.columns):
         # rows of different keys may share their place in the order
         position = [*key, *order]
@@ -213,8 +203,8 @@ def _typed(rows: DataFrame, spec: LoadSpec) -> DataFrame:
 
 
 def _task(spec: LoadSpec, rows: DataFrame, action: str, files: list[str], fresh_ids: bool) -> _Task:
-    flag = resolve_hard_delete(spec)
-    key = resolve_primary_key(spec)
+    flag = spec.delete_flag
+    key = spec.key or None
     if flag is not None and flag not in rows.columns:
         flag = None
     return _Task(spec.target, spec, rows, action, key, flag, files, fresh_ids)
@@ -235,12 +225,11 @@ def _verify(dataset: Dataset, tasks: list[_Task]) -> None:
             absent = [k for k in t.key if k not in t.rows.columns]
             if absent:
                 raise NullKeyError(f"key column(s) {', '.join(absent)} are not in the rows for {t.table!r}")
-        missing = missing_layout_columns(t.spec, [f.name for f in t.schema.fields])
-        if missing:
-            raise LayoutError(f"table {t.table!r} declares a layout on column(s) it lacks: {', '.join(missing)}")
-        for k in resolve_partition_by(t.spec):
+        layout = t.spec.layout
+        if missing := layout.lacks(t.schema.names):
+            raise LayoutError(f"the layout of {t.table!r} names {', '.join(missing)}, which the rows do not have")
+        for k in layout.partitions:
             partition_value(k, t.rows.schema[k.column].dataType)
-        resolve_sorted_by(t.spec)
         stored = dataset.version(t.table)
         if stored is not None:
             merge_schemas(stored.schema, t.schema)
@@ -251,8 +240,7 @@ def _declare(dataset: Dataset, tasks: list[_Task]) -> None:
     dataset.declare(
         schemas,
         {t.table: t.key for t in tasks if t.key},
-        {t.table: resolve_partition_by(t.spec) for t in tasks},
-        {t.table: resolve_sorted_by(t.spec) for t in tasks},
+        {t.table: t.spec.layout for t in tasks},
     )
 
 
@@ -387,7 +375,7 @@ def load_incremental(
     high = fresh.agg(as_text).first()[0]
     if high is not None:
         fresh = since(fresh, cursor, up_to=F.lit(high).cast(dtype))
-    key = resolve_primary_key(spec)
+    key = spec.key
     if closed and last is not None and dataset.version(spec.target) is not None:
         if not key:
             raise LoadError("a closed cursor needs a key to tell re-read rows by")

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lodeworks.errors import LoadError
 from lodeworks.functions.names import normalize_identifier
 from lodeworks.functions.nested import MAX_NESTING
+from lodeworks.operators.layout import Layout
 
 # The dispositions and merge strategies a load may ask for.
 DISPOSITIONS = ("append", "insert-only", "merge", "replace", "upsert")
@@ -59,6 +60,24 @@ class LoadSpec:
         fields = self.data.schema.fields if isinstance(self.data, DataFrame) else []
         return hinted_columns(fields, self.columns, hint)
 
+    @property
+    def key(self) -> list[str]:
+        """Merge key: what the spec names, else the columns hinted so; empty if there is none."""
+        named = self.primary_key
+        if named is None:
+            return self.hinted("primary_key")
+        return [named] if isinstance(named, str) else list(named)
+
+    @property
+    def delete_flag(self) -> str | None:
+        """The first column hinted as the hard-delete flag."""
+        return next(iter(self.hinted("hard_delete")), None)
+
+    @property
+    def layout(self) -> Layout:
+        """What the spec lays out explicitly; each half it leaves open comes from column hints."""
+        return Layout.read(self.partition_by or self.hinted("partition"), self.sorted_by or self.hinted("sort"))
+
 
 def hinted_columns(fields: Sequence[T.StructField], columns: Mapping[str, Mapping], hint: str) -> list[str]:
     named = [f.name for f in fields if (f.metadata or {}).get(hint) or columns.get(f.name, {}).get(hint)]
@@ -86,18 +105,6 @@ def resolve_replace_strategy(spec: LoadSpec) -> str:
     return strategy
 
 
-def resolve_primary_key(spec: LoadSpec) -> list[str] | None:
-    """The table-level key, else the columns hinted as key, else none."""
-    key = spec.primary_key
-    if key is not None:
-        return [key] if isinstance(key, str) else list(key)
-    return spec.hinted("primary_key") or None
-
-
-def resolve_hard_delete(spec: LoadSpec) -> str | None:
-    return next(iter(spec.hinted("hard_delete")), None)
-
-
 def resolve_action(spec: LoadSpec, default: str = "append") -> str:
     """The plan a load runs: append, replace, upsert or insert-only."""
     disposition = resolve_write_disposition(spec, default)

@@ -16,26 +16,26 @@ def spec(spark, **options):
 
 def test_forms_of_a_partition_key():
     want = lay.PartitionKey("d", "day")
-    assert [lay.partition_key(e) for e in (("d", "DAY"), {"column": "d", "transform": "day"}, want)] == [want] * 3
-    assert lay.partition_key("d") == lay.partition_key({"column": "d"}) == lay.PartitionKey("d", "identity")
+    assert [lay.read_key(lay.PartitionKey, e) for e in (("d", "DAY"), {"column": "d", "transform": "day"}, want)] == [want] * 3
+    assert lay.read_key(lay.PartitionKey, "d") == lay.read_key(lay.PartitionKey, {"column": "d"}) == lay.PartitionKey("d", "identity")
 
 
 @pytest.mark.parametrize("entry", [("d", "week"), "", {"transform": "day"}, ("a", "b", "c"), 7, {"column": "", "transform": "day"}])
 def test_bad_partition_keys(entry):
     with pytest.raises(LayoutError):
-        lay.partition_key(entry)
+        lay.read_key(lay.PartitionKey, entry)
 
 
 def test_forms_of_a_sort_key():
-    assert lay.sort_key("t") == lay.sort_key(("t",)) == lay.SortKey("t")
-    assert lay.sort_key(("t", "DESC", "First")) == lay.SortKey("t", "desc", "first")
-    assert lay.sort_key({"column": "t", "nulls": "last"}) == lay.SortKey("t", None, "last")
+    assert lay.read_key(lay.SortKey, "t") == lay.read_key(lay.SortKey, ("t",)) == lay.SortKey("t")
+    assert lay.read_key(lay.SortKey, ("t", "DESC", "First")) == lay.SortKey("t", "desc", "first")
+    assert lay.read_key(lay.SortKey, {"column": "t", "nulls": "last"}) == lay.SortKey("t", None, "last")
 
 
 @pytest.mark.parametrize("entry", [("t", "up"), ("t", "asc", "middle"), "", (), ("a", "asc", "last", "x"), 7])
 def test_bad_sort_keys(entry):
     with pytest.raises(LayoutError):
-        lay.sort_key(entry)
+        lay.read_key(lay.SortKey, entry)
 
 
 def test_with_layout_keeps_plain_dicts_in_order(spark):
@@ -53,21 +53,20 @@ def test_empty_layout_is_refused(spark, name):
 
 def test_explicit_layout_beats_hints(spark):
     hinted = spec(spark, columns={"tag": {"partition": True, "sort": True}, "event_date": {"partition": True}})
-    assert lay.resolve_partition_by(hinted) == [lay.PartitionKey("event_date"), lay.PartitionKey("tag")]
-    assert lay.resolve_sorted_by(hinted) == [lay.SortKey("tag")]
-    assert lay.resolve_partition_by(with_layout(hinted, ["event_time"])) == [lay.PartitionKey("event_time")]
-    assert lay.declares_layout(hinted) and not lay.declares_layout(spec(spark))
+    assert hinted.layout == lay.Layout((lay.PartitionKey("event_date"), lay.PartitionKey("tag")), (lay.SortKey("tag"),))
+    assert with_layout(hinted, ["event_time"]).layout == lay.Layout((lay.PartitionKey("event_time"),), (lay.SortKey("tag"),))
+    assert hinted.layout and not spec(spark).layout
 
 
 def test_hints_in_field_metadata_count(spark):
     df = spec(spark).data
     df = df.withColumn("tag", F.col("tag").alias("tag", metadata={"partition": True}))
-    assert lay.resolve_partition_by(LoadSpec("t", df)) == [lay.PartitionKey("tag")]
+    assert LoadSpec("t", df).layout.partitions == (lay.PartitionKey("tag"),)
 
 
 def test_missing_columns_are_sorted_and_unique(spark):
     laid = with_layout(spec(spark), ["zz", "tag"], ["aa", "zz"])
-    assert lay.missing_layout_columns(laid, ["tag"]) == ["aa", "zz"]
+    assert laid.layout.lacks(["tag"]) == ["aa", "zz"]
 
 
 def test_layout_on_an_unknown_column_fails_before_any_write(spark, dataset):
@@ -82,14 +81,12 @@ def test_time_transform_needs_a_time_column(spark, dataset):
 
 
 def test_comparison():
-    stored = ([lay.PartitionKey("d", "day")], [lay.SortKey("t", "asc", "last")])
-    same = ([lay.PartitionKey("d", "DAY")], [lay.SortKey("t")])
-    assert lay.layouts_match(stored, same)
-    assert not lay.layouts_match(stored, ([lay.PartitionKey("d", "month")], [lay.SortKey("t")]))
-    assert not lay.layouts_match(stored, (same[0], [lay.SortKey("t", "desc")]))
-    assert not lay.layouts_match(stored, (same[0], []))
-    two = [lay.PartitionKey("a"), lay.PartitionKey("b")]
-    assert not lay.layouts_match((two, []), (two[::-1], []))
+    stored = lay.Layout.read([("d", "day")], [("t", "asc", "last")])
+    assert lay.Layout.read([("d", "DAY")], ["t"]).satisfied_by(stored)
+    assert not lay.Layout.read([("d", "month")], ["t"]).satisfied_by(stored)
+    assert not lay.Layout.read([("d", "day")], [("t", "desc")]).satisfied_by(stored)
+    assert not lay.Layout.read([("d", "day")]).satisfied_by(stored)
+    assert not lay.Layout.read(["b", "a"]).satisfied_by(lay.Layout.read(["a", "b"]))
 
 
 def test_layout_is_fixed_at_creation(spark, dataset):
@@ -163,3 +160,16 @@ def test_instants_are_partitioned_by_utc_whatever_the_session_zone(spark, datase
             assert dataset.table("t", between=("ts", low, high)).count() == 51
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_identity_partitions_of_instants_prune_alike_in_every_zone(spark, dataset):
+    df = spark.range(0, 48).select("id", F.timestamp_seconds(F.col("id") * 3600).alias("ts"))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        load(dataset, with_layout(LoadSpec("t", df), ["ts"]))
+        for zone in ("America/New_York", "UTC", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            low, high = F.timestamp_seconds(F.lit(3600 * 3)), F.timestamp_seconds(F.lit(3600 * 9))
+            assert dataset.table("t", between=("ts", low, high)).count() == 7
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

@@ -92,11 +92,11 @@ def test_duplicates_need_an_order(spark, dataset):
 
 def test_key_from_column_hints_and_metadata(spark):
     df = users(spark, (1, "a", None))
-    assert spec_module.resolve_primary_key(LoadSpec("u", df)) is None
-    assert spec_module.resolve_primary_key(LoadSpec("u", df, columns={"id": {"primary_key": True}})) == ["id"]
+    assert LoadSpec("u", df).key == []
+    assert LoadSpec("u", df, columns={"id": {"primary_key": True}}).key == ["id"]
     tagged = df.withColumn("name", F.col("name").alias("name", metadata={"primary_key": True}))
-    assert spec_module.resolve_primary_key(LoadSpec("u", tagged)) == ["name"]
-    assert spec_module.resolve_primary_key(LoadSpec("u", tagged, primary_key="id")) == ["id"]
+    assert LoadSpec("u", tagged).key == ["name"]
+    assert LoadSpec("u", tagged, primary_key="id").key == ["id"]
 
 
 def test_dispositions(spark):

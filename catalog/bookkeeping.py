@@ -177,7 +177,7 @@ def load_report(spark, folder):
 @query(
     "row_identity",
     """
-    SELECT o_orderkey, 'load-1' AS _dlt_load_id, sha256('load-1|' || CAST(o_orderkey AS VARCHAR)) AS _dlt_id FROM orders
+    SELECT o_orderkey, 'load-1' AS _dlt_load_id, sha256('6:load-1|' || length(CAST(o_orderkey AS VARCHAR)) || ':' || CAST(o_orderkey AS VARCHAR)) AS _dlt_id FROM orders
     """,
 )
 def row_identity(spark, folder):

@@ -23,8 +23,8 @@ def _documents(spark, folder):
 @query(
     "nested_child_table",
     f"""
-    SELECT sha256('n-1|' || CAST(doc_id AS VARCHAR)) AS _dlt_parent_id, CAST(idx AS INTEGER) AS _dlt_list_idx,
-           sha256(sha256('n-1|' || CAST(doc_id AS VARCHAR)) || '_documents__lines_' || CAST(idx AS VARCHAR)) AS _dlt_id,
+    SELECT sha256('3:n-1|' || length(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR)) AS _dlt_parent_id, CAST(idx AS INTEGER) AS _dlt_list_idx,
+           sha256(sha256('3:n-1|' || length(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR)) || '_documents__lines_' || CAST(idx AS VARCHAR)) AS _dlt_id,
            'n-1' AS _dlt_load_id, line, CAST(length(line) AS BIGINT) AS n_chars FROM ({_LINES})
     """,
 )
@@ -42,7 +42,7 @@ def nested_child_table(spark, folder):
     WITH lines AS ({_LINES}),
          words AS (SELECT doc_id, idx, unnest(string_split(line, ' ')) AS value,
                           generate_subscripts(string_split(line, ' '), 1) - 1 AS pos FROM lines)
-    SELECT sha256(sha256('n-1|' || CAST(doc_id AS VARCHAR)) || '_documents__lines_' || CAST(idx AS VARCHAR)) AS _dlt_parent_id,
+    SELECT sha256(sha256('3:n-1|' || length(CAST(doc_id AS VARCHAR)) || ':' || CAST(doc_id AS VARCHAR)) || '_documents__lines_' || CAST(idx AS VARCHAR)) AS _dlt_parent_id,
            CAST(pos AS INTEGER) AS _dlt_list_idx, value FROM words
     """,
 )

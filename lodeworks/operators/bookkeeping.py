@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodeworks.functions.keys import quoted
+from lodeworks.plans import files as fs
 
 # Names and columns of the three bookkeeping tables.
 LOADS_TABLE = "_dlt_loads"
@@ -42,9 +43,6 @@ SCHEMAS = {
     .add("_dlt_id", "string"),
 }
 COMPLETED = 0
-# Beyond this many rows per group the engine no longer pre-filters a ranking per task.
-_GROUP_LIMIT = 1000
-_SALTS = 64
 
 
 def latest_schema(versions: DataFrame, schema_name: str | None = None) -> DataFrame:
@@ -90,17 +88,38 @@ def latest_state(state: DataFrame, loads: DataFrame, pipeline_name: str | None =
 def newest_per_group(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
     """The first ``n`` rows per group in descending ``order``.
 
-    Small ``n``: the engine keeps n rows per group and task before it shuffles. Larger
-    ``n``: the same by hand, in two steps, the first over salted groups.
+    Up to the session's own limit for it, the engine keeps n rows per group and task before
+    it shuffles. For a larger ``n`` the ranks come from counts laid out by range of group and
+    order, so a hot group spreads over as many tasks as it needs.
     """
     by = [F.desc(c) for c in order]
-    if n > _GROUP_LIMIT:
-        salt = F.pmod(F.xxhash64(*order), F.lit(_SALTS))
-        df = df.withColumn("__salt", salt)
-        df = _ranked(df, [*group, "__salt"], by, n).drop("__salt")
+    limit = max(1, int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000")))
+    if n > limit:
+        return _first_by_ranges(df, group, order, n)
     return _ranked(df, group, by, n)
 
 
+def _first_by_ranges(df: DataFrame, group: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+    """The same from counts per place, written once by range: a range's first rank is what earlier ranges hold."""
+    spark, folder = df.sparkSession, fs.shared_folder(df.sparkSession)
+    # as structs, which compare equal where their fields are null alike
+    rows = df.withColumns({"__group": F.struct(*(quoted(c) for c in group)), "__place": F.struct(*(quoted(c) for c in order))})
+    counts = rows.groupBy("__group", "__place").agg(F.count(F.lit(1)).alias("__count"))
+    laid = counts.repartitionByRange(F.col("__group"), F.desc("__place")).withColumn("__part", F.spark_partition_id())
+    laid.write.parquet(f"{folder}/ranges")
+    laid = spark.read.schema(laid.schema).parquet(f"{folder}/ranges")
+    earlier = Window.partitionBy("__group").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    held = laid.groupBy("__group", "__part").agg(F.sum("__count").alias("__held"))
+    held = held.select("__group", "__part", F.coalesce(F.sum("__held").over(earlier), F.lit(0)).alias("__first"))
+    inside = Window.partitionBy("__group", "__part").orderBy(F.desc("__place"))
+    ranked = laid.join(held, ["__group", "__part"]).withColumn("__before", F.col("__first") + F.sum("__count").over(inside) - F.col("__count"))
+    wanted = ranked.where(F.col("__before") < n).select("__group", "__place", F.least("__count", F.lit(n) - F.col("__before")).alias("__take"))
+    found = rows.join(wanted, ["__group", "__place"])
+    # only rows of one place are left to choose from
+    number = F.row_number().over(Window.partitionBy("__group", "__place").orderBy(F.lit(0)))
+    return found.withColumn("__number", number).where(F.col("__number") <= F.col("__take")).select(*df.columns)
+
+
 def _ranked(df: DataFrame, group: Sequence[str], by: list, n: int) -> DataFrame:
     rank = F.row_number().over(Window.partitionBy(*group).orderBy(*by))
     return df.withColumn("__rank", rank).where(F.col("__rank") <= n).drop("__rank")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.functions.keys import quoted
@@ -23,6 +23,15 @@ def with_identity(df: DataFrame, load_id: str, order: Sequence[str] = ()) -> Dat
     """
     added = {LOAD_ID: F.lit(load_id)}
     if ROW_ID not in df.columns:
-        position = [quoted(c).cast("string") for c in order]
-        added[ROW_ID] = F.sha2(F.concat_ws("|", F.lit(load_id), *position), 256) if order else F.expr("uuid()")
+        added[ROW_ID] = digest(F.lit(load_id), *(quoted(c) for c in order)) if order else F.expr("uuid()")
     return df.withColumns(added)
+
+
+def digest(*values: Column) -> Column:
+    """SHA-256 of values that differ from all others, nulls and separators included.
+
+    Each value is its length in characters, a colon and its text; a null is a dash.
+    """
+    texts = [v.cast("string") for v in values]
+    parts = [F.coalesce(F.concat(F.char_length(t).cast("string"), F.lit(":"), t), F.lit("-")) for t in texts]
+    return F.sha2(F.concat_ws("|", *parts), 256)

@@ -32,7 +32,7 @@ ROW_SEQ = "__row_seq"
 # Set by last_per_key: the key ends deleted.
 DELETED = "__deleted"
 
-DUPLICATE_KEY = "merge key repeats in a batch that has no row order"
+DUPLICATE_KEY = "merge key repeats in a batch"
 
 
 def _data_columns(df: DataFrame) -> list[str]:
@@ -89,13 +89,18 @@ def last_per_key(
     rank = [quoted(c) for c in ([file_order] if file_order else [])] + [flagged] + [quoted(c) for c in order]
     keys = [quoted(k) for k in key]
     if order:
-        winner = incoming.groupBy(*keys).agg(F.max_by(row, F.struct(*rank)).alias("__row"))
+        # rows that share the winning place differ in a hash, one way up or the other
+        alike = F.xxhash64(*(quoted(c) for c in data if not _has_map(incoming.schema[c].dataType)), flagged)
+        places = [F.max(F.struct(*rank, h.alias("__hash"))).getField("__hash") for h in (alike, F.bitwise_not(alike))]
+        winner = incoming.groupBy(*keys).agg(F.max_by(row, F.struct(*rank)).alias("__row"), places[0].alias("__top"), places[1].alias("__low"))
+        clash = F.raise_error(F.lit(f"{DUPLICATE_KEY} whose row order ties: {', '.join(key)}")).cast("bigint")
+        winner = winner.where(F.when(F.col("__top") != F.bitwise_not("__low"), clash).otherwise(F.lit(0)) == 0)
     else:
         # nothing ranks two rows of a key inside a file, so a second one is refused
         ranked = incoming.groupBy(*keys, *([quoted(file_order)] if file_order else [])).agg(
             F.first(row).alias("__row"), F.count(F.lit(1)).alias("__n")
         )
-        clash = F.raise_error(F.lit(f"{DUPLICATE_KEY}: {', '.join(key)}")).cast("bigint")
+        clash = F.raise_error(F.lit(f"{DUPLICATE_KEY} that has no row order: {', '.join(key)}")).cast("bigint")
         ranked = ranked.where(F.when(F.col("__n") > 1, clash).otherwise(F.col("__n")) == 1)
         if file_order:
             winner = ranked.groupBy(*keys).agg(F.max_by("__row", quoted(file_order)).alias("__row"))
@@ -108,6 +113,12 @@ def last_per_key(
     return winner.select(*columns, F.col("__row").getField(DELETED).alias(DELETED))
 
 
+def _has_map(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.StructType):
+        return any(_has_map(f.dataType) for f in dtype.fields)
+    return isinstance(dtype, T.MapType) or (isinstance(dtype, T.ArrayType) and _has_map(dtype.elementType))
+
+
 def keep_unmatched(existing: DataFrame, keys: DataFrame, key: Sequence[str]) -> DataFrame:
     """Rows of ``existing`` whose key is not among ``keys``."""
     return existing.join(keys.select(*(quoted(k) for k in key)), list(key), "left_anti").select(*existing.columns)

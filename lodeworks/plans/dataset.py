@@ -7,7 +7,8 @@ a failed or retried job leaves nothing visible, and a rewrite may read the table
 replaces. What a load does not touch is listed again, not copied: whole parts, and
 inside a part the files that hold no changed key.
 
-There is one writer per table; a second one fails at publish.
+Appends may race: the one that comes second is published on top of the first. Any other
+change of a table has one writer; a second one fails at publish.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodeworks.errors import UndefinedDatasetError, UndefinedTableError
+from lodeworks.errors import ConcurrentPublishError, UndefinedDatasetError, UndefinedTableError
 from lodeworks.functions.keys import guard_keys, quoted
 from lodeworks.functions.local import empty_frame, local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
@@ -47,12 +48,10 @@ PART = "__part"
 _MARKER = "dataset.json"
 # Key types whose range is worth passing to the scan.
 _RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
-# Appends that may pile up on a bookkeeping table before its parts are put together.
-_SMALL_PARTS = 50
+# How often an append that lost the race for a version number tries the next one.
+_APPEND_TRIES = 50
 # Replaced files a version may list; beyond it the directories of a load are rewritten whole.
 _REPLACED_FILES = 2000
-# Version files kept per table, so that finding the newest does not slow down with age.
-_VERSIONS_KEPT = 100
 
 
 @dataclass(frozen=True)
@@ -67,7 +66,7 @@ class TableVersion:
     key: list | None = None
     partition_by: list = field(default_factory=list)
     sorted_by: list = field(default_factory=list)
-    last_load: str | None = None
+    loads: list = field(default_factory=list)  # loads applied that were not yet seen in the load log
 
     @property
     def schema(self) -> T.StructType:
@@ -172,10 +171,26 @@ class Dataset:
         folder = f"{self._home(table)}/versions"
         fs.make_directory(self.spark, folder)
         fs.write_new(self.spark, f"{folder}/{version.number:012d}.json", json.dumps(asdict(version)))
-        if version.number > _VERSIONS_KEPT:
-            fs.delete(self.spark, f"{folder}/{version.number - _VERSIONS_KEPT:012d}.json")
         return version
 
+    def publish_append(self, table: str, base: TableVersion, parts: Sequence[dict], rows: int, loads: Sequence[str] = ()) -> TableVersion:
+        """Publish ``base`` with more parts; if someone else published first, the same on top of theirs.
+
+        Appended parts fit any later version, unless its schema is another one.
+        """
+        for left in range(_APPEND_TRIES, 0, -1):
+            version = replace(base, parts=[*base.parts, *parts], rows=base.rows + rows, loaded=True, loads=[*base.loads, *loads])
+            try:
+                return self.publish(table, version)
+            except ConcurrentPublishError:
+                other = self.version(table)
+                if left == 1 or (other.schemas and other.schemas[-1:] != base.schemas[-1:]):
+                    raise
+                index = len(other.schemas) - 1
+                parts = [{**p, "schema": index} for p in parts]
+                base = other
+        raise AssertionError("unreachable")
+
     def declare(
         self,
         tables: Mapping[str, T.StructType],
@@ -246,6 +261,8 @@ class Dataset:
         rows = []
         for name in self.table_names() if names is None else names:
             version = self.version(name)
+            if version is None:
+                raise UndefinedTableError(f"table {self.schema}.{name} does not exist")
             rows.append((name, version.loaded, version.rows))
         return local_frame(self.spark, rows, "table string, loaded boolean, row_count bigint")
 
@@ -321,20 +338,29 @@ class Dataset:
         return F.substring_index("_metadata.file_path", f"/{PART}=", -1)
 
     def sql(self, query: str, args: Any = None) -> DataFrame:
-        """Run a query over the tables, by bare or ``schema.table`` name.
+        """Run a query over the tables, by bare or ``schema.table`` name in any case.
 
-        Values go in through ``args``; nothing is spliced into the text.
+        Values go in through ``args``; nothing is spliced into the text. The query runs in a
+        session of its own with the caller's settings, which holds views of this dataset's
+        tables and no others: views of the caller, or of another dataset, are neither seen
+        nor replaced.
         """
-        words = set(re.findall(r"\w+", query))
-        for name in self.table_names():
-            if name in words:
-                self.table(name).createOrReplaceTempView(name)
-        # text in quotes is matched first and left as it is
-        bare = re.sub(
-            rf"'(?:[^'\\]|\\.|'')*'|\b{re.escape(self.schema)}\.(\w+)", lambda m: m.group(1) or m.group(0), query
-        )
+        session = self.spark.newSession()
+        for name, value in self.spark.conf.getAll.items():
+            if session.conf.isModifiable(name):
+                session.conf.set(name, value)
+        own = Dataset(session, self.root, self.schema)
+        tables = {n.lower() for n in self.table_names()}
+        for name in tables.intersection(w.lower() for w in re.findall(r"\w+", query)):
+            own.table(name).createOrReplaceTempView(name)
+        # quoted text is matched first and left as it is; a qualifier goes only where a table is named
+        qualified = rf"'(?:[^'\\]|\\.|'')*'|(\b(?:from|join)\s+|,\s*){re.escape(self.schema)}\.(\w+)"
+
+        def bare(m: re.Match) -> str:
+            return m[1] + m[2] if m[2] and m[2].lower() in tables else m[0]
+
         try:
-            return self.spark.sql(bare, args=args)
+            return session.sql(re.sub(qualified, bare, query, flags=re.IGNORECASE), args=args)
         except AnalysisException as error:
             if error.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
                 raise UndefinedTableError(str(error).split("\n")[0]) from error
@@ -498,15 +524,11 @@ class Dataset:
         return self.publish(table, replace(version, parts=written.parts, rows=written.rows))
 
     def append_rows(self, table: str, df: DataFrame) -> TableVersion:
-        """Append to a bookkeeping table, creating it; its parts are put together now and then."""
+        """Append to a bookkeeping table, creating it. Nothing stored is written again;
+        ``compact`` puts small parts together when the owner asks for it."""
         version = self.version(table) or TableVersion(schemas=[json.loads(SCHEMAS[table].json())])
         written = self.write_parts(table, version, df)
-        version = replace(version, parts=[*version.parts, *written.parts], rows=version.rows + written.rows, loaded=True)
-        version = self.publish(table, version)
-        if len(version.parts) >= _SMALL_PARTS:
-            version = self.compact(table)
-            self.vacuum(table, keep=_SMALL_PARTS)
-        return version
+        return self.publish_append(table, version, written.parts, written.rows)
 
     def bookkeeping(self, table: str) -> DataFrame:
         """A bookkeeping table; one that was never loaded reads as empty.

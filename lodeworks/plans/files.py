@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
@@ -84,18 +85,48 @@ def read_text(spark: SparkSession, path: str) -> str:
 
 
 def write_new(spark: SparkSession, path: str, text: str) -> None:
-    """Create a file whole or not at all; refuse one that is already there."""
+    """Create a file whole or not at all; refuse one that is already there.
+
+    The text goes to a draft, which then gets its name in one step that fails if the name is
+    taken: a hard link on a local file system, a rename without overwriting elsewhere.
+    """
     system, target = _open(spark, path)
     folder, _, name = path.rpartition("/")
     _, draft = _open(spark, f"{folder}/.{name}.{uuid.uuid4().hex}")
     stream = system.create(draft, False)
     stream.write(bytearray(text.encode("utf-8")))
     stream.close()
-    if system.exists(target) or not system.rename(draft, target):
-        system.delete(draft, False)
+    try:
+        taken = not _named(spark, system, draft, target)
+    finally:
+        if system.exists(draft):
+            system.delete(draft, False)
+    if taken:
         raise ConcurrentPublishError(f"{path} was written by someone else")
 
 
+def _named(spark: SparkSession, system, draft, target) -> bool:
+    qualified = system.makeQualified(target).toUri()
+    if qualified.getScheme() != "file":
+        return not system.exists(target) and system.rename(draft, target)
+    paths = spark._jvm.java.nio.file.Paths
+    link = spark._jvm.java.nio.file.Files.createLink
+    try:
+        link(paths.get(qualified), paths.get(system.makeQualified(draft).toUri()))
+        return True
+    except Py4JJavaError as error:
+        if "FileAlreadyExistsException" in str(error.java_exception.getClass().getName()):
+            return False
+        raise
+
+
+def rename(spark: SparkSession, old: str, new: str) -> None:
+    system, p = _open(spark, old)
+    _, target = _open(spark, new)
+    if not system.rename(p, target):
+        raise OSError(f"could not rename {old} to {new}")
+
+
 def delete(spark: SparkSession, path: str) -> None:
     system, p = _open(spark, path)
     system.delete(p, True)

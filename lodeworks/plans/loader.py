@@ -21,14 +21,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodeworks.errors import DuplicateKeyError, LayoutError, LoadError, NullKeyError
+from lodeworks.errors import DuplicateKeyError, LayoutError, LoadError, NullKeyError, UndefinedTableError
 from lodeworks.functions.keys import NULL_KEY, guard_keys, quoted, split_hard_delete
 from lodeworks.functions.local import local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
-from lodeworks.functions.nested import child_tables
+from lodeworks.functions.nested import ROOT_ID, child_tables
 from lodeworks.functions.schema import conform, logical_type, merge_schemas
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS, since
-from lodeworks.operators.identity import ROW_ID, with_identity
+from lodeworks.operators.identity import ROW_ID, digest, with_identity
 from lodeworks.operators.layout import partition_value
 from lodeworks.operators.merge import (
     DELETED,
@@ -62,6 +62,7 @@ class _Task:
     flag: str | None
     files: list[str]
     fresh_ids: bool  # row ids made for this load, so none of them is stored yet
+    keys: DataFrame | None = None  # whose rows go, where the rows themselves don't tell
 
     @property
     def schema(self) -> T.StructType:
@@ -84,34 +85,54 @@ def load(
 ) -> DataFrame:
     """Load one package; returns its report, one (table, file, rows) line per file.
 
-    ``pipeline`` and ``state`` store a state row that counts once this load completes.
+    ``pipeline`` and ``state`` store a state row that counts once this load completes. A
+    load id that was loaded before, also one that broke off and also if others were loaded
+    since, is not applied again to the tables it reached; those have no line in the report.
     """
-    spark = dataset.spark
-    load_id = load_id or f"{datetime.now(timezone.utc).timestamp():.6f}"
+    load_id = load_id or _new_id()
     specs = [specs] if isinstance(specs, LoadSpec) else list(specs)
-    tasks = [t for spec in specs for t in _prepare(dataset, spec, load_id, default_disposition)]
-    _verify(dataset, tasks)
+    tasks = [t for spec in specs for t in _prepare(dataset, spec, load_id, resolve_action(spec, default_disposition))]
+    written = _run(dataset, tasks, load_id, schema_name, pipeline, state, max_state_rows)
+    return _report(dataset.spark, tasks, written)
+
+
+def _new_id() -> str:
+    return f"{datetime.now(timezone.utc).timestamp():.6f}"
+
 
-    written: dict[str, int] = {}
-    if not bookkeeping.is_complete(dataset, load_id):
-        _declare(dataset, tasks)
-        # a load that broke off after some tables were published goes on with the others
-        left = [t for t in tasks if dataset.version(t.table).last_load != load_id]
-        written = _apply_all(dataset, left, load_id)
-        version_hash = bookkeeping.update_stored_schema(dataset, schema_name)
-        if pipeline is not None:
-            bookkeeping.save_state(dataset, pipeline, state, load_id)
-        bookkeeping.complete_load(dataset, load_id, schema_name, version_hash)
-        bookkeeping.prune_pipeline_state(dataset, max_state_rows)
-    return _report(spark, tasks, written)
-
-
-def _apply_all(dataset: Dataset, tasks: list[_Task], load_id: str) -> dict[str, int]:
+def _run(
+    dataset: Dataset,
+    tasks: list[_Task],
+    load_id: str,
+    schema_name: str = "default",
+    pipeline: str | None = None,
+    state: Any = None,
+    max_state_rows: int = 100,
+) -> dict[str, int]:
+    """Apply the tasks that were not applied before; table -> rows it wrote or removed."""
+    _verify(dataset, tasks)
+    present = {t.table: dataset.version(t.table) for t in tasks}
+    pending = {load_id, *(i for v in present.values() if v for i in v.loads)}
+    done = bookkeeping.completed(dataset, pending)
+    if load_id in done:
+        return {}
+    _declare(dataset, tasks)
+    left = [t for t in tasks if present[t.table] is None or load_id not in present[t.table].loads]
+    written = _apply_all(dataset, left, load_id, done)
+    version_hash = bookkeeping.update_stored_schema(dataset, schema_name)
+    if pipeline is not None:
+        bookkeeping.save_state(dataset, pipeline, state, load_id)
+    bookkeeping.complete_load(dataset, load_id, schema_name, version_hash)
+    bookkeeping.prune_pipeline_state(dataset, max_state_rows)
+    return written
+
+
+def _apply_all(dataset: Dataset, tasks: list[_Task], load_id: str, done: set[str]) -> dict[str, int]:
     """Load each table, a few at a time: tables share nothing, so their jobs may overlap."""
 
     def one(task: _Task) -> int:
         with _named_errors():
-            return _apply(dataset, task, load_id)
+            return _apply(dataset, task, load_id, done)
 
     if len(tasks) < 2:
         return {t.table: one(t) for t in tasks}
@@ -121,13 +142,13 @@ def _apply_all(dataset: Dataset, tasks: list[_Task], load_id: str) -> dict[str,
 
 
 def _report(spark, tasks: list[_Task], written: dict[str, int]) -> DataFrame:
-    """Rows per file as they came in; a batch that was not files is one line without a file."""
+    """Of the tables that were loaded: rows per file read, or one line with the rows written if it was no files."""
     frames = []
     plain = [(t.table, None, written[t.table]) for t in tasks if not t.files and t.table in written]
     if plain:
         frames.append(local_frame(spark, plain, "table string, file string, rows bigint"))
     for t in tasks:
-        if t.files:
+        if t.files and t.table in written:
             frames.append(rows_per_file(spark, t.files).select(F.lit(t.table).alias("table"), "file", "rows"))
     if not frames:
         return local_frame(spark, [], "table string, file string, rows bigint")
@@ -137,14 +158,13 @@ def _report(spark, tasks: list[_Task], written: dict[str, int]) -> DataFrame:
 # -- before any job ------------------------------------------------------------------
 
 
-def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, default_disposition: str) -> list[_Task]:
-    action = resolve_action(spec, default_disposition)
+def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, action: str) -> list[_Task]:
     files: list[str] = []
     rows, order = spec.data, list(spec.order_by)
     if not isinstance(rows, DataFrame):
         files = list_files(dataset.spark, rows)
         rows = read_package(dataset.spark, files)
-    elif spec.nested and not order and ROW_ID not in rows.columns:
+    elif spec.nested and not order and ROW_ID not in rows.columns and not (spec.key and action == "upsert"):
         # child rows point at their parent, so the parent's id must come out the same in
         # every job: rows without an order get one from files written once
         staged = fs.shared_folder(dataset.spark) + "/rows"
@@ -159,6 +179,8 @@ def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, default_disposition
         # rows of different keys may share their place in the order
         position = [*key, *order]
     fresh_ids = ROW_ID not in rows.columns
+    if spec.nested and key and action == "upsert" and set(key) <= set(rows.columns):
+        return _nested_merge(dataset, spec, rows, key, order, load_id, files)
     rows = with_identity(rows, load_id, position)
     if not spec.nested:
         spec = replace(spec, data=rows, order_by=order)
@@ -174,6 +196,33 @@ def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, default_disposition
     return tasks
 
 
+def _nested_merge(
+    dataset: Dataset, spec: LoadSpec, rows: DataFrame, key: list[str], order: list[str], load_id: str, files: list[str]
+) -> list[_Task]:
+    """A keyed merge of nested rows: each key's children, at every depth, are replaced with its row.
+
+    A row's id is a digest of its key, so it stays the same from load to load. The batch is
+    folded first and written once: only the rows that win have children.
+    """
+    flag = spec.delete_flag if spec.delete_flag in rows.columns else None
+    with _named_errors():
+        winners = last_per_key(rows, key, order=order, hard_delete=flag)
+        own = digest(F.lit(spec.target), *(quoted(k) for k in key))
+        winners = with_identity(winners.withColumn(ROW_ID, own), load_id)
+        folder = fs.shared_folder(dataset.spark) + "/winners"
+        winners.write.parquet(folder)
+    winners = dataset.spark.read.schema(winners.schema).parquet(folder)
+    live = winners.where(~F.col(DELETED)).drop(DELETED)
+    shape = child_tables(winners.drop(DELETED), spec.target, spec.max_nesting)[spec.target]
+    tasks = [_task(replace(spec, data=shape, order_by=[]), shape, "upsert", files, False)]
+    for table, frame in child_tables(live, spec.target, spec.max_nesting, root_ids=True).items():
+        if table != spec.target:
+            child = LoadSpec(table, frame, primary_key=[ROOT_ID])
+            roots = winners.select(quoted(ROW_ID).alias(ROOT_ID))
+            tasks.append(replace(_task(child, frame, "replace-of-keys", [], False), keys=roots))
+    return tasks
+
+
 def _normalized(rows: DataFrame, spec: LoadSpec) -> tuple[DataFrame, LoadSpec]:
     """Column names in the stored form, in the frame and in every hint."""
     data = [c for c in rows.columns if c not in POSITION]
@@ -219,7 +268,7 @@ def _verify(dataset: Dataset, tasks: list[_Task]) -> None:
             raise LoadError(f"table {table!r} is kept by the loader")
     check_names(targets)
     for t in tasks:
-        if t.action in ("upsert", "insert-only") and t.key:
+        if t.action in ("upsert", "insert-only", "update", "delete") and t.key:
             if t.flag in t.key:
                 raise LoadError(f"hard-delete column {t.flag!r} cannot also be a key column")
             absent = [k for k in t.key if k not in t.rows.columns]
@@ -231,7 +280,7 @@ def _verify(dataset: Dataset, tasks: list[_Task]) -> None:
         for k in layout.partitions:
             partition_value(k, t.rows.schema[k.column].dataType)
         stored = dataset.version(t.table)
-        if stored is not None:
+        if stored is not None and t.action != "delete":
             merge_schemas(stored.schema, t.schema)
 
 
@@ -239,7 +288,7 @@ def _declare(dataset: Dataset, tasks: list[_Task]) -> None:
     schemas = {t.table: t.schema for t in tasks} | SCHEMAS
     dataset.declare(
         schemas,
-        {t.table: t.key for t in tasks if t.key},
+        {t.table: t.key for t in tasks if t.key and t.action != "replace-of-keys"},
         {t.table: t.spec.layout for t in tasks},
     )
 
@@ -247,14 +296,16 @@ def _declare(dataset: Dataset, tasks: list[_Task]) -> None:
 # -- one table -----------------------------------------------------------------------
 
 
-def _apply(dataset: Dataset, task: _Task, load_id: str) -> int:
-    """Write, publish once, return the rows the table gained as new versions of rows."""
+def _apply(dataset: Dataset, task: _Task, load_id: str, done: set[str]) -> int:
+    """Write, publish once, return the rows the table gained as new versions of rows (or lost, by a delete)."""
     current = dataset.version(task.table)
+    if task.action == "delete":
+        return _delete(dataset, task, replace(current, loads=_pending(current, done, load_id)))
     version = current.evolved(merge_schemas(current.schema, task.schema))
     position = [f for f in task.rows.schema.fields if f.name in POSITION]
     wanted = [c for c in task.rows.columns if c in POSITION or c in version.schema.names]
     rows = conform(task.rows.select(*(quoted(c) for c in wanted)), T.StructType([*version.schema.fields, *position]))
-    done = replace(version, loaded=True, last_load=load_id)
+    applied = replace(version, loaded=True, loads=_pending(version, done, load_id))
 
     action, flag = task.action, task.flag
     if action in ("upsert", "insert-only") and not task.key:
@@ -263,24 +314,36 @@ def _apply(dataset: Dataset, task: _Task, load_id: str) -> int:
         # ids made for this load match no stored row, so there is nothing to look up
         action = "append" if task.fresh_ids else action
 
-    if action == "upsert":
+    if action == "replace-of-keys":
+        return _replace_keys(dataset, task.table, applied, rows, task.key, None, conform(task.keys, T.StructType([version.schema[k] for k in task.key])))
+    if action in ("upsert", "update"):
         key = task.key or [ROW_ID]
         winners = last_per_key(rows, key, order=task.spec.order_by, hard_delete=flag)
         winners = winners if flag else winners.drop(DELETED)
-        return _replace_keys(dataset, task.table, done, winners, key, DELETED if flag else None)
+        if action == "update":
+            known = known_keys(dataset.table(task.table, version=version), winners, key)
+            winners = winners.join(known, list(key), "left_semi").select(*winners.columns)
+        return _replace_keys(dataset, task.table, applied, winners, key, DELETED if flag else None)
 
     if action == "insert-only":
         existing = dataset.table(task.table, version=version)
         rows = new_rows(existing, rows, task.key or [ROW_ID], hard_delete=flag)
     written = dataset.write_parts(task.table, version, rows.drop(*POSITION))
-    if action == "replace":
-        done = replace(done, parts=written.parts, rows=written.rows)
+    if action == "append":
+        base = replace(version, loads=applied.loads[:-1])
+        dataset.publish_append(task.table, base, written.parts, written.rows, [load_id])
+    elif action == "replace":
+        dataset.publish(task.table, replace(applied, parts=written.parts, rows=written.rows))
     else:
-        done = replace(done, parts=[*version.parts, *written.parts], rows=version.rows + written.rows)
-    dataset.publish(task.table, done)
+        dataset.publish(task.table, replace(applied, parts=[*version.parts, *written.parts], rows=version.rows + written.rows))
     return written.rows
 
 
+def _pending(version: TableVersion, done: set[str], load_id: str) -> list[str]:
+    """Loads to keep on the table: those a retry could still bring, which are not in the load log, and this one."""
+    return [*(i for i in version.loads if i not in done), load_id]
+
+
 def _replace_keys(
     dataset: Dataset,
     table: str,
@@ -288,15 +351,17 @@ def _replace_keys(
     winners: DataFrame,
     key: list[str],
     dead: str | None,
+    keys: DataFrame | None = None,
 ) -> int:
-    """Publish the table with every row of the winners' keys replaced by the winner.
+    """Publish the table with every row of the keys (the winners' own, unless given) replaced by the winners.
 
     The folded batch is written once, straight into its final part (rows that end
     deleted beside it). Its keys are then read from there, so that their size is known
     and Spark plans each join with them as a broadcast or as a shuffle by that size.
     """
-    written = dataset.write_parts(table, version, winners, dead, measured=key)
-    keys = dataset.scan(table, version, [*written.parts, *written.dead]).select(*(quoted(k) for k in key))
+    written = dataset.write_parts(table, version, winners, dead, measured=() if keys is not None else key)
+    if keys is None:
+        keys = dataset.scan(table, version, [*written.parts, *written.dead]).select(*(quoted(k) for k in key))
     parts, removed = dataset.without_keys(table, version, keys, key, written.bounds)
     rows = version.rows - removed + written.rows
     dataset.publish(table, replace(version, parts=[*parts, *written.parts], rows=rows))
@@ -304,30 +369,39 @@ def _replace_keys(
     return written.rows
 
 
-def delete_rows(dataset: Dataset, table: str, keys: DataFrame, key: Sequence[str]) -> int:
-    """Remove the rows whose key is listed; returns how many went."""
-    version = dataset.version(table)
+def _delete(dataset: Dataset, task: _Task, version: TableVersion) -> int:
     keys = conform(
-        guard_keys(keys.select(*(quoted(k) for k in key)), key),
-        T.StructType([version.schema[k] for k in key]),
+        guard_keys(task.rows.select(*(quoted(k) for k in task.key)), task.key),
+        T.StructType([version.schema[k] for k in task.key]),
     ).distinct()
-    with _named_errors():
-        parts, removed = dataset.without_keys(table, version, keys, key, {})
-    dataset.publish(table, replace(version, parts=parts, rows=version.rows - removed, loaded=True))
+    parts, removed = dataset.without_keys(task.table, version, keys, task.key, {})
+    dataset.publish(task.table, replace(version, parts=parts, rows=version.rows - removed, loaded=True))
     return removed
 
 
+def delete_rows(dataset: Dataset, table: str, keys: DataFrame, key: Sequence[str], *, load_id: str | None = None) -> int:
+    """Remove the rows whose key is listed, as a load of its own; returns how many went."""
+    _known(dataset, table)
+    rows = keys.select(*(quoted(k) for k in key))
+    spec = LoadSpec(table, rows, primary_key=list(key))
+    task = _Task(normalize_identifier(table), spec, rows, "delete", list(key), None, [], False)
+    return _run(dataset, [task], load_id or _new_id()).get(task.table, 0)
+
+
 def update_rows(
-    dataset: Dataset, table: str, incoming: DataFrame, key: Sequence[str], order_by: Sequence[str] = ()
+    dataset: Dataset, table: str, incoming: DataFrame, key: Sequence[str], order_by: Sequence[str] = (), *, load_id: str | None = None
 ) -> int:
-    """Replace the rows the table already holds; unknown keys are ignored."""
-    current = dataset.version(table)
-    version = current.evolved(merge_schemas(current.schema, incoming.schema))
-    winners = last_per_key(conform(incoming, version.schema), key, order=order_by).drop(DELETED)
-    known = known_keys(dataset.table(table, version=version), winners, key)
-    matched = winners.join(known, list(key), "left_semi").select(*winners.columns)
-    with _named_errors():
-        return _replace_keys(dataset, table, replace(version, loaded=True), matched, list(key), None)
+    """Replace the rows the table already holds, as a load of its own; unknown keys are ignored."""
+    _known(dataset, table)
+    load_id = load_id or _new_id()
+    spec = LoadSpec(table, incoming, primary_key=list(key), order_by=list(order_by))
+    tasks = [replace(t, action="update") for t in _prepare(dataset, spec, load_id, "upsert")]
+    return _run(dataset, tasks, load_id).get(tasks[0].table, 0)
+
+
+def _known(dataset: Dataset, table: str) -> None:
+    if dataset.version(normalize_identifier(table)) is None:
+        raise UndefinedTableError(f"table {dataset.schema}.{table} does not exist")
 
 
 @contextmanager
@@ -353,7 +427,8 @@ def load_incremental(
     *,
     pipeline: str,
     load_id: str | None = None,
-    closed: bool = False,
+    closed: bool | None = None,
+    null_cursors: str = "raise",
     **options: Any,
 ) -> DataFrame:
     """Load the rows past the cursor the last completed run stored, and store the new one.
@@ -361,26 +436,42 @@ def load_incremental(
     The upper bound is read first and bounds the load as well, so rows that arrive in
     between belong to the next run. ``closed`` reads the rows at the last value again, for
     sources where one cursor value fills up over time; those already stored are left out
-    by key.
+    by key. It is the default where there is a key.
+
+    Rows without a cursor value are refused unless ``null_cursors`` is "include" (they are
+    loaded by every run; a key tells those already stored) or "exclude". ``spec.data`` may be
+    the files of a package.
     """
+    if null_cursors not in ("raise", "include", "exclude"):
+        raise LoadError(f"null_cursors is {null_cursors!r}; known are raise, include, exclude")
+    if not isinstance(spec.data, DataFrame):
+        spec = replace(spec, data=read_package(dataset.spark, list_files(dataset.spark, spec.data)))
+    key = spec.key
+    closed = bool(key) if closed is None else closed
     saved = bookkeeping.read_state(dataset, pipeline)
     resource = (saved or {}).get(spec.name, {})
     last = resource.get("last_value")
-    dtype = spec.data.schema[cursor].dataType
+    rows, at = spec.data, quoted(cursor)
+    if null_cursors == "raise" and not rows.where(at.isNull()).isEmpty():
+        raise LoadError(f"rows without a value in cursor {cursor!r}; choose null_cursors='include' or 'exclude'")
+    dtype = rows.schema[cursor].dataType
     low = None if last is None else F.lit(last).cast(dtype)
-    fresh = since(spec.data, cursor, low, closed=closed)
-    top = F.max(quoted(cursor))
+    fresh = since(rows, cursor, low, closed=closed)
+    top = F.max(at)
     # an instant is stored with its offset, so a session in another zone reads the same one
     as_text = F.date_format(top, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX") if isinstance(dtype, T.TimestampType) else top.cast("string")
     high = fresh.agg(as_text).first()[0]
     if high is not None:
         fresh = since(fresh, cursor, up_to=F.lit(high).cast(dtype))
-    key = spec.key
-    if closed and last is not None and dataset.version(spec.target) is not None:
+    fresh = fresh.where(at.isNotNull())
+    if null_cursors == "include":
+        fresh = fresh.unionByName(rows.where(at.isNull()))
+    if last is not None and dataset.version(spec.target) is not None and (closed or null_cursors == "include"):
         if not key:
-            raise LoadError("a closed cursor needs a key to tell re-read rows by")
-        at_bound = dataset.table(spec.target).where(quoted(normalize_identifier(cursor)) == low)
-        seen = at_bound.select(*(quoted(normalize_identifier(k)).alias(k) for k in key))
+            raise LoadError("rows that are read again need a key to tell those already stored by")
+        stored = quoted(normalize_identifier(cursor))
+        again = ((stored == low) if closed else F.lit(False)) | (stored.isNull() if null_cursors == "include" else F.lit(False))
+        seen = dataset.table(spec.target).where(again).select(*(quoted(normalize_identifier(k)).alias(k) for k in key))
         fresh = keep_unmatched(fresh, seen, key)
     state = {**(saved or {}), spec.name: {"cursor": cursor, "last_value": high if high is not None else last}}
     return load(dataset, replace(spec, data=fresh), load_id=load_id, pipeline=pipeline, state=state, **options)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import json
 import warnings
+from collections.abc import Iterable
 from dataclasses import replace
 from datetime import datetime, timezone
 from typing import Any
@@ -34,6 +35,12 @@ def _append_row(dataset: Dataset, table: str, row: tuple) -> None:
     dataset.append_rows(table, local_frame(dataset.spark, [row], SCHEMAS[table]))
 
 
+def completed(dataset: Dataset, load_ids: Iterable[str]) -> set[str]:
+    """Those of the loads that are in the load log."""
+    found = dataset.bookkeeping(LOADS_TABLE).where(F.col("load_id").isin(sorted(load_ids)))
+    return {r[0] for r in found.select("load_id").distinct().collect()}
+
+
 def is_complete(dataset: Dataset, load_id: str) -> bool:
     """Whether this load is in the load log."""
     return not dataset.bookkeeping(LOADS_TABLE).where(F.col("load_id") == load_id).isEmpty()

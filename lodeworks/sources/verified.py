@@ -27,10 +27,16 @@ def deliver(df: DataFrame, path: str, expected: int | None, batch_rows: int = 0)
     writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
     if batch_rows > 0:
         writer = writer.option("maxRecordsPerFile", int(batch_rows))
-    writer.parquet(path)
+    # beside the target first: a bad copy never stands under the name the caller reads
+    spark, draft = df.sparkSession, fs.unique(f"{path.rstrip('/')}.unverified")
+    if fs.exists(spark, path):
+        raise FileExistsError(path)
+    writer.parquet(draft)
     received = int(counted.get.get("rows") or 0)
     if received != expected:
+        fs.delete(spark, draft)
         raise IncompleteReadError(f"received {received} of {expected} rows")
+    fs.rename(spark, draft, path)
     return received
 
 

@@ -235,3 +235,51 @@ def test_listing_keeps_odd_names_apart(spark, tmp_path):
         (tmp_path / name).mkdir()
     assert fs.children(spark, str(tmp_path)) == names
     assert fs.children(spark, str(tmp_path / "a")) == fs.children(spark, str(tmp_path / "missing")) == []
+
+
+def test_sql_sees_this_dataset_alone(spark, dataset, tmp_path):
+    other = Dataset.init(spark, str(tmp_path / "other"))
+    load(dataset, LoadSpec("t", orders(spark, 1, 2, 3)))
+    load(other, LoadSpec("u", orders(spark, 9)))
+    spark.range(7).createOrReplaceTempView("t")
+    try:
+        assert dataset.sql("select count(*) from T").first()[0] == 3
+        assert dataset.sql("select count(*) from Public.T as public where public.id > 1").first()[0] == 2
+        with pytest.raises(UndefinedTableError):
+            other.sql("select * from t")
+        assert spark.sql("select count(*) from t").first()[0] == 7
+        assert other.sql("select 'from public.u' as s from u").first()[0] == "from public.u"
+    finally:
+        spark.catalog.dropTempView("t")
+
+
+def test_sql_has_the_settings_of_the_session(spark, dataset):
+    load(dataset, LoadSpec("t", spark.sql("select timestamp_seconds(0) as at")))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        assert dataset.sql("select date_format(at, 'HH') from t").first()[0] == "09"
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_listing_an_unknown_table(dataset):
+    with pytest.raises(UndefinedTableError):
+        dataset.list_tables(["nope"])
+
+
+def test_a_version_is_written_by_one_of_many(spark, dataset):
+    from concurrent.futures import ThreadPoolExecutor
+
+    path = f"{dataset.root}/one.json"
+
+    def write(k):
+        try:
+            fs.write_new(spark, path, str(k))
+            return k
+        except ConcurrentPublishError:
+            return None
+
+    with ThreadPoolExecutor(8) as pool:
+        won = [k for k in pool.map(write, range(24)) if k is not None]
+    assert len(won) == 1 and fs.read_text(spark, path) == str(won[0])
+    assert fs.children(spark, dataset.root).count("one.json") == 1 and not [n for n in fs.children(spark, dataset.root) if n.startswith(".one") and not n.endswith(".crc")]

@@ -2,8 +2,19 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from lodeworks import DuplicateKeyError, LoadError, LoadSpec, NullKeyError, SchemaConflictError, load
+from lodeworks import (
+    DuplicateKeyError,
+    LoadError,
+    LoadSpec,
+    NullKeyError,
+    SchemaConflictError,
+    UndefinedTableError,
+    delete_rows,
+    load,
+    update_rows,
+)
 from lodeworks import spec as spec_module
+from lodeworks.operators.identity import with_identity
 from lodeworks.plans import files as fs
 from lodeworks.plans import loader
 
@@ -139,10 +150,10 @@ def test_a_load_that_broke_off_goes_on(spark, dataset, monkeypatch):
     package = [LoadSpec("a", users(spark, (1, "a", None))), LoadSpec("b", users(spark, (2, "b", None)))]
     apply = loader._apply
 
-    def fail_on_b(dataset, task, load_id):
+    def fail_on_b(dataset, task, *rest):
         if task.table == "b":
             raise RuntimeError("lost")
-        return apply(dataset, task, load_id)
+        return apply(dataset, task, *rest)
 
     with monkeypatch.context() as patch:
         patch.setattr(loader, "_apply", fail_on_b)
@@ -290,3 +301,69 @@ def test_keyless_merge_on_ids_the_rows_bring(spark, dataset):
     load(dataset, batch(("a", 1), ("b", 2)))
     load(dataset, batch(("b", 3), ("c", 4)))
     assert rows(dataset.table("t").select("_dlt_id", "v")) == [("a", 1), ("b", 3), ("c", 4)]
+
+
+def test_changes_of_stored_rows_are_loads(spark, dataset):
+    load(dataset, LoadSpec("t", spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id long, v string")), load_id="L1")
+    change = spark.createDataFrame([(2, "B"), (9, "x")], "id long, v string")
+    assert update_rows(dataset, "t", change, ["id"], load_id="L2") == 1
+    assert update_rows(dataset, "t", change, ["id"], load_id="L2") == 0  # the same load again
+    assert rows(dataset.table("t").select("id", "v", "_dlt_load_id")) == [(1, "a", "L1"), (2, "B", "L2"), (3, "c", "L1")]
+    assert dataset.table("t").where("_dlt_id is null").isEmpty()
+    assert delete_rows(dataset, "t", spark.createDataFrame([(1,), (7,)], "id long"), ["id"], load_id="L3") == 1
+    assert rows(dataset.bookkeeping("_dlt_loads").select("load_id")) == [("L1",), ("L2",), ("L3",)]
+    # a merge by row id still finds an id on every row
+    load(dataset, LoadSpec("t", dataset.table("t").select("_dlt_id", "id", F.lit("z").alias("v")), write_disposition="merge"), load_id="L4")
+    assert rows(dataset.table("t").select("id", "v")) == [(2, "z"), (3, "z")]
+    for change in (delete_rows, update_rows):
+        with pytest.raises(UndefinedTableError):
+            change(dataset, "nope", spark.createDataFrame([(1,)], "id long"), ["id"])
+
+
+def test_row_ids_tell_all_positions_apart(spark):
+    places = [("a|b", "c"), ("a", "b|c"), (None, "a"), ("a", None), ("", "a"), ("-", "a"), ("a", "")]
+    df = with_identity(spark.createDataFrame(places, "x string, y string"), "L", ["x", "y"])
+    assert df.select("_dlt_id").distinct().count() == len(places)
+
+
+def _order(spark, *orders):
+    return spark.createDataFrame(list(orders), "id long, gone boolean, items array<struct<`Sku Name`: string, codes: array<string>>>")
+
+
+def test_a_nested_row_that_is_merged_again_replaces_its_children(spark, dataset):
+    def go(load_id, *orders):
+        spec = LoadSpec("orders", _order(spark, *orders), write_disposition="merge", primary_key="id", nested=True, columns={"gone": {"hard_delete": True}})
+        load(dataset, spec, load_id=load_id)
+
+    def stored():
+        return rows(
+            dataset.sql(
+                "select o.id, sku_name, value from orders o left join orders__items i on i._dlt_parent_id = o._dlt_id "
+                "left join orders__items__codes c on c._dlt_parent_id = i._dlt_id"
+            )
+        )
+
+    go("L1", (1, False, [("a", ["x", "y"]), ("b", [])]), (2, False, [("z", ["k"])]), (3, False, [("q", ["r"])]))
+    assert stored() == [(1, "a", "x"), (1, "a", "y"), (1, "b", None), (2, "z", "k"), (3, "q", "r")]
+    go("L2", (1, False, [("c", ["w"])]), (2, True, []))
+    assert stored() == [(1, "c", "w"), (3, "q", "r")]
+    # no child is left without its parent
+    assert dataset.table("orders__items").count() == 2 and dataset.table("orders__items__codes").count() == 2
+    assert "sku_name" in dataset.table("orders__items").columns
+
+
+def test_nested_fields_that_become_one_column_are_refused(spark, dataset):
+    df = spark.createDataFrame([(1, ("a", "b"))], "id long, who struct<`A b`: string, `a_B`: string>")
+    with pytest.raises(LoadError, match="who__a_b"):
+        load(dataset, LoadSpec("t", df, nested=True, order_by=["id"]))
+
+
+def test_rows_that_share_a_place_in_the_order_are_refused(spark, dataset):
+    def spec(*data):
+        df = spark.createDataFrame(list(data), "id long, at long, v string")
+        return LoadSpec("t", df, write_disposition="upsert", primary_key="id", order_by=["at"])
+
+    with pytest.raises(DuplicateKeyError, match="ties"):
+        load(dataset, spec((1, 5, "a"), (1, 5, "b"), (2, 1, "c")))
+    load(dataset, spec((1, 5, "a"), (1, 5, "a"), (1, 4, "b"), (1, 4, "c")))
+    assert rows(dataset.table("t").select("id", "v")) == [(1, "a")]

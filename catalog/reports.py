@@ -67,11 +67,9 @@ _TIMING = """
 """
 
 
-def _timing(spark, folder, **options):
+def _timing(spark, folder):
     events = read(spark, folder, "events")
-    summary = timing_summary(
-        events, phase="event_type", elapsed="value", rows="event_id", failed=F.col("value") >= 100, **options
-    )
+    summary = timing_summary(events, phase="event_type", elapsed="value", rows="event_id", failed=F.col("value") >= 100)
     rounded = {c: F.round(c, 4) for c in ("mean", "p50", "p95", "rows_per_sec")}
     return summary.withColumns(rounded)
 
@@ -83,5 +81,10 @@ def timing(spark, folder):
 
 @query("timing_summary_large_groups", _TIMING)
 def timing_large_groups(spark, folder):
-    """The same through the path for groups too large for one task."""
-    return _timing(spark, folder, one_task_rows=100)
+    """The same over many ranges, so that every group lies in several tasks."""
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        return _timing(spark, folder)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

@@ -200,10 +200,12 @@ def list_tables(spark, folder):
 
 @query(
     "row_counts",
-    " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS row_count FROM {t}" for t in _LOADED),
+    " UNION ALL ".join(f"SELECT '{t}' AS \"table\", count(*) AS row_count FROM {t}" for t in _ALL),
 )
 def row_counts(spark, folder):
-    return _fourteen(spark, folder).row_counts(_LOADED)
+    dataset = _fourteen(spark, folder)
+    load(dataset, [LoadSpec(t, read(spark, folder, t)) for t in _ALL if t not in _LOADED])
+    return dataset.row_counts(_ALL)
 
 
 # -- layout ------------------------------------------------------------------------------

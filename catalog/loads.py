@@ -79,6 +79,27 @@ def update_rows_load(spark, folder):
     return dataset.table("t").where("_dlt_id is not null and _dlt_load_id is not null").drop(*_IDENTITY)
 
 
+@query(
+    "upsert_many_files",
+    """
+    WITH first AS (SELECT o_orderkey, CASE WHEN o_orderkey % 2 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders)
+    SELECT o_orderkey, CASE WHEN o_orderkey = (SELECT min(o_orderkey) FROM orders) THEN 0.0 ELSE o_totalprice END AS o_totalprice,
+           CAST(1 AS BIGINT) AS replaced_at_last FROM first
+    """,
+)
+def upsert_many_files(spark, folder):
+    """A merge that touches every file of a load in very many, then one of a single row: that one replaces one file."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    dataset = _loaded(spark, orders.repartition(300, "o_orderkey"), primary_key="o_orderkey", write_disposition="upsert")
+    changed = orders.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    lowest = orders.agg(F.min("o_orderkey").alias("o_orderkey")).withColumn("o_totalprice", F.lit(0.0))
+    gone = []
+    for rows in (changed, lowest):
+        load(dataset, LoadSpec("t", rows, primary_key="o_orderkey", write_disposition="upsert"))
+        gone.append(sum(len(p.get("without", ())) for p in dataset.version("t").parts))
+    return _stored(dataset).withColumn("replaced_at_last", F.lit(gone[1] - gone[0]).cast("long"))
+
+
 @query(
     "load_keyless_merge",
     """

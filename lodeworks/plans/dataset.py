@@ -50,8 +50,6 @@ _MARKER = "dataset.json"
 _RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
 # How often an append that lost the race for a version number tries the next one.
 _APPEND_TRIES = 50
-# Replaced files a version may list; beyond it the directories of a load are rewritten whole.
-_REPLACED_FILES = 2000
 
 
 @dataclass(frozen=True)
@@ -441,11 +439,8 @@ class Dataset:
         that lose every row are left out unread, and all other files stay where they are.
         """
         matched = self._matched_rows(table, version, keys, key, bounds)
-        spare = _REPLACED_FILES - sum(len(p.get("without", ())) for p in version.parts)
-        lines = matched.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).limit(max(spare, 0) + 1).collect()
-        if len(lines) > spare:
-            return self._directories_without_keys(table, version, matched, keys, key)
-        hits = {r["__file"]: r["n"] for r in lines}
+        # names of the files that change: fewer than Spark itself lists to plan the scan above
+        hits = {r["__file"]: r["n"] for r in matched.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()}
         if not hits:
             return version.parts, 0
         by_part: dict[str, list[str]] = {}
@@ -466,17 +461,6 @@ class Dataset:
                 parts.append({**part, "without": gone})
         return [*parts, *self._rewritten(table, version, rewrite, keys, key)], sum(hits.values())
 
-    def _directories_without_keys(
-        self, table: str, version: TableVersion, matched: DataFrame, keys: DataFrame, key: Sequence[str]
-    ) -> tuple[list[dict], int]:
-        """The same for a batch that touches more files than a version may name: by directory."""
-        folder = F.regexp_extract("__file", "^(.*)/", 1).alias("folder")
-        lines = matched.groupBy(folder).agg(F.count(F.lit(1)).alias("n")).collect()
-        touched = {_part_of(f"{r['folder']}/"): r["n"] for r in lines}
-        parts = [p for p in version.parts if p["path"] not in touched]
-        rewrite = [p for p in version.parts if p["path"] in touched]
-        return [*parts, *self._rewritten(table, version, rewrite, keys, key)], sum(touched.values())
-
     def _rewritten(
         self, table: str, version: TableVersion, parts: Sequence[dict], keys: DataFrame, key: Sequence[str]
     ) -> list[dict]:

@@ -183,16 +183,20 @@ def test_merge_rewrites_only_the_files_that_hold_a_key(spark, dataset):
     assert "without" not in dataset.version("t").parts[0] and dataset.table("t").count() == 801
 
 
-def test_many_replaced_files_rewrite_the_directory(spark, dataset, monkeypatch):
-    from lodeworks.plans import dataset as module
-
-    load(dataset, LoadSpec("t", spark.range(0, 100, 1, 4), write_disposition="append"))
-    monkeypatch.setattr(module, "_REPLACED_FILES", 2)
-    change = spark.range(0, 100, 30).withColumn("v", F.lit("n"))
-    load(dataset, LoadSpec("t", change, write_disposition="upsert", primary_key="id"))
+def test_a_merge_of_one_row_rewrites_one_file_whatever_came_before(spark, dataset):
+    load(dataset, LoadSpec("t", spark.range(0, 5000, 1, 250), write_disposition="append"))
+    for step in (20, 7, 3):  # each touches every file, the last ones also those rewritten before
+        change = spark.range(0, 5000, step).withColumn("v", F.lit(f"n{step}"))
+        load(dataset, LoadSpec("t", change, write_disposition="upsert", primary_key="id"))
+    before = dataset.version("t")
+    one = spark.createDataFrame([(11, "one")], "id long, v string")
+    load(dataset, LoadSpec("t", one, write_disposition="upsert", primary_key="id"))
     version = dataset.version("t")
-    assert not any("without" in p for p in version.parts)
-    assert dataset.table("t").count() == version.rows == 100 and dataset.table("t").where("v = 'n'").count() == 4
+    replaced = [sum(len(p.get("without", ())) for p in v.parts) for v in (before, version)]
+    dropped = {p["path"] for p in before.parts} - {p["path"] for p in version.parts}
+    assert replaced[1] - replaced[0] + len(dropped) == 1
+    assert dataset.table("t").count() == version.rows == 5000
+    assert [r["id"] for r in dataset.table("t").where("v = 'one'").collect()] == [11]
 
 
 def test_a_batch_that_replaces_everything_rereads_nothing(spark, dataset):

@@ -7,7 +7,7 @@ running it again under the same id changes nothing.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from dataclasses import dataclass, replace
@@ -17,11 +17,11 @@ from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodeworks.errors import DuplicateKeyError, LayoutError, LoadError, NullKeyError, UndefinedTableError
+from lodeworks.errors import DuplicateKeyError, IncompleteReadError, LayoutError, LoadError, NullKeyError, UndefinedTableError
 from lodeworks.functions.keys import NULL_KEY, guard_keys, quoted, split_hard_delete
 from lodeworks.functions.local import local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
@@ -42,7 +42,7 @@ from lodeworks.operators.merge import (
 )
 from lodeworks.plans import files as fs
 from lodeworks.plans import state as bookkeeping
-from lodeworks.plans.dataset import Dataset, TableVersion
+from lodeworks.plans.dataset import Dataset, TableVersion, Written
 from lodeworks.sources.package import list_files, read_package, rows_per_file
 from lodeworks.spec import LoadSpec, resolve_action
 
@@ -314,6 +314,17 @@ def _apply(dataset: Dataset, task: _Task, load_id: str, done: set[str]) -> int:
         # ids made for this load match no stored row, so there is nothing to look up
         action = "append" if task.fresh_ids else action
 
+    expected, counted = task.spec.expected_rows, Observation()
+    if expected is not None and action in ("append", "replace", "upsert"):
+        rows = rows.observe(counted, F.count(F.lit(1)).alias("rows"))
+    else:
+        expected = None
+
+    def check(written: Written) -> None:
+        if expected is not None and (got := int(counted.get.get("rows") or 0)) != expected:
+            dataset.discard(task.table, [*written.parts, *written.dead])
+            raise IncompleteReadError(f"table {task.table!r}: received {got} of {expected} rows")
+
     if action == "replace-of-keys":
         return _replace_keys(dataset, task.table, applied, rows, task.key, None, conform(task.keys, T.StructType([version.schema[k] for k in task.key])))
     if action in ("upsert", "update"):
@@ -323,12 +334,13 @@ def _apply(dataset: Dataset, task: _Task, load_id: str, done: set[str]) -> int:
         if action == "update":
             known = known_keys(dataset.table(task.table, version=version), winners, key)
             winners = winners.join(known, list(key), "left_semi").select(*winners.columns)
-        return _replace_keys(dataset, task.table, applied, winners, key, DELETED if flag else None)
+        return _replace_keys(dataset, task.table, applied, winners, key, DELETED if flag else None, check=check)
 
     if action == "insert-only":
         existing = dataset.table(task.table, version=version)
         rows = new_rows(existing, rows, task.key or [ROW_ID], hard_delete=flag)
     written = dataset.write_parts(task.table, version, rows.drop(*POSITION))
+    check(written)
     if action == "append":
         base = replace(version, loads=applied.loads[:-1])
         dataset.publish_append(task.table, base, written.parts, written.rows, [load_id])
@@ -352,6 +364,7 @@ def _replace_keys(
     key: list[str],
     dead: str | None,
     keys: DataFrame | None = None,
+    check: Callable[[Written], None] = lambda _: None,
 ) -> int:
     """Publish the table with every row of the keys (the winners' own, unless given) replaced by the winners.
 
@@ -360,6 +373,7 @@ def _replace_keys(
     and Spark plans each join with them as a broadcast or as a shuffle by that size.
     """
     written = dataset.write_parts(table, version, winners, dead, measured=() if keys is not None else key)
+    check(written)
     if keys is None:
         keys = dataset.scan(table, version, [*written.parts, *written.dead]).select(*(quoted(k) for k in key))
     parts, removed = dataset.without_keys(table, version, keys, key, written.bounds)

@@ -31,18 +31,22 @@ def table_source(
     """A table, whole or some columns of it, named after the table unless told otherwise.
 
     ``hints`` are those of ``LoadSpec``. The layout of the source is not carried over: how
-    the target is laid out is the target's own business.
+    the target is laid out is the target's own business. The published row count of the
+    version read goes along, so a load of fewer or more rows is refused.
     """
     _plain(dataset.schema, "schema")
     _plain(table, "table")
     if isinstance(included_columns, str):
         raise ValueError(f"included_columns is the bare string {included_columns!r}; give a list of column names")
-    rows = dataset.table(table)
+    version = dataset.version(table)
+    rows = dataset.table(table, version=version)
+    expected = version.rows
     if included_columns:
         rows = rows.select(*(quoted(_plain(c, "column")) for c in included_columns))
     if limit is not None:
         rows = rows.limit(int(limit))
-    return LoadSpec(name or table, rows, **hints)
+        expected = None if expected is None else min(expected, int(limit))
+    return LoadSpec(name or table, rows, **{"expected_rows": expected, **hints})
 
 
 def query_source(dataset: Dataset, query: str, *, name: str, args: Any = None, **hints: Any) -> LoadSpec:

@@ -34,6 +34,10 @@ class LoadSpec:
     with repeated keys needs; no two rows (of one key, if there is a key) may share a
     place. ``nested`` turns structs into columns and arrays into child
     tables.
+
+    ``expected_rows`` is how many rows the input must have, where its source says so: the
+    load counts them in the job that writes them and publishes nothing if they differ.
+    Rows that are flattened or inserted only where new are not counted.
     """
 
     name: str
@@ -49,6 +53,7 @@ class LoadSpec:
     sorted_by: Sequence[Any] | None = None
     nested: bool = False
     max_nesting: int = MAX_NESTING
+    expected_rows: int | None = None
 
     @property
     def target(self) -> str:

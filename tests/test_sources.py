@@ -142,3 +142,18 @@ def test_file_order_is_broadcast_by_its_size(spark, tmp_path):
     spark.range(30).repartition(3).write.parquet(str(tmp_path / "f"))
     plan = read_package(spark, [str(tmp_path / "f")])._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+@pytest.mark.parametrize("disposition", ["append", "replace", "upsert"])
+def test_a_derived_table_is_checked_as_it_is_written(spark, dataset, disposition):
+    from dataclasses import replace
+
+    load(dataset, LoadSpec("t", spark.range(10)))
+    spec = table_source(dataset, "t", name="copy", write_disposition=disposition, primary_key="id")
+    assert spec.expected_rows == 10 and table_source(dataset, "t", limit=3).expected_rows == 3
+    short = replace(spec, data=spec.data.where("id < 9"))
+    with pytest.raises(IncompleteReadError, match="9 of 10"):
+        load(dataset, short, load_id="short")
+    assert dataset.version("copy").rows == 0
+    load(dataset, spec, load_id="whole")
+    assert dataset.table("copy").count() == 10

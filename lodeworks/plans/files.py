@@ -120,6 +120,13 @@ def _named(spark: SparkSession, system, draft, target) -> bool:
         raise
 
 
+def write_bytes(spark: SparkSession, path: str, content: bytes) -> None:
+    system, p = _open(spark, path)
+    stream = system.create(p, False)
+    stream.write(bytearray(content))
+    stream.close()
+
+
 def rename(spark: SparkSession, old: str, new: str) -> None:
     system, p = _open(spark, old)
     _, target = _open(spark, new)

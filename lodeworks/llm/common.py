@@ -18,25 +18,25 @@ from lodeworks.plans import files as fs
 
 #: Stands for a missing id: such rows together are one document, after all others.
 NO_ID = 2**63 - 1
+#: Applications whose workers have the package.
+_SHIPPED: set[str] = set()
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def ship(spark: SparkSession) -> None:
     """Give this package to the Python workers, also where its folder is not on their path."""
     context = spark.sparkContext
-    if getattr(context, "_lodeworks_shipped", False):
-        return
     root = Path(lodeworks.__file__).resolve().parent
-    if root.is_dir():
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w") as z:
-            for p in sorted(root.rglob("*.py")):
-                z.write(p, str(p.relative_to(root.parent)))
-        # the driver's own file server hands it out; no executor reads this path
-        path = Path(context._temp_dir) / f"lodeworks-{uuid.uuid4().hex}.zip"
-        path.write_bytes(packed.getvalue())
-        context.addPyFile(str(path))
-    context._lodeworks_shipped = True
+    if context.applicationId in _SHIPPED or not root.is_dir():  # not a folder: it was shipped to here itself
+        return
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as z:
+        for p in sorted(root.rglob("*.py")):
+            z.write(p, str(p.relative_to(root.parent)))
+    path = f"{fs.shared_folder(spark)}/lodeworks-package.zip"
+    fs.write_bytes(spark, path, packed.getvalue())
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
 
 
 def stored(df: DataFrame, folder: str | None = None) -> DataFrame:

@@ -6,8 +6,10 @@ import hashlib
 import heapq
 import mmap
 import tempfile
+from array import array
 from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -18,21 +20,27 @@ from pyspark.sql import functions as F
 from lodeworks.llm.common import document_key, ship, texts
 from lodeworks.llm.ordinal import known_id
 from lodeworks.llm.registry import query, read
-from lodeworks.llm.wordbpe import Encoder, Vocabulary, chunks
+from lodeworks.llm.wordbpe import Encoder, Memory, Vocabulary
 
 TOKENIZER = "word_bpe_49k.json"
+_NEVER = 1 << 60
 
 
 def merged(word: str, v: Vocabulary) -> list[int]:
     """The ids of a word by its merges: always the best-ranked pair, the leftmost of equals."""
     s = v.symbols(word)
+    s[-1] += v.end
     rank = v.merges.get
     if len(s) <= 48:
-        while len(s) > 1:
-            best, at = min((r, k) for k, p in enumerate(zip(s, s[1:])) for r in (rank(p, 1 << 60),))
-            if best == 1 << 60:
-                break
+        ranks = [rank(p, _NEVER) for p in zip(s, s[1:])]
+        while ranks and (best := min(ranks)) < _NEVER:
+            at = ranks.index(best)
             s[at : at + 2] = [s[at] + s[at + 1]]
+            del ranks[at]
+            if at:
+                ranks[at - 1] = rank((s[at - 1], s[at]), _NEVER)
+            if at < len(ranks):
+                ranks[at] = rank((s[at], s[at + 1]), _NEVER)
         return [v.ids[x] for x in s]
     # a long word: the same order from a heap, over a linked list
     after, before = [*range(1, len(s)), -1], [-1, *range(len(s) - 1)]
@@ -155,23 +163,20 @@ class Transducer:
         return [raw[x:y] if k else None for k, x, y in zip(known.tolist(), a.tolist(), b.tolist())]
 
 
-def _word_counts(batches: Iterator[pa.RecordBatch], path: str, most: int = 150_000) -> Iterator[pa.RecordBatch]:
-    v, stretches = Vocabulary(path), Counter()
+def _word_counts(batches: Iterator[pa.RecordBatch], path: str, most: int = 300_000) -> Iterator[pa.RecordBatch]:
+    v, counts = Vocabulary(path), Counter()
 
-    def words() -> pa.RecordBatch:
-        counts: Counter = Counter()
-        for s, n in stretches.items():
-            for w in v.word.findall(s) if s[0] != " " else ():
-                counts[w] += n
-        stretches.clear()
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+    def found() -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["word", "n"])
+        counts.clear()
+        return out
 
     for batch in batches:
         for text in texts(batch.column("body")):
-            stretches.update(chunks(text, v))
-            if len(stretches) > most:
-                yield words()
-    yield words()
+            counts.update(v.words(text))
+            if len(counts) > most:
+                yield found()
+    yield found()
 
 
 def lexicon(docs: DataFrame, tokenizer: str, words: int = 50_000) -> Transducer:
@@ -183,40 +188,45 @@ def lexicon(docs: DataFrame, tokenizer: str, words: int = 50_000) -> Transducer:
     ship(docs.sparkSession)
     rows = docs.select(*document_key()).select("body")
     counts = rows.mapInArrow(lambda it: _word_counts(it, tokenizer), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    counts = counts.where("word not like ' %'")  # special strings have ids of their own
     top = counts.orderBy(F.desc("n"), "word").limit(words).select("word").toArrow().column("word").to_pylist()
     v = Vocabulary(tokenizer)
     return Transducer.compile({w.encode(): merged(w, v) for w in top})
 
 
-def _coded(batches: Iterator[pa.RecordBatch], tokenizer: str, packed) -> Iterator[pa.RecordBatch]:
-    """doc, ids (bytes) and decoded text."""
-    v, words = Vocabulary(tokenizer), Transducer.mapped(packed.value)
+class Codec(Memory):
+    """Word -> (ids as bytes, the text they spell), by the transducer and, for words it lacks, by merges."""
 
-    def encode(new: list[str]) -> list[bytes]:
-        found = words.find([w.encode() for w in new])
-        return [np.array(merged(w, v), "<u4").tobytes() if x is None else x for w, x in zip(new, found)]
+    def __init__(self, tokenizer: str, packed: bytes, most: int = 300_000) -> None:
+        self.v, self.lexicon = Vocabulary(tokenizer), Transducer.mapped(packed)
+        self.encoder = Encoder(self.v, self._words)
+        super().__init__(self._both, most)
 
-    encoder = Encoder(v, encode)
-    spelled: dict[bytes, str] = {}
+    def _words(self, new: list[str]) -> list[bytes]:
+        found = self.lexicon.find([w.encode() for w in new])
+        return [array("I", merged(w, self.v)).tobytes() if x is None else x for w, x in zip(new, found)]
 
-    def spell(ids: bytes) -> str:
-        return " ".join([v.names[i] for i in np.frombuffer(ids, "<u4").tolist()])
+    def _both(self, new: list[str]) -> list[tuple[bytes, str]]:
+        names = self.v.names
+        return [(x, " ".join([names[i] for i in array("I", x)])) for x in self.encoder.fill(new)]
 
+
+@lru_cache(1)
+def _codec(tokenizer: str, lexicon: bytes) -> Codec:
+    """One per worker process, which keeps what it has learnt from task to task."""
+    return Codec(tokenizer, lexicon)
+
+
+def _coded(batches: Iterator[pa.RecordBatch], tokenizer: str, packed) -> Iterator[tuple[int, pa.RecordBatch, list[tuple[bytes, str]]]]:
+    """Parts of batches: where each begins, its batch, and ids and decoded text of its rows."""
+    codec = _codec(tokenizer, packed.value)
     for batch in batches:
         bodies = texts(batch.column("body"))
         for first in range(0, len(bodies), 256):
-            part = bodies[first : first + 256]
-            split = [chunks(t, v) for t in part]
-            encoder.learn(set().union(*split))
-            if len(spelled) > encoder.most:
-                spelled.clear()
-            coded = []
-            for s in split:
-                ids = [encoder[x] for x in s]
-                for x in set(ids).difference(spelled):
-                    spelled[x] = spell(x)
-                coded.append((b"".join(ids), " ".join([spelled[x] for x in ids])))
-            yield first, batch, coded
+            split = [codec.v.words(t) for t in bodies[first : first + 256]]
+            codec.learn(set().union(*split))
+            pairs = [[codec[x] for x in s] for s in split]
+            yield first, batch, [(b"".join([x for x, _ in p]), " ".join([t for _, t in p])) for p in pairs]
 
 
 def _encoded(batches: Iterator[pa.RecordBatch], tokenizer: str, packed) -> Iterator[pa.RecordBatch]:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import heapq
 import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -22,29 +24,29 @@ from lodeworks.llm.wordbpe import Encoder, Vocabulary
 TOKENIZER = "word_bpe_49k.json"
 
 
-def _library(path: str):
-    """Words to their ids as bytes, by the tokenizers library; a word is one pre-token."""
+def _library(path: str, v: Vocabulary):
+    """Words to their ids as bytes, by the tokenizers library's model; a word is one pre-token."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(path)
-    t.no_truncation()
-    t.no_padding()
+    tokenize = Tokenizer.from_file(path).model.tokenize
 
     def encode(words: list[str]) -> list[bytes]:
-        out = []
-        for k in range(0, len(words), 4096):
-            found = t.encode(" ".join(words[k : k + 4096]), add_special_tokens=False)
-            ids, of = np.array(found.ids, "<u4"), np.array(found.word_ids)
-            ends = np.flatnonzero(np.diff(of, append=-1)) + 1
-            out += [x.tobytes() for x in np.split(ids, ends[:-1])]
-        return out
+        spelled = (w if w.isascii() and w.isprintable() else "".join(v.symbols(w)) for w in words)  # printing ASCII spells itself
+        return [array("I", [t.id for t in tokenize(s)]).tobytes() for s in spelled]
 
     return encode
 
 
+@lru_cache(1)
+def _encoder(path: str) -> Encoder:
+    """One per worker process, which keeps what it has learnt from task to task."""
+    v = Vocabulary(path)
+    return Encoder(v, _library(path, v))
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, end_id: int, capacity: int) -> Iterator[pa.RecordBatch]:
-    encoder, end = Encoder(Vocabulary(path), _library(path)), end_id.to_bytes(4, "little")
+    encoder, end = _encoder(path), end_id.to_bytes(4, "little")
     for batch in batches:
         of, starts, lengths, crcs, totals = [], [], [], [], []
         bodies = texts(batch.column("body"))

@@ -156,6 +156,8 @@ def test_encoding_report(spark, library):
 @settings(max_examples=300, deadline=None)
 def test_any_text_encodes_as_by_the_library(library, vocabulary, text):
     encoder = wordbpe.Encoder(vocabulary, lambda ws: [np.array(bpe.merged(w, vocabulary), "<u4").tobytes() for w in ws], most=5)
+    packer = wordbpe.Encoder(vocabulary, packing._library(PATH, vocabulary))
+    assert packer.encode([text]) == encoder.encode([text])
     assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 

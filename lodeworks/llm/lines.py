@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodeworks.llm.common import lower_ascii, packed, unpacked, with_text
+from lodeworks.llm.common import lower_ascii, packed, stored, with_text
 from lodeworks.llm.registry import query, read
 
 _SPACE = " \t\n\x0b\f\r"
@@ -23,7 +23,8 @@ def _marked(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     # first per (line, document), then per line: a line in a third of all documents arrives as one row per task
     once = keyed.select("h1", "h2", "doc").distinct()
     shared = once.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
-    shared = shared.where(F.col("n") >= min_docs).select("h1", "h2", "first")
+    # read from files, it is a plain side of the join, whose hot keys Spark may then split
+    shared = stored(shared.where(F.col("n") >= min_docs).select("h1", "h2", "first"))
     drops = keyed.join(shared, ["h1", "h2"]).where("doc != first").groupBy("doc", "row").agg(F.collect_set("pos").alias("drops"))
     joined = rows.join(drops, ["doc", "row"], "left").withColumn("lines", lines)
     every = F.sequence(F.lit(0), F.size("lines") - 1)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,40 +13,73 @@ from pyspark.sql import functions as F
 from lodeworks.llm.common import packed, ship, stored, texts, with_text
 from lodeworks.llm.registry import query, read
 
-_END = re.compile(r"[.!?]+[\"')\]]*\s+|\s*\n\s*")
-_WORD = re.compile(r"\S+\s*")
+#: Every so many consecutive words of a long sentence one at least is cut behind.
+_WINDOW = 7
+_SPACE, _STOP, _CLOSE = (np.isin(np.arange(128), [ord(c) for c in x]) for x in (" \t\n\r\x0b\x0c", ".!?", "\"')]"))
+
+
+def _is(codes: np.ndarray, kind: np.ndarray) -> np.ndarray:
+    return kind[np.minimum(codes, 127)]
+
+
+def _word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A number per word, alike for words alike with A-Z in lower case."""
+    n = ends - starts
+    at = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
+    place = at - np.repeat(starts, n)
+    c = codes[at].astype(np.uint64)
+    c += np.where((c >= 65) & (c <= 90), np.uint64(32), np.uint64(0))
+    powers = np.cumprod(np.full(int(n.max()), 0x9E3779B97F4A7C15, np.uint64))
+    h = np.add.reduceat(c * powers[place], np.cumsum(n) - n)
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def cuts(text: str, most: int = 12) -> tuple[list[int], list[int]]:
+    """Where the text is cut: the words before each cut (first 0, last all), and the characters before it."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    word = np.r_[False, ~_is(codes, _SPACE), False]
+    starts, ends = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
+    n = len(starts)
+    if not n:
+        return [0], [0]
+    last = np.maximum.accumulate(np.where(_is(codes, _CLOSE), 0, np.arange(len(codes))))[ends - 1]  # before closing quotes and brackets
+    stop = (last >= starts) & _is(codes[last], _STOP)
+    stop[-1] = True
+    feeds = np.r_[0, np.cumsum(codes == 10)]
+    cut = stop.copy()
+    cut[:-1] |= feeds[starts[1:]] > feeds[ends[:-1]]
+    sentence = np.cumsum(stop) - stop
+    long = np.bincount(sentence) > most
+    if long.any():
+        h = _word_hashes(codes, starts, ends)
+        windows = np.lib.stride_tricks.sliding_window_view(h, _WINDOW)
+        first = np.arange(len(windows))
+        inside = (sentence[first] == sentence[first + _WINDOW - 1]) & long[sentence[first]]
+        cut[first[inside] + windows[inside].argmin(axis=1)] = True
+    after = np.flatnonzero(cut) + 1
+    lead = int(starts[0]) if feeds[starts[0]] else 0  # lines before the first word are no part of its sentence
+    return [0, *after.tolist()], [lead, *np.r_[starts, len(codes)][after].tolist()]
 
 
 def sentences(text: str, most: int = 12) -> list[tuple[int, int]]:
     """Bounds of the sentences, which together are the whole text.
 
-    One ends after ``.``, ``!`` or ``?`` with white space behind, or at a line feed. A
-    sentence of over ``most`` words counts as several of up to ``most``, cut from its start,
-    so that a passage of few long sentences still holds a run of several.
+    One ends after ``.``, ``!`` or ``?`` with white space behind, or at a line feed. One of over
+    ``most`` words (line feeds not counted as ends) counts as several: of every ``_WINDOW``
+    words in a row inside it, it is cut behind the one with the smallest hash. These cuts
+    depend on the words around them alone, so a passage is cut alike wherever it stands, but
+    for its first and last words, whatever is before it and however its lines are broken.
     """
-    ends = [m.end() for m in _END.finditer(text)]
-    if not ends or ends[-1] != len(text):
-        ends.append(len(text))
-    bounds, start = [], 0
-    for end in ends:
-        # a word takes two characters at least, so a short stretch need not be counted
-        if end - start >= 2 * most and len(text[start:end].split()) > most:
-            cuts = [m.end() for m in _WORD.finditer(text, start, end)][most - 1 :: most]
-            for cut in cuts:
-                if cut < end:
-                    bounds.append((start, cut))
-                    start = cut
-        if end > start:
-            bounds.append((start, end))
-        start = end
-    return bounds
-
-
-def _worded(text: str) -> tuple[list[tuple[int, int]], list[list[bytes]]]:
-    """Sentences that hold words, and those words with A-Z in lower case."""
-    bounds = sentences(text)
-    words = [text[a:b].encode("utf-8", "replace").lower().split() for a, b in bounds]
-    return [x for x, w in zip(bounds, words) if w], [w for w in words if w]
+    _, at = cuts(text, most)
+    at = [0, *at] if len(at) > 1 else [0, len(text)]
+    return [(a, b) for a, b in zip(at[:-1], at[1:]) if a < b]
+
+
+def _worded(text: str) -> list[tuple[int, int]]:
+    """Those that hold words, as ``span_hashes`` numbers them."""
+    _, at = cuts(text)
+    return list(zip(at[:-1], at[1:]))
 
 
 def runs_of(counts: list[int], run: int, min_words: int) -> list[tuple[int, int]]:
@@ -65,10 +97,11 @@ def runs_of(counts: list[int], run: int, min_words: int) -> list[tuple[int, int]
 
 def span_hashes(text: str, run: int, min_words: int) -> tuple[list[tuple[int, int]], list[bytes]]:
     """Bounds (numbers of sentences) and 128-bit hashes of the text's runs."""
-    _, words = _worded(text)
-    joined = [b" ".join(w) for w in words]
-    bounds = runs_of([len(w) for w in words], run, min_words)
-    return bounds, [xxhash.xxh3_128_digest(b" ".join(joined[a:b])) for a, b in bounds]
+    before, _ = cuts(text)
+    words = text.encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII white space only
+    said, at = b" ".join(words), np.cumsum([0, *[len(w) + 1 for w in words]])[before].tolist()
+    bounds = runs_of(np.diff(before).tolist(), run, min_words)
+    return bounds, [xxhash.xxh3_128_digest(said[at[a] : at[b] - 1]) for a, b in bounds]
 
 
 def _spans(batches: Iterator[pa.RecordBatch], run: int, min_words: int) -> Iterator[pa.RecordBatch]:
@@ -90,7 +123,7 @@ def _spans(batches: Iterator[pa.RecordBatch], run: int, min_words: int) -> Itera
 
 def remove_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     """The text without these runs of sentences, and how many sentences went."""
-    bounds, _ = _worded(text)
+    bounds = _worded(text)
     gone = [bounds[k] for k in sorted({k for a, b in runs for k in range(a, b)})]
     kept, at = [], 0
     for a, b in gone:
@@ -132,7 +165,8 @@ def dedup_spans(docs: DataFrame, run: int = 3, min_words: int = 15) -> DataFrame
     (see ``runs_of``), are compared with all others of the corpus by their words, A-Z in lower
     case. Of equal runs the first by (doc_id, place) stays; every sentence that another covers
     goes, the rest of the text is left as it was, to the character. Long sentences count as
-    several (see ``sentences``), so a passage of over 50 words always holds a run.
+    several (see ``sentences``). At either end of a passage at most 13 words may be cut
+    otherwise than in its copy, so with lines broken alike one of over 50 words always holds a run of three.
 
     Null text stays null. A document may end up empty but is never dropped. Rows without
     doc_id are one document after all others; rows alike in id and text are one place, so

@@ -73,6 +73,13 @@ class Code:
         inside = a[row, i] + b[row, j] >= self.cut
         return row[inside], i[inside] * len(self.tables[1]) + j[inside]
 
+    def best(self, unit: np.ndarray) -> np.ndarray:
+        """The number of each row's nearest direction."""
+        if len(self.tables) == 1:
+            return (unit @ self.tables[0].T).argmax(1)
+        a, b = self._products(unit)
+        return a.argmax(1) * len(self.tables[1]) + b.argmax(1)
+
 
 class Caps:
     """Several independent codes: in one alone, vectors whose halves fit it badly would have few filters."""
@@ -81,14 +88,16 @@ class Caps:
         self.codes = [Code(dim, filters, size, seed, k) for k in range(repeats)]
 
     def decode(self, unit: np.ndarray) -> pa.ListArray:
-        """The filters of each row, in rising order."""
-        found = [code.decode(unit) for code in self.codes]
+        """The filters of each row, in rising order: in each code its caps, and at least the nearest direction."""
         before = np.cumsum([0, *[code.size for code in self.codes]])
-        row = np.concatenate([r for r, _ in found])
-        number = np.concatenate([f + at for (_, f), at in zip(found, before)])
-        order = np.argsort(row, kind="stable")
-        offsets = np.searchsorted(row[order], np.arange(len(unit) + 1))
-        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(number[order], pa.int32()))
+        every, rows, numbers = np.arange(len(unit)), [], []
+        for code, at in zip(self.codes, before):
+            row, number = code.decode(unit)
+            rows += [row, every]
+            numbers += [number + at, code.best(unit) + at]
+        row, number = np.divmod(np.unique(np.concatenate(rows) * before[-1] + np.concatenate(numbers)), before[-1])
+        offsets = np.searchsorted(row, np.arange(len(unit) + 1))
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(number, pa.int32()))
 
 
 def _decoded(batches: Iterator[pa.RecordBatch], filters: int, size: int, repeats: int, seed: int) -> Iterator[pa.RecordBatch]:
@@ -191,16 +200,15 @@ def _verified_part(table: pa.Table, bounds: np.ndarray, cosine: float) -> pa.Rec
     )
 
 
-def link_embeddings(rows: DataFrame, cosine: float = 0.9, filters: int = 4, code_size: int = 128, repeats: int = 8, block: int = 1024, seed: int = 1) -> DataFrame:
+def link_embeddings(rows: DataFrame, cosine: float = 0.9, filters: int = 8, code_size: int = 128, repeats: int = 12, block: int = 1024, seed: int = 1) -> DataFrame:
     """Per row: vec_id, n_links, component_id, kept.
 
     Vectors link if their cosine, in double precision, is ``cosine`` or more and they share a
     filter. Equal vectors are one class with a count from the start. A vector gets about
-    ``filters`` of code_size^2 directions in each of ``repeats`` codes, and a direction about
-    rows * filters / code_size^2 vectors, so ``code_size`` should grow as the square root of
-    the table. Over 0.99 of pairs of cosine 0.9 in 64 components share one, and more of closer
-    ones. A filter with over
-    ``block`` vectors is verified in pairs of blocks. A pair counts in its first common filter
+    ``filters`` of code_size^2 directions in each of ``repeats`` codes, and its nearest one in
+    any case; a direction gets about rows * filters / code_size^2 vectors, so ``code_size`` should
+    grow as the square root of the table. Over 0.999 of pairs of cosine 0.901 share a filter
+    (test), and more of closer ones. A filter with over ``block`` vectors is verified in pairs of blocks. A pair counts in its first common filter
     only; tasks return counts per vector and spanning trees, never the pairs.
 
     Vectors that are null, empty or zero, or hold a null or non-finite component, link with

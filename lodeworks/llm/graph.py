@@ -2,7 +2,8 @@
 
 Inner products become distances by one more component, sqrt(M^2 - |x|^2) with M the largest
 norm of the shard, and 0 for queries: the nearest point is then the one with the largest
-product. All searches and prunings run for many points at a time.
+product. A shard holds vectors of like norm, scaled to components of at most 1, and distances
+are in double precision, so that no long vector rounds the others' products away. All searches and prunings run for many points at a time.
 """
 
 from __future__ import annotations
@@ -11,13 +12,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lodeworks.llm.common import matrix, ship, stored, vectors
 from lodeworks.llm.registry import query, read
 
 
+#: Components of candidates that are pruned at a time.
+_PRUNED = 2_000_000
+
+
 @dataclass(frozen=True)
 class Build:
     """Out-degree, beam of the searches that propose neighbours, relaxation of the pruning, seed."""
@@ -40,7 +45,7 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.n
     own = np.einsum("ij,ij->i", queries, queries)
     met = np.zeros((q, n + 1), bool)  # the last column takes missing neighbours
     met[:, n] = True
-    ids, dist = np.full((q, beam), -1), np.full((q, beam), np.inf, np.float32)
+    ids, dist = np.full((q, beam), -1), np.full((q, beam), np.inf)
     done = np.ones((q, beam), bool)
     ids[:, 0], done[:, 0] = entry, False
     dist[:, 0] = norms[entry] + own - 2 * queries @ points[entry]
@@ -67,7 +72,7 @@ def beam_search(points: np.ndarray, edges: np.ndarray, entry: int, queries: np.n
         if width:
             place = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             at = np.searchsorted(active, row)
-            new_ids, new_dist = np.full((len(active), width), -1), np.full((len(active), width), np.inf, np.float32)
+            new_ids, new_dist = np.full((len(active), width), -1), np.full((len(active), width), np.inf)
             new_ids[at, place], new_dist[at, place] = near, d
             all_ids, all_dist = np.concatenate([ids[active], new_ids], 1), np.concatenate([dist[active], new_dist], 1)
             all_done = np.concatenate([done[active], new_ids < 0], 1)
@@ -85,6 +90,9 @@ def robust_prune(points: np.ndarray, of: np.ndarray, candidates: np.ndarray, deg
     than to the point; again until ``degree`` are taken or none is left.
     """
     b, width = candidates.shape
+    some = max(1, _PRUNED // (width * points.shape[1]))
+    if b > some:
+        return np.concatenate([robust_prune(points, of[k : k + some], candidates[k : k + some], degree, alpha) for k in range(0, b, some)])
     v = points[candidates]
     d = ((v - points[of][:, None, :]) ** 2).sum(2)
     d[(candidates < 0) | (candidates == of[:, None])] = np.inf
@@ -115,7 +123,6 @@ def build_graph(points: np.ndarray, p: Build) -> tuple[np.ndarray, int]:
     pruned again where it has too many.
     """
     n = len(points)
-    points = points.astype(np.float32)
     entry = int(((points - points.mean(0)) ** 2).sum(1).argmin())
     edges = np.full((n, p.degree), -1)
     order = np.random.default_rng(p.seed).permutation(n)
@@ -152,8 +159,14 @@ def build_graph(points: np.ndarray, p: Build) -> tuple[np.ndarray, int]:
     return edges, entry
 
 
+def scaled(x: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """The same directions with the largest component 1, of the whole or of each row."""
+    return x / np.abs(x).max(axis=axis, keepdims=True)
+
+
 def lifted(x: np.ndarray) -> np.ndarray:
     """Points whose squared distances to (query, 0) fall as the inner products rise."""
+    x = scaled(x)
     square = np.einsum("ij,ij->i", x, x)
     return np.c_[x, np.sqrt(np.maximum(square.max() - square, 0))]
 
@@ -171,7 +184,7 @@ def _graph(table: pa.Table, p: Build, top: int) -> pa.Table:
     # of equal vectors the smallest ids come first, and one more than asked for can never be needed
     lists = [ids[s:e][: top + 1] for s, e in zip(starts.tolist(), ends.tolist())]
     return pa.table({
-        "shard": pa.array(np.full(n, table.column("shard")[0].as_py()), pa.int64()), "dim": pa.array(np.full(n, x.shape[1]), pa.int32()), "node": pa.array(np.arange(n), pa.int32()),
+        "shard": pa.array(np.full(n, table.column("shard")[0].as_py()), pa.int64()), "band": pa.array(np.full(n, table.column("band")[0].as_py()), pa.int64()), "dim": pa.array(np.full(n, x.shape[1]), pa.int32()), "node": pa.array(np.arange(n), pa.int32()),
         "ids": pa.array(lists, pa.list_(pa.int64())), "embedding": table.column("embedding").combine_chunks().take(pa.array(order[starts])),
         "edges": pa.array([e[e >= 0] for e in edges.astype(np.int32)], pa.list_(pa.int32())), "entry": pa.array(np.arange(n) == entry),
     })
@@ -185,7 +198,7 @@ def _search(graph: pa.Table, queries: pa.Table, p: Build, beam: int, top: int) -
         return _FOUND.empty_table()
     graph = graph.sort_by("node")
     x = matrix(graph.column("embedding"))
-    points = lifted(x).astype(np.float32)
+    points = lifted(x)
     entry = int(np.flatnonzero(graph.column("entry").to_numpy(zero_copy_only=False))[0])
     lists = graph.column("edges").combine_chunks()
     counts = lists.value_lengths().to_numpy(zero_copy_only=False)
@@ -199,7 +212,7 @@ def _search(graph: pa.Table, queries: pa.Table, p: Build, beam: int, top: int) -
     out = []
     for k in range(0, len(q), 256):
         part = q[k : k + 256]
-        met, _ = beam_search(points, edges, entry, np.c_[part, np.zeros(len(part))].astype(np.float32), beam)
+        met, _ = beam_search(points, edges, entry, np.c_[scaled(part, 1), np.zeros(len(part))], beam)
         row, place = np.nonzero(met >= 0)
         node = met[row, place]
         n = held_n[node]
@@ -216,11 +229,20 @@ def _search(graph: pa.Table, queries: pa.Table, p: Build, beam: int, top: int) -
     return pa.concat_tables(out)
 
 
+def norm_band(embedding: Column) -> Column:
+    """The norm's power of two, rounded, so that vectors of norm 1 are in the middle of a band."""
+    x = F.transform(embedding, lambda v: F.abs(v.cast("double")))
+    top = F.array_max(x)
+    square = F.aggregate(x, F.lit(0.0), lambda total, v: total + (v / top) * (v / top))
+    return F.round(F.log2(top) + F.log2(square) / 2).cast("long")
+
+
 def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, shard_rows: int = 4096, query_rows: int = 2048, beam: int = 128, build: Build = Build()) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's ``top`` candidates found with the largest inner product.
 
-    Rows go to shards of about ``shard_rows`` by a hash of the vector's id; each shard is one
-    graph, written to the shared folder. Every query searches every shard, in tasks of one
+    Rows are banded by their norm, doubling from band to band, and go to shards of about
+    ``shard_rows`` of a band by a hash of the vector's id; each shard is one graph, written to the
+    shared folder. Every query searches every shard of its length, in tasks of one
     shard and about ``query_rows`` queries, with a beam of ``beam``. The score is the inner
     product in double precision of the vectors as they came; ties go to the smaller vec_id. A
     query's own vec_id is no candidate. If there are fewer candidates, all that were found come.
@@ -237,21 +259,22 @@ def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, shard_rows: int
         df = df.where(F.col("vec_id").isNotNull() & vectors(F.col("embedding")))
         return df.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding", F.size("embedding").alias("dim"), F.xxhash64("embedding").alias("mark")).dropDuplicates(["vec_id", "mark"])
 
-    points, asked = sound(rows), stored(sound(queries))
-    shards = max(1, -(-points.count() // shard_rows))
+    points, asked = sound(rows).withColumn("band", norm_band(F.col("embedding"))), stored(sound(queries))
+    # a row per length and band: these tables are as small as the spread of norms
+    sizes = stored(points.groupBy("dim", "band").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards")))
     blocks = max(1, -(-asked.count() // query_rows))
     kind = rows.schema["embedding"].dataType.simpleString()
-    dealt = points.select("vec_id", "embedding", "dim", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(shards)).alias("shard"))
+    dealt = points.join(sizes, ["dim", "band"]).select("vec_id", "embedding", "dim", "band", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("shards")).alias("shard"))
     graphs = stored(
-        dealt.groupBy("shard", "dim").applyInArrow(
-            lambda t: _graph(t, build, top), f"shard long, dim int, node int, ids array<bigint>, embedding {kind}, edges array<int>, entry boolean"
+        dealt.groupBy("band", "shard", "dim").applyInArrow(
+            lambda t: _graph(t, build, top), f"shard long, band long, dim int, node int, ids array<bigint>, embedding {kind}, edges array<int>, entry boolean"
         )
     )
     left = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     right = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(4)), F.lit(blocks)).cast("int"))
-    right = right.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).withColumn("shard", F.col("shard").cast("long"))
-    keys = ["shard", "dim", "block"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
+    right = right.join(sizes, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
+    keys = ["band", "shard", "dim", "block"]
+    found = left.groupBy(*keys).cogroup(right.select("vec_id", "embedding", "mark", *keys).groupBy(*keys)).applyInArrow(
         lambda g, q: _search(g, q, build, beam, top), "query_id long, mark long, vec_id long, score double"
     )
     order = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")

@@ -3,7 +3,7 @@
 import numpy as np
 import pytest
 
-from lodeworks.llm import caps
+from lodeworks.llm import caps, graph
 
 
 def _table(spark, x):
@@ -39,3 +39,16 @@ def test_every_vector_has_a_cap_in_every_code():
     for dim in (3, 64):
         lists = caps.Caps(dim, 1, 16, 3, 1).decode(_unit(rng.standard_normal((500, dim)))).to_pylist()
         assert min(map(len, lists)) >= 3 and all(x == sorted({*x}) for x in lists)
+
+
+@pytest.mark.parametrize("factor", [1e4, 1e8, 1e25])
+def test_long_vectors_hide_no_neighbours(spark, factor):
+    rng = np.random.default_rng(2)
+    x = _unit(rng.standard_normal((40, 32)))[rng.integers(0, 40, 1500)] + 0.15 * rng.standard_normal((1500, 32))
+    x[[7, 401, 902]] *= factor
+    rows = _table(spark, x)
+    got = {(r.query_id, r.vec_id) for r in graph.nearest(rows, rows.where("vec_id % 20 = 0"), shard_rows=800).collect()}
+    product = x @ x.T
+    np.fill_diagonal(product, -np.inf)
+    want = {(q, int(i)) for q in range(0, 1500, 20) for i in np.argsort(-product[q])[:20]}
+    assert len(got) == len(want) and len(got & want) >= 0.95 * len(want)

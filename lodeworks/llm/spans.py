@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,31 +17,39 @@ _WINDOW = 7
 _SPACE, _STOP, _CLOSE = (np.isin(np.arange(128), [ord(c) for c in x]) for x in (" \t\n\r\x0b\x0c", ".!?", "\"')]"))
 
 
+#: Odd numbers, one for each half of a hash, and their inverses modulo 2^64.
+_BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+_INVERSE = tuple(pow(b, -1, 2**64) for b in _BASES)
+
+
 def _is(codes: np.ndarray, kind: np.ndarray) -> np.ndarray:
     return kind[np.minimum(codes, 127)]
 
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
 def _word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A number per word, alike for words alike with A-Z in lower case."""
+    """Two numbers per word, alike for words alike with A-Z in lower case."""
     n = ends - starts
     at = np.repeat(starts - (np.cumsum(n) - n), n) + np.arange(n.sum())
     place = at - np.repeat(starts, n)
     c = codes[at].astype(np.uint64)
     c += np.where((c >= 65) & (c <= 90), np.uint64(32), np.uint64(0))
-    powers = np.cumprod(np.full(int(n.max()), 0x9E3779B97F4A7C15, np.uint64))
-    h = np.add.reduceat(c * powers[place], np.cumsum(n) - n)
-    h = (h ^ (h >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return h ^ (h >> np.uint64(29))
+    powers = [np.cumprod(np.full(int(n.max()), base, np.uint64)) for base in _BASES]
+    return np.array([_mixed(np.add.reduceat(c * p[place], np.cumsum(n) - n)) for p in powers])
 
 
-def cuts(text: str, most: int = 12) -> tuple[list[int], list[int]]:
-    """Where the text is cut: the words before each cut (first 0, last all), and the characters before it."""
+def _cut(text: str, most: int = 12) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words before each cut (first 0, last all), characters before it, and the words' hashes."""
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     word = np.r_[False, ~_is(codes, _SPACE), False]
     starts, ends = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
     n = len(starts)
     if not n:
-        return [0], [0]
+        return np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros((2, 0), np.uint64)
     last = np.maximum.accumulate(np.where(_is(codes, _CLOSE), 0, np.arange(len(codes))))[ends - 1]  # before closing quotes and brackets
     stop = (last >= starts) & _is(codes[last], _STOP)
     stop[-1] = True
@@ -51,15 +58,21 @@ def cuts(text: str, most: int = 12) -> tuple[list[int], list[int]]:
     cut[:-1] |= feeds[starts[1:]] > feeds[ends[:-1]]
     sentence = np.cumsum(stop) - stop
     long = np.bincount(sentence) > most
+    hashes = _word_hashes(codes, starts, ends)
     if long.any():
-        h = _word_hashes(codes, starts, ends)
-        windows = np.lib.stride_tricks.sliding_window_view(h, _WINDOW)
+        windows = np.lib.stride_tricks.sliding_window_view(hashes[0], _WINDOW)
         first = np.arange(len(windows))
         inside = (sentence[first] == sentence[first + _WINDOW - 1]) & long[sentence[first]]
         cut[first[inside] + windows[inside].argmin(axis=1)] = True
     after = np.flatnonzero(cut) + 1
     lead = int(starts[0]) if feeds[starts[0]] else 0  # lines before the first word are no part of its sentence
-    return [0, *after.tolist()], [lead, *np.r_[starts, len(codes)][after].tolist()]
+    return np.r_[0, after], np.r_[lead, np.r_[starts, len(codes)][after]], hashes
+
+
+def cuts(text: str, most: int = 12) -> tuple[list[int], list[int]]:
+    """Where the text is cut: the words before each cut (first 0, last all), and the characters before it."""
+    before, at, _ = _cut(text, most)
+    return before.tolist(), at.tolist()
 
 
 def sentences(text: str, most: int = 12) -> list[tuple[int, int]]:
@@ -82,43 +95,47 @@ def _worded(text: str) -> list[tuple[int, int]]:
     return list(zip(at[:-1], at[1:]))
 
 
-def runs_of(counts: list[int], run: int, min_words: int) -> list[tuple[int, int]]:
+def runs_of(before: np.ndarray, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """Bounds of the shortest runs from each sentence on, and up to each, with ``run`` sentences and ``min_words`` words.
 
     Both ways, so that of a passage that stands twice every sentence lies in a run inside it.
+    ``before`` holds the words before each sentence, and at last all words.
     """
-    n, before = len(counts), np.cumsum([0, *counts])
+    n = len(before) - 1
     at = np.arange(n + 1)
     ends = np.maximum(at + run, np.searchsorted(before, before + min_words))
     starts = np.minimum(at - run, np.searchsorted(before, before - min_words, "right") - 1)
     ahead, back = ends <= n, starts >= 0
-    return sorted({*zip(at[ahead].tolist(), ends[ahead].tolist()), *zip(starts[back].tolist(), at[back].tolist())})
+    return np.divmod(np.unique(np.r_[at[ahead] * (n + 1) + ends[ahead], starts[back] * (n + 1) + at[back]]), n + 1)
 
 
-def span_hashes(text: str, run: int, min_words: int) -> tuple[list[tuple[int, int]], list[bytes]]:
-    """Bounds (numbers of sentences) and 128-bit hashes of the text's runs."""
-    before, _ = cuts(text)
-    words = text.encode("utf-8", "replace").lower().split()  # bytes: A-Z and ASCII white space only
-    said, at = b" ".join(words), np.cumsum([0, *[len(w) + 1 for w in words]])[before].tolist()
-    bounds = runs_of(np.diff(before).tolist(), run, min_words)
-    return bounds, [xxhash.xxh3_128_digest(said[at[a] : at[b] - 1]) for a, b in bounds]
+def span_hashes(text: str, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last bounds (numbers of sentences) and 128-bit hashes, as two rows, of the text's runs."""
+    before, _, hashes = _cut(text)
+    a, b = runs_of(before, run, min_words)
+    first, last, out = before[a], before[b], np.zeros((2, len(a)), np.uint64)
+    for k in range(2 if len(a) else 0):
+        # a run is a number in base _BASES[k] with its words as digits, whatever is before it
+        powers, back = (np.r_[np.uint64(1), np.cumprod(np.full(hashes.shape[1], x[k], np.uint64))] for x in (_BASES, _INVERSE))
+        total = np.r_[np.uint64(0), np.cumsum(hashes[k] * powers[:-1])]
+        out[k] = _mixed((total[last] - total[first]) * back[first] + (last - first).astype(np.uint64))
+    return a, b, out.view(np.int64)
 
 
-def _spans(batches: Iterator[pa.RecordBatch], run: int, min_words: int) -> Iterator[pa.RecordBatch]:
+def _spans(batches: Iterator[pa.RecordBatch], run: int, min_words: int, at_once: int = 100_000) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        counts, bounds, hashes = [], [], []
-        for text in texts(batch.column("body")):
-            at, found = span_hashes(text, run, min_words)
-            counts.append(len(at))
-            bounds += at
-            hashes += found
-        of = pa.array(np.repeat(np.arange(batch.num_rows), counts))
-        h = np.frombuffer(b"".join(hashes), "<i8").reshape(-1, 2)
-        ab = np.array(bounds, np.int32).reshape(-1, 2)
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc").take(of), batch.column("row").take(of), *[pa.array(x.copy()) for x in (ab[:, 0], ab[:, 1], h[:, 0], h[:, 1])]],
-            ["doc", "row", "pos", "stop", "h1", "h2"],
-        )
+        doc, row = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
+        of, made, n = [], [], 0
+        for k, text in enumerate(texts(batch.column("body"))):
+            a, b, h = span_hashes(text, run, min_words)
+            if len(a):
+                of.append(np.full(len(a), k))
+                made.append(np.array([a, b, *h]))
+                n += len(a)
+            if made and (n >= at_once or k + 1 == len(doc)):
+                at, (a, b, h1, h2) = np.concatenate(of), np.concatenate(made, axis=1)
+                of, made, n = [], [], 0
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[at], row[at], a.astype(np.int32), b.astype(np.int32), h1, h2)], ["doc", "row", "pos", "stop", "h1", "h2"])
 
 
 def remove_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
@@ -147,6 +164,9 @@ def _cleaned(docs: DataFrame, run: int, min_words: int) -> DataFrame:
     ship(docs.sparkSession)
     rows = packed(docs)
     spans = rows.select("doc", "row", "body").mapInArrow(lambda it: _spans(it, run, min_words), "doc long, row long, pos int, stop int, h1 long, h2 long")
+    # most runs stand once and go by half their hash, a count of longs
+    several = stored(spans.groupBy("h1").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("h1"))
+    spans = stored(spans.join(several, "h1"))
     at = F.struct("doc", "row", "pos")
     # copies of a passage are summed up in each task first, so a very common one is a row per task
     repeated = spans.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2", "first")

@@ -1,0 +1,126 @@
+"""Periodic runs against a search of all periods in plain Python."""
+
+import random
+import re
+from fractions import Fraction
+from zlib import crc32
+
+import numpy as np
+import pytest
+from conftest import SMALL
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from llm.fixtures import ROWS, documents, sha
+
+from lodeworks.llm import periods
+from lodeworks.llm.registry import QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def _brute_runs(words, least=6, exponent=4):
+    """Every maximal stretch of every period; a stretch counts with its smallest period."""
+    smallest: dict[tuple[int, int], int] = {}
+    n = len(words)
+    for q in range(1, n // exponent + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(least, exponent * q):
+                smallest.setdefault((i, j + q - i), q)
+            i = j + 1
+    return sorted((s, n, q) for (s, n), q in smallest.items())
+
+
+def _brute(doc, text, plant=True):
+    words = WORD.findall(text or "")
+    n = len(words)
+    h, g = crc32(str(doc).encode()), crc32(str(doc).encode()) // 10
+    if plant and doc is not None and h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = _brute_runs(words)
+    gone = {i for s, k, q in runs for i in range(s + q, s + k)}
+    best = min(runs, key=lambda r: (-Fraction(r[1], r[2]), r[0], r[2])) if runs else None
+    top = (*best, 1000 * best[1] // best[2]) if best else (None,) * 4
+    kept = " ".join(w for i, w in enumerate(words) if i not in gone)
+    return doc, len(runs), *top, sha("".join(f"{s},{k},{q}\n" for s, k, q in runs)), sha(kept)
+
+
+def _made(seed=5):
+    draw = random.Random(seed)
+    rows = []
+    for k in range(120):
+        words = [draw.choice("abc") for _ in range(draw.randint(0, 40))]
+        for _ in range(draw.randint(0, 4)):
+            root = [draw.choice("abé") for _ in range(draw.choice([1, 1, 2, 3, 5, 8, 13]))]
+            times = draw.randint(2, 9)
+            words += (root * times)[: len(root) * times - draw.randint(0, len(root) - 1)] + [draw.choice("abcd") for _ in range(draw.randint(0, 5))]
+        rows.append((1000 + k, "".join(w + draw.choice([" ", "\n", "\t ", "\x0b"]) for w in words)))
+    return rows
+
+
+def _sorted(rows):
+    return sorted(rows, key=str)
+
+
+def test_report_is_that_of_plain_python(spark):
+    rows = [r for r in ROWS if len(r[1] or "") < 9000] + _made() + [(2000 + k, " ".join("xyzzy"[: 1 + k % 5])) for k in range(60)]
+    for plant in (True, False):
+        got = [tuple(r) for r in periods.run_report(documents(spark, rows), plant=periods.planted if plant else None).collect()]
+        want = [_brute(d, t, plant) for d, t in rows]
+        assert _sorted(got) == _sorted(want)
+    assert sum(w[1] > 0 for w in want) > 60
+
+
+def test_long_texts(spark):
+    root = [f"w{k % 89}x{k}" for k in range(700)]
+    text = " ".join([*root * 5, "end", *["tic", "toc"] * 4000, *(f"v{k}" for k in range(3000))])
+    (row,) = periods.run_report(documents(spark, [(1, text)])).collect()
+    runs = [(0, 3500, 700), (3501, 8000, 2)]
+    assert (row.n_runs, row.start, row.length, row.period, row.exponent_milli) == (2, 3501, 8000, 2, 4_000_000)
+    assert row.runs_sha256 == sha("".join(f"{s},{n},{q}\n" for s, n, q in runs))
+    assert row.collapsed_sha256 == sha(" ".join([*root, "end", "tic", "toc", *(f"v{k}" for k in range(3000))]))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 2), max_size=60), max_size=4))
+def test_runs_of_random_words(lists):
+    bounds = np.cumsum([0, *map(len, lists)])
+    first, last, period = periods.periodic_runs(np.array([w for x in lists for w in x], np.int64), bounds)
+    got = list(zip(first.tolist(), (last - first).tolist(), period.tolist()))
+    assert got == [(s + b, n, q) for x, b in zip(lists, bounds.tolist()) for s, n, q in _brute_runs(x)]
+
+
+def test_texts_collapse_and_columns_stay(spark):
+    rows = [r for r in ROWS if len(r[1] or "") < 9000] + _made(6)
+    docs = documents(spark, rows)
+    got = periods.collapse_runs(docs)
+    assert got.columns == docs.columns
+    want = []
+    for d, t in rows:
+        words = WORD.findall(t or "")
+        runs = _brute_runs(words)
+        gone = {i for s, k, q in runs for i in range(s + q, s + k)}
+        text = " ".join(w for i, w in enumerate(words) if i not in gone) if runs else t
+        want.append((d, text, len(text or "")))
+    assert _sorted(tuple(r) for r in got.select("doc_id", "text", "n_chars").collect()) == _sorted(want)
+    found = [tuple(r) for r in periods.find_runs(docs).collect()]
+    assert _sorted(found) == _sorted((d, s, k, q, 1000 * k // q) for d, t in rows for s, k, q in _brute_runs(WORD.findall(t or "")))
+
+
+def test_empty_table_and_low_exponents(spark):
+    docs = documents(spark, [])
+    assert periods.run_report(docs).collect() == [] and periods.find_runs(docs).collect() == [] and periods.collapse_runs(docs).collect() == []
+    with pytest.raises(ValueError):
+        periods.find_runs(docs, exponent=2)
+
+
+def test_query_over_the_given_table(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()]
+    got = {r.doc_id: tuple(r) for r in QUERIES["op12_periodic_runs"](spark, SMALL).collect()}
+    assert len(got) == len(rows)
+    assert all(got[d] == _brute(d, t) for d, t in rows if len(t or "") < 6000)

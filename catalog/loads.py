@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import SQL, new_dataset, query, read
-from lodeworks import Dataset, LoadSpec, delete_rows, load, load_incremental, table_source, update_rows
+from lodeworks import Dataset, LoadSpec, delete_rows, load, load_incremental, table_source, update_rows, with_layout
 from lodeworks.plans import files as fs
 
 _IDENTITY = ("_dlt_id", "_dlt_load_id")
@@ -88,7 +88,7 @@ def update_rows_load(spark, folder):
     """,
 )
 def upsert_many_files(spark, folder):
-    """A merge that touches every file of a load in very many, then one of a single row: that one replaces one file."""
+    """A merge that touches every file of a load in very many, then one of a single row: that one masks one row."""
     orders = read(spark, folder, "orders").select("o_orderkey", "o_totalprice")
     dataset = _loaded(spark, orders.repartition(300, "o_orderkey"), primary_key="o_orderkey", write_disposition="upsert")
     changed = orders.where("o_orderkey % 2 = 0").withColumn("o_totalprice", F.col("o_totalprice") + 1)
@@ -97,10 +97,10 @@ def upsert_many_files(spark, folder):
     for rows in (changed, lowest):
         load(dataset, LoadSpec("t", rows, primary_key="o_orderkey", write_disposition="upsert"))
         versions.append(dataset.version("t").parts)
-    # a directory whose one file was replaced is gone from the list
-    left_out = [sum(len(p.get("without", ())) for p in parts) for parts in versions]
+    # a part that lost its last row is gone from the list
+    masked = [sum(p.get("masked", 0) for p in parts) for parts in versions]
     dropped = {p["path"] for p in versions[0]} - {p["path"] for p in versions[1]}
-    return _stored(dataset).withColumn("replaced_at_last", F.lit(left_out[1] - left_out[0] + len(dropped)).cast("long"))
+    return _stored(dataset).withColumn("replaced_at_last", F.lit(masked[1] - masked[0] + len(dropped)).cast("long"))
 
 
 @query(
@@ -206,3 +206,141 @@ def verified_derive(spark, folder):
     spec = table_source(dataset, "t", included_columns=["c_custkey", "c_name", "c_acctbal"], name="derived", write_disposition="replace")
     load(dataset, spec)
     return _stored(dataset, "derived")
+
+
+def _data_files(dataset: Dataset, table: str = "t") -> int:
+    """Data files of a table, listed by a version or not."""
+    home = f"{dataset.root}/{dataset.schema}/{table}/data"
+    return sum(fs.size_of(dataset.spark, f"{home}/{name}")[0] for name in fs.children(dataset.spark, home))
+
+
+@query(
+    "delete_by_mask",
+    """
+    SELECT c_custkey, c_name, c_acctbal, CAST(0 AS BIGINT) AS files_written FROM customer
+    WHERE c_custkey NOT IN (SELECT user_id FROM events) AND c_custkey <> (SELECT max(c_custkey) FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events))
+    """,
+)
+def delete_by_mask(spark, folder):
+    """Two deletes, the second of a single key: neither writes a data file, and row counts, reads and a later merge go by the masks."""
+    customers = read(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    dataset = _loaded(spark, customers.repartition(8), primary_key="c_custkey", write_disposition="upsert")
+    files = _data_files(dataset)
+    delete_rows(dataset, "t", read(spark, folder, "events").select(F.col("user_id").alias("c_custkey")), ["c_custkey"])
+    delete_rows(dataset, "t", dataset.table("t").agg(F.max("c_custkey").alias("c_custkey")), ["c_custkey"])
+    written = _data_files(dataset) - files
+    back = customers.where(F.col("c_custkey") == customers.agg(F.min("c_custkey")).first()[0])
+    gone = delete_rows(dataset, "t", back.select("c_custkey"), ["c_custkey"])
+    if gone:  # put back what the last delete took: a key is there once, whatever masks its former row
+        load(dataset, LoadSpec("t", back, primary_key="c_custkey", write_disposition="upsert"))
+    return _stored(dataset).withColumn("files_written", F.lit(written).cast("long"))
+
+
+@query(
+    "compact_masked",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN -o_totalprice ELSE o_totalprice END AS o_totalprice, TRUE AS no_masks
+    FROM orders WHERE o_orderkey % 5 <> 0 UNION ALL SELECT -1, 0.0, TRUE
+    """,
+)
+def compact_masked(spark, folder):
+    """Masks of an update and a delete are gone after a compaction; a row appended while it ran stays."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    dataset = _loaded(spark, orders.repartition(6), primary_key="o_orderkey", write_disposition="upsert")
+    update_rows(dataset, "t", orders.where("o_orderkey % 3 = 0").withColumn("o_totalprice", -F.col("o_totalprice")), ["o_orderkey"])
+    delete_rows(dataset, "t", orders.where("o_orderkey % 5 = 0").select("o_orderkey"), ["o_orderkey"])
+    publish, late = dataset.publish, spark.createDataFrame([(-1, 0.0)], "o_orderkey long, o_totalprice double")
+
+    def overtaken(table, version):
+        dataset.publish = publish
+        load(Dataset(spark, dataset.root), LoadSpec("t", late))
+        return publish(table, version)
+
+    dataset.publish = overtaken
+    dataset.compact("t", masked_share=0.1)
+    return _stored(dataset).withColumn("no_masks", F.lit(not any("mask" in p for p in dataset.version("t").parts)))
+
+
+@query(
+    "upsert_scattered_keys",
+    """
+    SELECT o_orderkey, CASE WHEN o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)) LIMIT 100)
+           THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders
+    """,
+)
+def upsert_scattered_keys(spark, folder):
+    """A hundred keys from all over the range: files are searched by the bloom filters of their key column."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_totalprice")
+    dataset = _loaded(spark, orders.repartition(40, F.xxhash64("o_orderkey")), primary_key="o_orderkey")
+    some = orders.orderBy(F.md5(F.col("o_orderkey").cast("string"))).limit(100).withColumn("o_totalprice", F.lit(0.0))
+    load(dataset, LoadSpec("t", some, primary_key="o_orderkey", write_disposition="upsert"))
+    return _stored(dataset)
+
+
+@query(
+    "log_of_many_parts",
+    """
+    SELECT o_orderkey, o_orderstatus, TRUE AS checkpointed FROM orders
+    UNION ALL SELECT o_orderkey + 1000000000, o_orderstatus, TRUE FROM orders WHERE o_orderstatus = 'F'
+    """,
+)
+def log_of_many_parts(spark, folder):
+    """A table of some hundred directories: its version files list what changed since a checkpoint of all parts."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_orderstatus", F.col("o_orderdate").cast("date").alias("o_orderdate"))
+    dataset = new_dataset(spark)
+    load(dataset, with_layout(LoadSpec("t", orders), ["o_orderstatus", ("o_orderdate", "month")]), load_id="old")
+    more = orders.where("o_orderstatus = 'F'").withColumn("o_orderkey", F.col("o_orderkey") + 1000000000).withColumn("o_orderdate", F.lit(None).cast("date"))
+    load(dataset, LoadSpec("t", more), load_id="new")
+    return _stored(dataset).drop("o_orderdate").withColumn("checkpointed", F.lit(bool(dataset.version("t").base)))
+
+
+@query("incremental_nan_cursor", "SELECT event_id, CASE WHEN event_type = 'error' THEN CAST('NaN' AS DOUBLE) ELSE value END AS value FROM events")
+def incremental_nan_cursor(spark, folder):
+    """NaN is no place a run can have got to: rows with one are loaded once, and others after them still land."""
+    events = read(spark, folder, "events").select("event_id", F.when(F.col("event_type") == "error", F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+    dataset = new_dataset(spark)
+    for number, seen in enumerate((events.where("value < 50 or isnan(value)"), events, events)):
+        spec = LoadSpec("events", seen, primary_key="event_id")
+        load_incremental(dataset, spec, "value", pipeline="p", load_id=f"run-{number}", null_cursors="include")
+    return _stored(dataset, "events")
+
+
+@query(
+    "nested_merge_widened_key",
+    """
+    WITH line AS (SELECT doc_id, lang, unnest(string_split(text, chr(10))) AS line FROM documents)
+    SELECT CAST(doc_id AS DECIMAL(21, 2)) AS doc_id, line, count(*) AS n FROM line WHERE lang <> 'de' GROUP BY ALL
+    UNION ALL SELECT CAST(doc_id AS DECIMAL(21, 2)), lang, 1 FROM documents WHERE lang = 'de'
+    """,
+)
+def nested_merge_widened_key(spark, folder):
+    """The second batch brings the key as a decimal: its rows' children are still those of the first batch's rows."""
+    documents = read(spark, folder, "documents")
+    dataset = new_dataset(spark)
+    as_line = lambda x: F.struct(x.alias("line"))
+    lines = F.transform(F.split("text", "\n", -1), as_line).alias("lines")
+    later = documents.where("lang = 'de'").select(F.col("doc_id").cast("decimal(12,2)").alias("doc_id"), F.array(as_line(F.col("lang"))).alias("lines"))
+    for rows in (documents.select("doc_id", lines), later):
+        load(dataset, LoadSpec("docs", rows, write_disposition="upsert", primary_key="doc_id", nested=True))
+    return dataset.sql("select d.doc_id, l.line, count(*) n from docs d join public.docs__lines l on l._dlt_parent_id = d._dlt_id group by 1, 2")
+
+
+@query(
+    "sql_qualified_names",
+    """
+    SELECT o_orderstatus, count(*) AS n, max(o_orderkey) AS top FROM orders
+    WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0) GROUP BY o_orderstatus
+    """,
+)
+def sql_qualified_names(spark, folder):
+    """Quoted, spaced and commented names, columns with all qualifiers, and a CTE that has the name of a table."""
+    dataset = _loaded(spark, read(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderstatus"))
+    load(dataset, LoadSpec("customer", read(spark, folder, "customer").select("c_custkey", "c_acctbal")))
+    return dataset.sql(
+        """
+        with customer as (select * from /* public.t */ `public`.`customer` where public.customer.c_acctbal > :low)
+        select public.t.o_orderstatus, count(*) as n, max(PUBLIC.T.o_orderkey) as top
+        from public . t where o_custkey in (select c_custkey from customer) group by public.t.o_orderstatus -- from public.t
+        """,
+        {"low": 0},
+    )

@@ -1,27 +1,25 @@
 """A dataset: a directory of tables that change only by publishing a new version.
 
 ``<root>/<schema>/<table>/data/__part=<name>/...`` holds immutable Parquet parts and
-``<root>/<schema>/<table>/versions/<n>.json`` says which parts make version ``n``. A
-load writes new parts and then one version file, so readers see all of it or nothing,
-a failed or retried job leaves nothing visible, and a rewrite may read the table it
-replaces. What a load does not touch is listed again, not copied: whole parts, and
-inside a part the files that hold no changed key.
-
-Appends may race: the one that comes second is published on top of the first. Any other
-change of a table has one writer; a second one fails at publish.
+``<root>/<schema>/<table>/versions/<n>.json`` says which parts make version ``n`` (see
+``tablelog``). A load writes new parts and then one version file, so readers see all of it
+or nothing, a failed or retried job leaves nothing visible, and a rewrite may read the
+table it replaces. Rows that a merge replaces or deletes stay in their files and are masked
+(see ``masks``); ``compact`` writes files anew.
+
+Appends may race: the one that comes second is published on top of the first, and so is a
+compaction. Any other change of a table has one writer; a second one fails at publish.
 """
 
 from __future__ import annotations
 
 import json
-import re
 import uuid
 import warnings
-from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import asdict, dataclass, field, replace
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from dataclasses import asdict, dataclass, replace
 from functools import reduce
 from typing import Any
-from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -32,61 +30,25 @@ from lodeworks.errors import ConcurrentPublishError, UndefinedDatasetError, Unde
 from lodeworks.functions.keys import guard_keys, quoted
 from lodeworks.functions.local import empty_frame, local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
-from lodeworks.functions.schema import conform, same_shape
+from lodeworks.functions.schema import conform
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS
-from lodeworks.operators.layout import (
-    Layout,
-    PartitionKey,
-    SortKey,
-    apply_layout,
-    partition_value,
-)
-from lodeworks.operators.merge import keep_unmatched
+from lodeworks.operators.layout import Layout, apply_layout, partition_value
 from lodeworks.plans import files as fs
+from lodeworks.plans import masks
+from lodeworks.plans.masks import PART
+from lodeworks.plans.relations import names_in, unqualified
+from lodeworks.plans.tablelog import TableLog, TableVersion
 
-PART = "__part"
 _MARKER = "dataset.json"
-# Key types whose range is worth passing to the scan.
+# Key types whose range is worth passing to the scan, and whose values Parquet can keep a bloom filter of.
 _RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
-# How often an append that lost the race for a version number tries the next one.
+# How often a change that lost the race for a version number tries the next one.
 _APPEND_TRIES = 50
-
-
-@dataclass(frozen=True)
-class TableVersion:
-    """One published version of a table (the content of a version file)."""
-
-    number: int = 0
-    schemas: list = field(default_factory=list)  # every schema a live part was written in
-    parts: list = field(default_factory=list)  # {"path", "schema": index, "without": replaced files}
-    rows: int | None = 0
-    loaded: bool = False
-    key: list | None = None
-    partition_by: list = field(default_factory=list)
-    sorted_by: list = field(default_factory=list)
-    loads: list = field(default_factory=list)  # loads applied that were not yet seen in the load log
-
-    @property
-    def schema(self) -> T.StructType:
-        return T.StructType.fromJson(self.schemas[-1]) if self.schemas else T.StructType()
-
-    @property
-    def layout(self) -> Layout:
-        return Layout.read(self.partition_by, self.sorted_by)
-
-    @property
-    def partitions(self) -> tuple[PartitionKey, ...]:
-        return self.layout.partitions
-
-    @property
-    def sorts(self) -> tuple[SortKey, ...]:
-        return self.layout.sorts
-
-    def evolved(self, schema: T.StructType) -> TableVersion:
-        """The same parts under a wider schema; no data is touched."""
-        if self.schemas and same_shape(self.schema, schema):
-            return self
-        return replace(self, schemas=[*self.schemas, json.loads(schema.json())])
+# So many keys go to the scan one by one; more of them as a range.
+_LISTED = 256
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+# What no version ever listed is some load's unfinished work for so long.
+_ORPHAN_HOURS = 24.0
 
 
 @dataclass(frozen=True)
@@ -99,11 +61,6 @@ class Written:
     bounds: dict  # key column -> (lowest, highest) of all rows, dead ones included
 
 
-def _part_of(file: str) -> str:
-    """The part directory of a file as ``Dataset.file_of_row`` names it."""
-    return f"{PART}={unquote(file.rpartition('/')[0])}"
-
-
 class Dataset:
     """Tables of one namespace in one directory."""
 
@@ -111,6 +68,7 @@ class Dataset:
         self.spark = spark
         self.root = root.rstrip("/")
         self.schema = schema
+        self._lists: dict[str, list] = {}
 
     # -- lifecycle ---------------------------------------------------------------
 
@@ -149,44 +107,41 @@ class Dataset:
     def _home(self, table: str) -> str:
         return f"{self.root}/{self.schema}/{table}"
 
+    def log(self, table: str) -> TableLog:
+        return TableLog(self.spark, self._home(table), self._lists)
+
     def version(self, table: str) -> TableVersion | None:
         """The current version, or None for a table never declared."""
-        published = [n for n in fs.children(self.spark, f"{self._home(table)}/versions") if n.endswith(".json")]
-        if not published:
-            return None
-        return TableVersion(**json.loads(fs.read_text(self.spark, f"{self._home(table)}/versions/{max(published)}")))
+        return self.log(table).newest()
 
     def publish(self, table: str, version: TableVersion) -> TableVersion:
         """Make ``version`` (derived from the current one) the next version."""
-        used = sorted({p["schema"] for p in version.parts} | ({len(version.schemas) - 1} if version.schemas else set()))
-        place = {old: new for new, old in enumerate(used)}
-        version = replace(
-            version,
-            number=version.number + 1,
-            schemas=[version.schemas[i] for i in used],
-            parts=[{**p, "schema": place[p["schema"]]} for p in version.parts],
-        )
-        folder = f"{self._home(table)}/versions"
-        fs.make_directory(self.spark, folder)
-        fs.write_new(self.spark, f"{folder}/{version.number:012d}.json", json.dumps(asdict(version)))
-        return version
+        return self.log(table).publish(version)
 
     def publish_append(self, table: str, base: TableVersion, parts: Sequence[dict], rows: int, loads: Sequence[str] = ()) -> TableVersion:
         """Publish ``base`` with more parts; if someone else published first, the same on top of theirs.
 
         Appended parts fit any later version, unless its schema is another one.
         """
+
+        def onto(version: TableVersion) -> TableVersion | None:
+            if version.schemas and version.schemas[-1:] != base.schemas[-1:]:
+                return None
+            placed = [{**p, "schema": len(version.schemas or base.schemas) - 1} for p in parts]
+            schemas = version.schemas or base.schemas
+            return replace(version, schemas=schemas, parts=[*version.parts, *placed], rows=version.rows + rows, loaded=True, loads=[*version.loads, *loads])
+
+        return self._publish_onto(table, base, onto)
+
+    def _publish_onto(self, table: str, base: TableVersion, onto: Callable[[TableVersion], TableVersion | None]) -> TableVersion:
+        """Publish ``onto(base)``, or ``onto`` of what others published meanwhile, if it gives anything for that."""
         for left in range(_APPEND_TRIES, 0, -1):
-            version = replace(base, parts=[*base.parts, *parts], rows=base.rows + rows, loaded=True, loads=[*base.loads, *loads])
             try:
-                return self.publish(table, version)
+                return self.publish(table, onto(base))
             except ConcurrentPublishError:
-                other = self.version(table)
-                if left == 1 or (other.schemas and other.schemas[-1:] != base.schemas[-1:]):
+                base = self.version(table)
+                if left == 1 or onto(base) is None:
                     raise
-                index = len(other.schemas) - 1
-                parts = [{**p, "schema": index} for p in parts]
-                base = other
         raise AssertionError("unreachable")
 
     def declare(
@@ -218,8 +173,12 @@ class Dataset:
                 partition_by=[asdict(k) for k in layout.partitions],
                 sorted_by=[asdict(k) for k in layout.sorts],
             )
-            self.publish(table, first)
-            added.append(table)
+            try:
+                self.publish(table, first)
+                added.append(table)
+            except ConcurrentPublishError:  # someone else declared it: it is there
+                if self.version(table).schemas[-1:] != first.schemas[-1:] and first.schema.fields:
+                    raise
         return added
 
     def truncate(self, tables: Iterable[str]) -> None:
@@ -232,21 +191,34 @@ class Dataset:
                 continue
             self.publish(table, replace(version, parts=[], rows=0, loaded=True))
 
-    def vacuum(self, table: str, keep: int = 1) -> int:
-        """Delete parts and version files that the newest ``keep`` versions do not need."""
-        home = self._home(table)
-        published = [n for n in fs.children(self.spark, f"{home}/versions") if n.endswith(".json")]
-        kept = published[-max(keep, 1) :]
-        live = set()
-        for name in kept:
-            for part in json.loads(fs.read_text(self.spark, f"{home}/versions/{name}"))["parts"]:
-                live.add(part["path"].split("/")[0])
-        for name in published[: -len(kept)]:
-            fs.delete(self.spark, f"{home}/versions/{name}")
-        stale = [n for n in fs.children(self.spark, f"{home}/data") if n.startswith(f"{PART}=") and n not in live]
-        for name in stale:
-            fs.delete(self.spark, f"{home}/data/{name}")
-        return len(stale)
+    def vacuum(self, table: str, keep: int = 1, orphan_hours: float = _ORPHAN_HOURS) -> int:
+        """Delete what only versions before the newest ``keep`` need; returns the parts deleted.
+
+        What no version ever listed may be a load that still runs. It goes when it has not
+        changed for ``orphan_hours``, which must be more than any load takes.
+        """
+        home, log = self._home(table), self.log(table)
+        numbers = log.numbers()
+        old, kept = numbers[: -max(keep, 1)], numbers[-max(keep, 1) :]
+        needed, spare = (self._named([log.read(n) for n in some]) for some in (kept, old))
+        deleted = 0
+        for folder in ("data", "masks", "checkpoints"):
+            for name in fs.children(self.spark, f"{home}/{folder}"):
+                path = f"{home}/{folder}/{name}"
+                if name[0] in "._" and not name.startswith(PART) or name in needed[folder]:
+                    continue
+                if name in spare[folder] or fs.age_hours(self.spark, path) > orphan_hours:
+                    fs.delete(self.spark, path)
+                    deleted += folder == "data"
+        for number in old:
+            fs.delete(self.spark, log.file(number))
+        return deleted
+
+    @staticmethod
+    def _named(versions: Sequence[TableVersion]) -> dict[str, set[str]]:
+        """Directories of the table that these versions need."""
+        parts = [p for v in versions for p in v.parts]
+        return {"data": {p["path"].split("/")[0] for p in parts}, "masks": {p["mask"] for p in parts if "mask" in p}, "checkpoints": {v.base for v in versions}}
 
     # -- reading -----------------------------------------------------------------
 
@@ -308,35 +280,36 @@ class Dataset:
         return reduce(DataFrame.unionByName, (conform(f, full) for f, _ in self._frames(name, version, parts, technical)))
 
     def _frames(
-        self, name: str, version: TableVersion, parts: Sequence[dict], technical: Sequence[T.StructField] = ()
+        self, name: str, version: TableVersion, parts: Sequence[dict], technical: Sequence[T.StructField] = (), place: bool = False
     ) -> list[tuple[DataFrame, T.StructType]]:
-        """One scan per stored schema; parts that name single files have a scan of their own.
+        """One scan per stored schema; parts with masked rows have a scan of their own, joined with their masks.
 
-        Those names are compared with a constant of each file, which Spark does while it
-        plans the scan: files left out are not opened.
+        So have parts of which ``compact`` left files out. The names of these are compared with
+        a constant of each file, which Spark does while it plans the scan: files left out are
+        not opened. ``place`` adds each row's file and number.
         """
         groups: dict[tuple, list[dict]] = {}
         for part in parts:
-            groups.setdefault((part["schema"], "without" in part, "only" in part), []).append(part)
-        home, frames = f"{self._home(name)}/data", []
-        for (index, without, only), members in groups.items():
+            groups.setdefault((part["schema"], "without" in part, "mask" in part), []).append(part)
+        home, frames = self._home(name), []
+        for (index, without, masked), members in groups.items():
             written = T.StructType.fromJson(version.schemas[index])
-            reader = self.spark.read.schema(T.StructType([*written.fields, *technical])).option("basePath", home)
-            frame = reader.parquet(*(f"{home}/{p['path']}" for p in members))
-            if only:
-                frame = frame.where(self.file_of_row().isin([f for p in members for f in p["only"]]))
-            elif without:
-                frame = frame.where(~self.file_of_row().isin([f for p in members for f in p["without"]]))
-            frames.append((frame, written))
+            reader = self.spark.read.schema(T.StructType([*written.fields, *technical])).option("basePath", f"{home}/data")
+            frame = reader.parquet(*(f"{home}/data/{p['path']}" for p in members))
+            columns = [quoted(c) for c in frame.columns]
+            if without:
+                frame = frame.where(~masks.file_of_row().isin([f for p in members for f in p["without"]]))
+            if masked or place:
+                frame = masks.located(frame)
+            if masked:
+                frame = masks.unmasked(frame, masks.read_masks(self.spark, home, (p["mask"] for p in members)))
+            frames.append((frame if place or not masked else frame.select(*columns), written))
         return frames
 
-    @staticmethod
-    def file_of_row() -> Column:
-        """The file a scanned row came from, relative to its part directory's prefix."""
-        return F.substring_index("_metadata.file_path", f"/{PART}=", -1)
-
     def sql(self, query: str, args: Any = None) -> DataFrame:
-        """Run a query over the tables, by bare or ``schema.table`` name in any case.
+        """Run a query over the tables, by bare or ``schema.table`` name in any case and spelling.
+
+        Names are those Spark's parser finds, so comments, text and names of CTEs are told apart.
 
         Values go in through ``args``; nothing is spliced into the text. The query runs in a
         session of its own with the caller's settings, which holds views of this dataset's
@@ -348,17 +321,12 @@ class Dataset:
             if session.conf.isModifiable(name):
                 session.conf.set(name, value)
         own = Dataset(session, self.root, self.schema)
-        tables = {n.lower() for n in self.table_names()}
-        for name in tables.intersection(w.lower() for w in re.findall(r"\w+", query)):
+        tables = set(self.table_names())
+        names = names_in(session, query)
+        for name in tables.intersection(n.parts[-1].lower() for n in names if n.kind == "UnresolvedRelation"):
             own.table(name).createOrReplaceTempView(name)
-        # quoted text is matched first and left as it is; a qualifier goes only where a table is named
-        qualified = rf"'(?:[^'\\]|\\.|'')*'|(\b(?:from|join)\s+|,\s*){re.escape(self.schema)}\.(\w+)"
-
-        def bare(m: re.Match) -> str:
-            return m[1] + m[2] if m[2] and m[2].lower() in tables else m[0]
-
         try:
-            return session.sql(re.sub(qualified, bare, query, flags=re.IGNORECASE), args=args)
+            return session.sql(unqualified(query, names, self.schema, tables), args=args)
         except AnalysisException as error:
             if error.getCondition() == "TABLE_OR_VIEW_NOT_FOUND":
                 raise UndefinedTableError(str(error).split("\n")[0]) from error
@@ -396,8 +364,9 @@ class Dataset:
             df = df.withColumn(PART, F.when(quoted(dead), F.lit(gone)).otherwise(F.lit(live)))
             leading = [PART]
         placed, columns = apply_layout(df, version.partitions, (), leading)
-        ranged = [c for c in measured if isinstance(df.schema[c].dataType, _RANGED)]
+        ranged = [c for c in (measured or version.key or ()) if c in df.columns and isinstance(df.schema[c].dataType, _RANGED)]
         ends = [f(quoted(c)).alias(f"{f.__name__}_{c}") for c in ranged for f in (F.min, F.max)]
+        ends += [F.count_if(quoted(c).isNull()).alias(f"null_{c}") for c in ranged]
         placed = placed.observe(counted, F.count_if(is_live).alias("rows"), *ends)
         if dead:
             placed = placed.drop(dead)
@@ -405,24 +374,29 @@ class Dataset:
             # above the row counter and below the write, so the order reaches the files
             placed, _ = apply_layout(placed, (), version.sorts, columns)
         writer = placed.write.partitionBy(*columns) if columns else placed.write
+        for c in version.key or ():
+            if c in ranged:  # so that a merge of scattered keys skips the row groups that hold none
+                writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{c}", "true")
         if dead:
             writer.mode("append").parquet(home)
         else:
             writer.mode("errorifexists").parquet(f"{home}/{PART}={live}")
         seen = counted.get
-        return Written(
-            self._leaves(home, live, version),
-            int(seen.get("rows") or 0),
-            self._leaves(home, gone, version) if dead else [],
-            {c: (seen.get(f"min_{c}"), seen.get(f"max_{c}")) for c in ranged},
-        )
+        rows = int(seen.get("rows") or 0)
+        bounds = {c: (seen.get(f"min_{c}"), seen.get(f"max_{c}")) for c in ranged}
+        parts = self._leaves(home, live, version)
+        ranges = {c: b for c, b in bounds.items() if b[0] is not None and not seen.get(f"null_{c}") and max(len(str(x)) for x in b) < 200}
+        for part in parts:
+            part |= ({} if version.partitions else {"rows": rows}) | ({"range": {c: list(b) for c, b in ranges.items()}} if ranges else {})
+        return Written(parts, rows, self._leaves(home, gone, version) if dead else [], bounds)
 
     def _leaves(self, home: str, part: str, version: TableVersion) -> list[dict]:
         """Entries of the directories that hold files: one per partition value, or just the part."""
         found = [f"{PART}={part}"] if fs.exists(self.spark, f"{home}/{PART}={part}") else []
         for _ in version.partitions:
             found = [f"{p}/{n}" for p in found for n in fs.children(self.spark, f"{home}/{p}") if "=" in n]
-        return [{"path": p, "schema": len(version.schemas) - 1} for p in found]
+        sizes = [fs.size_of(self.spark, f"{home}/{p}") for p in found]
+        return [{"path": p, "schema": len(version.schemas) - 1, "files": n, "bytes": size} for p, (n, size) in zip(found, sizes)]
 
     def discard(self, table: str, entries: Sequence[dict]) -> None:
         """Remove directories that no version lists."""
@@ -432,80 +406,122 @@ class Dataset:
     def without_keys(
         self, table: str, version: TableVersion, keys: DataFrame, key: Sequence[str], bounds: Mapping[str, tuple]
     ) -> tuple[list[dict], int]:
-        """(parts, rows removed) of the table without the listed (distinct) keys.
+        """(parts, rows removed) of the table without the listed keys, by masks: no data file is written or dropped.
 
-        Finds the files that hold one of them on key columns alone, within the keys' range,
-        so that row groups outside it are skipped. Only those files are rewritten; files
-        that lose every row are left out unread, and all other files stay where they are.
+        Parts whose range of keys lies elsewhere are not opened; in the others, row groups are
+        skipped by range, and by bloom filter if the keys are few. Rows are found on key columns
+        alone. A part that loses its last row is no longer listed.
         """
-        matched = self._matched_rows(table, version, keys, key, bounds)
-        # names of the files that change: fewer than Spark itself lists to plan the scan above
-        hits = {r["__file"]: r["n"] for r in matched.groupBy("__file").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if not hits:
+        listed, bounds = self._sought(keys, key, bounds)
+        near = [p for p in version.parts if _may_hold(p, bounds)]
+        hits = self._matched_rows(table, replace(version, parts=near), keys, key, bounds, listed)
+        home, name = self._home(table), fs.unique(str(version.number + 1))
+        masks.write_mask(masks.mask_of(hits), f"{home}/masks/{name}")
+        found = masks.read_masks(self.spark, home, [name])
+        gone = masks.rows_by_part(found)
+        touched = {masks.part_path(f): n for f, n in gone.items()}
+        if not touched:
+            fs.delete(self.spark, f"{home}/masks/{name}")
             return version.parts, 0
-        by_part: dict[str, list[str]] = {}
-        for file in hits:
-            by_part.setdefault(_part_of(file), []).append(file)
-        sizes = self._file_rows(table, version, by_part)
-        parts, rewrite = [], []
+        before = [p for p in version.parts if p["path"] in touched and "mask" in p]
+        if before:
+            folders = local_frame(self.spark, [(f,) for f in gone], "folder string")
+            old = masks.read_masks(self.spark, home, (p["mask"] for p in before))
+            old = old.join(folders, masks.folder_of(F.col("mask_file")) == F.col("folder"), "left_semi")
+            first, name = name, fs.unique(str(version.number + 1))
+            masks.write_mask(masks.both(old, found), f"{home}/masks/{name}")
+            fs.delete(self.spark, f"{home}/masks/{first}")
+        known = self._part_rows(table, version, [p for p in version.parts if p["path"] in touched])
+        parts = []
         for part in version.parts:
-            mine = by_part.get(part["path"])
-            if mine is None:
-                parts.append(part)
-                continue
-            some_stay = [f for f in mine if sizes[f] > hits[f]]
-            if some_stay:
-                rewrite.append({"path": part["path"], "schema": part["schema"], "only": some_stay})
-            gone = sorted({*part.get("without", ()), *mine})
-            if fs.count_files(self.spark, f"{self._home(table)}/data/{part['path']}") > len(gone):
-                parts.append({**part, "without": gone})
-        return [*parts, *self._rewritten(table, version, rewrite, keys, key)], sum(hits.values())
-
-    def _rewritten(
-        self, table: str, version: TableVersion, parts: Sequence[dict], keys: DataFrame, key: Sequence[str]
-    ) -> list[dict]:
-        if not parts:
-            return []
-        existing = self.scan(table, version, parts).select(*(quoted(c) for c in version.schema.names))
-        kept = keep_unmatched(guard_keys(existing, key, "existing"), keys, key)
-        return self.write_parts(table, version, kept).parts
+            if part["path"] in touched:
+                masked = part.get("masked", 0) + touched[part["path"]]
+                if masked == known[part["path"]]:
+                    continue
+                part = {**part, "rows": known[part["path"]], "mask": name, "masked": masked}
+            parts.append(part)
+        return parts, sum(touched.values())
+
+    def _sought(self, keys: DataFrame, key: Sequence[str], bounds: Mapping[str, tuple]) -> tuple[dict[str, list], dict[str, tuple]]:
+        """Values to look for per key column, if there are few keys, and the range of each column."""
+        ranged = [k for k in key if isinstance(keys.schema[k].dataType, _RANGED)]
+        if not ranged:
+            return {}, dict(bounds)
+        few = keys.select(*(quoted(k) for k in ranged)).distinct().limit(_LISTED + 1).collect()
+        if len(few) <= _LISTED:
+            values = {k: sorted({r[i] for r in few} - {None}) for i, k in enumerate(ranged)}
+            return values, dict(bounds) | {k: (v[0], v[-1]) for k, v in values.items() if v}
+        missing = [k for k in ranged if k not in bounds]
+        if not missing:
+            return {}, dict(bounds)
+        ends = keys.agg(*(f(quoted(k)) for k in missing for f in (F.min, F.max))).first()
+        return {}, {k: (ends[2 * i], ends[2 * i + 1]) for i, k in enumerate(missing)} | dict(bounds)
+
+    def near(self, table: str, version: TableVersion, keys: DataFrame, key: Sequence[str]) -> DataFrame:
+        """The table, but for rows whose key cannot be among ``keys``, if these are few: those are not read."""
+        keys = conform(keys.select(*(quoted(k) for k in key)), T.StructType([version.schema[k] for k in key]))
+        listed, bounds = self._sought(keys, key, {k: (None, None) for k in key})
+        if not listed:
+            return self.table(table, version=version)
+        frames = []
+        for parts, some in _by_nulls([p for p in version.parts if _may_hold(p, bounds)], listed):
+            rows = self.table(table, version=replace(version, parts=parts))
+            frames.append(rows.where(_sought_in(some, {}, list(listed), version.schema.names)))
+        return reduce(DataFrame.unionByName, frames) if frames else self.table(table, version=replace(version, parts=[]))
 
     def _matched_rows(
-        self, table: str, version: TableVersion, keys: DataFrame, key: Sequence[str], bounds: Mapping[str, tuple]
+        self, table: str, version: TableVersion, keys: DataFrame, key: Sequence[str], bounds: Mapping[str, tuple], listed: Mapping[str, list] = {}
     ) -> DataFrame:
-        """One row, naming its file, for every table row whose key is listed."""
+        """The place (file, number) of every table row whose key is listed."""
         frames = []
-        for frame, written in self._frames(table, version, version.parts):
-            for c, (low, high) in bounds.items():
-                if c in written.names and low is not None:
-                    # a null stays in, to be refused below
-                    frame = frame.where(quoted(c).between(F.lit(low), F.lit(high)) | quoted(c).isNull())
-            columns = [
-                (quoted(k) if k in written.names else F.lit(None)).cast(version.schema[k].dataType).alias(k) for k in key
-            ]
-            frames.append(frame.select(*columns, self.file_of_row().alias("__file")))
+        for parts, some in _by_nulls(version.parts, listed):
+            for frame, written in self._frames(table, version, parts, place=True):
+                frame = frame.where(_sought_in(some, bounds, list(listed), written.names))
+                columns = [(quoted(k) if k in written.names else F.lit(None)).cast(version.schema[k].dataType).alias(k) for k in key]
+                frames.append(frame.select(*columns, masks.FILE, masks.ROW))
         if not frames:
-            return empty_frame(self.spark, T.StructType().add("__file", "string"))
+            return empty_frame(self.spark, T.StructType().add(masks.FILE, "string").add(masks.ROW, "long"))
         keyed = guard_keys(reduce(DataFrame.unionByName, frames), key, "existing")
-        return keyed.join(keys.select(*(quoted(k) for k in key)), list(key), "left_semi").select("__file")
-
-    def _file_rows(self, table: str, version: TableVersion, by_part: Mapping[str, list[str]]) -> dict[str, int]:
-        """file -> all its rows, from the footers of the named files."""
-        parts = [
-            {"path": p["path"], "schema": p["schema"], "only": by_part[p["path"]]}
-            for p in version.parts
-            if p["path"] in by_part
-        ]
-        frames = [f.select(self.file_of_row().alias("__file")) for f, _ in self._frames(table, version, parts)]
-        counts = reduce(DataFrame.unionByName, frames).groupBy("__file").agg(F.count(F.lit(1)).alias("n"))
-        return {r["__file"]: r["n"] for r in counts.collect()}
-
-    def compact(self, table: str) -> TableVersion:
-        """Rewrite a table that has gathered many small parts, in its layout."""
+        return keyed.join(keys.select(*(quoted(k) for k in key)), list(key), "left_semi").select(masks.FILE, masks.ROW)
+
+    def _part_rows(self, table: str, version: TableVersion, parts: Sequence[dict]) -> dict[str, int]:
+        """path -> all its rows, masked ones too; from the footers of its files where no version says it."""
+        known = {p["path"]: p["rows"] for p in parts if "rows" in p}
+        unknown = [{k: v for k, v in p.items() if k not in ("mask", "masked")} for p in parts if "rows" not in p]
+        if not unknown:
+            return known
+        frames = [f.select(masks.folder_of(masks.file_of_row()).alias("folder")) for f, _ in self._frames(table, version, unknown)]
+        counts = reduce(DataFrame.unionByName, frames).groupBy("folder").agg(F.count(F.lit(1)).alias("n")).collect()
+        return known | {masks.part_path(r["folder"]): r["n"] for r in counts}
+
+    def compact(self, table: str, target_bytes: int = 128 << 20, masked_share: float = 0.2) -> TableVersion:
+        """Pack small files, and files with many masked rows, into new ones of about ``target_bytes``.
+
+        Per directory of the layout, parts whose files are under half that size on average are
+        packed together, if that makes fewer files; so are parts with over ``masked_share`` of
+        their rows masked. Other parts stay as they are. What is appended meanwhile survives.
+        """
         version = self.version(table)
-        rows = self.table(table, version=version)
-        written = self.write_parts(table, version, rows if version.partitions else rows.hint("rebalance"))
-        return self.publish(table, replace(version, parts=written.parts, rows=written.rows))
+        rewrite = _to_pack(version.parts, target_bytes, masked_share)
+        if not rewrite:
+            return version
+        # whatever else is in the directories of the layout, each task packs rows of some of them
+        rows = self.scan(table, version, rewrite).select(*(quoted(c) for c in version.schema.names))
+        size = self.spark.conf.get(_ADVISORY)
+        self.spark.conf.set(_ADVISORY, str(target_bytes))
+        try:
+            written = self.write_parts(table, version, rows if version.partitions else rows.hint("rebalance"))
+        finally:
+            self.spark.conf.set(_ADVISORY, size)
+        old = {p["path"]: p for p in rewrite}
+
+        def onto(current: TableVersion) -> TableVersion | None:
+            unchanged = [p for p in current.parts if old.get(p["path"]) == p]
+            if len(unchanged) < len(old) or current.schemas[: len(version.schemas)] != version.schemas:
+                return None
+            return replace(current, parts=[*(p for p in current.parts if p["path"] not in old), *written.parts])
+
+        return self._publish_onto(table, version, onto)
 
     def append_rows(self, table: str, df: DataFrame) -> TableVersion:
         """Append to a bookkeeping table, creating it. Nothing stored is written again;
@@ -524,3 +540,62 @@ class Dataset:
             return empty_frame(self.spark, SCHEMAS[table])
         return self.table(table, version=version)
 
+
+
+def _any_of(tests: list[Column]) -> Column:
+    """Whether one of them holds, as a flat tree; Parquet is asked for each, so bloom filters count."""
+    while len(tests) > 1:
+        tests = [a | b for a, b in zip(tests[::2], tests[1::2])] + tests[len(tests) // 2 * 2 :]
+    return tests[0]
+
+
+def _by_nulls(parts: Sequence[dict], listed: Mapping[str, list]) -> list[tuple[list[dict], dict[str, tuple[list, bool]]]]:
+    """Parts known to hold no null in the listed columns, and the others; with what to look for, and whether nulls may be there.
+
+    A null stays in a scan, to be refused by whoever reads the key. But asked for nulls as well,
+    Parquet's bloom filters say nothing, so that is left out wherever a version tells there are none.
+    """
+    sure, rest = [], []
+    for p in parts:
+        (sure if listed.keys() <= p.get("range", {}).keys() else rest).append(p)
+    return [(some, {c: (v, maybe) for c, v in listed.items()}) for some, maybe in ((sure, False), (rest, True)) if some]
+
+
+def _sought_in(listed: Mapping[str, tuple[list, bool]], bounds: Mapping[str, tuple], order: list[str], stored: Sequence[str]) -> Column:
+    """What the scan of stored columns is asked for: listed values, and ranges of the columns that have no list."""
+    test = F.lit(True)
+    for c in order:
+        values, maybe = listed[c]
+        if values and c in stored:
+            one = _any_of([quoted(c) == F.lit(v) for v in values])
+            test &= (one | quoted(c).isNull()) if maybe else one
+    for c, (low, high) in bounds.items():
+        if low is not None and c in stored:
+            test &= quoted(c).between(F.lit(low), F.lit(high)) | quoted(c).isNull()
+    return test
+
+
+def _may_hold(part: dict, bounds: Mapping[str, tuple]) -> bool:
+    """Whether the part's range of some key column rules the sought range out."""
+    for column, (low, high) in bounds.items():
+        lowest, highest = part.get("range", {}).get(column, (None, None))
+        if low is not None and isinstance(lowest, type(low)) and (highest < low or high < lowest):
+            return False
+    return True
+
+
+def _to_pack(parts: Sequence[dict], target_bytes: int, masked_share: float) -> list[dict]:
+    """Parts to write anew: heavily masked ones, and small ones where several files become fewer."""
+    small: dict[str, list[dict]] = {}
+    chosen = []
+    for part in parts:
+        files, size = part.get("files", 1), part.get("bytes", 0)
+        if part.get("masked", 0) > masked_share * part.get("rows", 0) or "without" in part:
+            chosen.append(part)
+        elif files and size / files < target_bytes / 2:
+            small.setdefault(part["path"].partition("/")[2], []).append(part)
+    for group in small.values():
+        files, size = (sum(p.get(x, 0) for p in group) for x in ("files", "bytes"))
+        if files > -(-size // target_bytes):
+            chosen += group
+    return chosen

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import time
 import uuid
 
 from py4j.protocol import Py4JJavaError
@@ -61,11 +62,19 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(names)
 
 
-def count_files(spark: SparkSession, path: str) -> int:
-    """Number of data files directly inside a directory that a write made."""
+def size_of(spark: SparkSession, path: str) -> tuple[int, int]:
+    """Data files directly inside a directory that a write made, and their bytes."""
     system, p = _open(spark, path)
     _, marker = _open(spark, f"{path}/_SUCCESS")
-    return len(system.listStatus(p)) - int(system.exists(marker))
+    summary = system.getContentSummary(p)
+    return summary.getFileCount() - int(system.exists(marker)), summary.getLength()
+
+
+def age_hours(spark: SparkSession, path: str) -> float:
+    """Hours since a directory, or any file directly in it, last changed."""
+    system, p = _open(spark, path)
+    newest = max([system.getFileStatus(p).getModificationTime(), *(s.getModificationTime() for s in system.listStatus(p))])
+    return (time.time() - newest / 1000) / 3600
 
 
 def data_files(spark: SparkSession, path: str) -> list[str]:

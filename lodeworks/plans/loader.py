@@ -17,7 +17,7 @@ from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,7 +28,7 @@ from lodeworks.functions.names import check_names, normalize_identifier
 from lodeworks.functions.nested import ROOT_ID, child_tables
 from lodeworks.functions.schema import conform, logical_type, merge_schemas
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS, since
-from lodeworks.operators.identity import ROW_ID, digest, with_identity
+from lodeworks.operators.identity import ROW_ID, by_value, digest, with_identity
 from lodeworks.operators.layout import partition_value
 from lodeworks.operators.merge import (
     DELETED,
@@ -201,13 +201,13 @@ def _nested_merge(
 ) -> list[_Task]:
     """A keyed merge of nested rows: each key's children, at every depth, are replaced with its row.
 
-    A row's id is a digest of its key, so it stays the same from load to load. The batch is
-    folded first and written once: only the rows that win have children.
+    A row's id is a digest of its key, by value, so it stays the same from load to load, also
+    if the key's type widens. The batch is folded first and written once: only the rows that win have children.
     """
     flag = spec.delete_flag if spec.delete_flag in rows.columns else None
     with _named_errors():
         winners = last_per_key(rows, key, order=order, hard_delete=flag)
-        own = digest(F.lit(spec.target), *(quoted(k) for k in key))
+        own = digest(F.lit(spec.target), *(by_value(quoted(k), rows.schema[k].dataType) for k in key))
         winners = with_identity(winners.withColumn(ROW_ID, own), load_id)
         folder = fs.shared_folder(dataset.spark) + "/winners"
         winners.write.parquet(folder)
@@ -332,13 +332,13 @@ def _apply(dataset: Dataset, task: _Task, load_id: str, done: set[str]) -> int:
         winners = last_per_key(rows, key, order=task.spec.order_by, hard_delete=flag)
         winners = winners if flag else winners.drop(DELETED)
         if action == "update":
-            known = known_keys(dataset.table(task.table, version=version), winners, key)
+            known = known_keys(dataset.near(task.table, version, winners, key), winners, key)
             winners = winners.join(known, list(key), "left_semi").select(*winners.columns)
         return _replace_keys(dataset, task.table, applied, winners, key, DELETED if flag else None, check=check)
 
     if action == "insert-only":
-        existing = dataset.table(task.table, version=version)
-        rows = new_rows(existing, rows, task.key or [ROW_ID], hard_delete=flag)
+        key = task.key or [ROW_ID]
+        rows = new_rows(dataset.near(task.table, version, rows, key), rows, key, hard_delete=flag)
     written = dataset.write_parts(task.table, version, rows.drop(*POSITION))
     check(written)
     if action == "append":
@@ -384,10 +384,12 @@ def _replace_keys(
 
 
 def _delete(dataset: Dataset, task: _Task, version: TableVersion) -> int:
-    keys = conform(
-        guard_keys(task.rows.select(*(quoted(k) for k in task.key)), task.key),
-        T.StructType([version.schema[k] for k in task.key]),
-    ).distinct()
+    keys = guard_keys(task.rows.select(*(quoted(k) for k in task.key)), task.key)
+    keys = conform(keys, T.StructType([version.schema[k] for k in task.key])).distinct()
+    # read from files, their size is known, and finding them is not done again for each use
+    folder = fs.shared_folder(dataset.spark) + "/keys"
+    keys.write.parquet(folder)
+    keys = dataset.spark.read.schema(keys.schema).parquet(folder)
     parts, removed = dataset.without_keys(task.table, version, keys, task.key, {})
     dataset.publish(task.table, replace(version, parts=parts, rows=version.rows - removed, loaded=True))
     return removed
@@ -452,7 +454,7 @@ def load_incremental(
     sources where one cursor value fills up over time; those already stored are left out
     by key. It is the default where there is a key.
 
-    Rows without a cursor value are refused unless ``null_cursors`` is "include" (they are
+    Rows without a cursor value, or with one that is no number (NaN, which nothing is ever past), are refused unless ``null_cursors`` is "include" (they are
     loaded by every run; a key tells those already stored) or "exclude". ``spec.data`` may be
     the files of a package.
     """
@@ -466,31 +468,36 @@ def load_incremental(
     resource = (saved or {}).get(spec.name, {})
     last = resource.get("last_value")
     rows, at = spec.data, quoted(cursor)
-    if null_cursors == "raise" and not rows.where(at.isNull()).isEmpty():
-        raise LoadError(f"rows without a value in cursor {cursor!r}; choose null_cursors='include' or 'exclude'")
     dtype = rows.schema[cursor].dataType
+    missing = _no_cursor(at, dtype)
+    if null_cursors == "raise" and not rows.where(missing).isEmpty():
+        raise LoadError(f"rows without a value in cursor {cursor!r}; choose null_cursors='include' or 'exclude'")
     low = None if last is None else F.lit(last).cast(dtype)
-    fresh = since(rows, cursor, low, closed=closed)
+    fresh = since(rows.where(~missing), cursor, low, closed=closed)
     top = F.max(at)
     # an instant is stored with its offset, so a session in another zone reads the same one
     as_text = F.date_format(top, "yyyy-MM-dd HH:mm:ss.SSSSSSXXX") if isinstance(dtype, T.TimestampType) else top.cast("string")
     high = fresh.agg(as_text).first()[0]
     if high is not None:
         fresh = since(fresh, cursor, up_to=F.lit(high).cast(dtype))
-    fresh = fresh.where(at.isNotNull())
     if null_cursors == "include":
-        fresh = fresh.unionByName(rows.where(at.isNull()))
+        fresh = fresh.unionByName(rows.where(missing))
     if last is not None and dataset.version(spec.target) is not None and (closed or null_cursors == "include"):
         if not key:
             raise LoadError("rows that are read again need a key to tell those already stored by")
         stored = quoted(normalize_identifier(cursor))
-        again = ((stored == low) if closed else F.lit(False)) | (stored.isNull() if null_cursors == "include" else F.lit(False))
+        unplaced = _no_cursor(stored, dtype) if null_cursors == "include" else F.lit(False)
+        again = F.coalesce(stored == low if closed else F.lit(False), F.lit(False)) | unplaced
         seen = dataset.table(spec.target).where(again).select(*(quoted(normalize_identifier(k)).alias(k) for k in key))
         fresh = keep_unmatched(fresh, seen, key)
     state = {**(saved or {}), spec.name: {"cursor": cursor, "last_value": high if high is not None else last}}
     return load(dataset, replace(spec, data=fresh), load_id=load_id, pipeline=pipeline, state=state, **options)
 
 
+def _no_cursor(value: Column, dtype: T.DataType) -> Column:
+    return value.isNull() | F.isnan(value) if isinstance(dtype, (T.FloatType, T.DoubleType)) else value.isNull()
+
+
 def declare_tables(dataset: Dataset, tables: Iterable[str]) -> None:
     """Names only: tables that exist (empty, without columns) before their first load."""
     dataset.declare({normalize_identifier(t): T.StructType() for t in tables} | SCHEMAS)

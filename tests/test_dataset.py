@@ -105,6 +105,18 @@ def test_a_reader_keeps_its_version_until_vacuum(spark, dataset):
     assert rows(dataset.table("t").select("id")) == [(3,)]
 
 
+def test_vacuum_leaves_running_loads_alone(spark, dataset):
+    load(dataset, LoadSpec("t", orders(spark, 1, 2)))
+    version = dataset.version("t")
+    written = dataset.write_parts("t", version, orders(spark, 3))  # a load that has not published yet
+    load(dataset, LoadSpec("t", orders(spark, 4)))
+    assert dataset.vacuum("t", keep=1) == 0
+    dataset.publish_append("t", dataset.version("t"), written.parts, written.rows)
+    assert rows(dataset.table("t").select("id")) == [(1,), (2,), (3,), (4,)]
+    dataset.write_parts("t", dataset.version("t"), orders(spark, 5))
+    assert dataset.vacuum("t", orphan_hours=-1) == 1 and dataset.table("t").count() == 4
+
+
 def test_upsert_may_read_the_table_it_replaces(spark, dataset):
     load(dataset, LoadSpec("t", orders(spark, 1, 2)))
     doubled = dataset.table("t").select("id", F.concat("v", "v").alias("v"))
@@ -136,6 +148,28 @@ def test_sql_resolves_bare_and_qualified_names(spark, dataset):
         dataset.table("missing_table")
 
 
+def test_sql_names_as_the_parser_reads_them(spark, dataset):
+    load(dataset, LoadSpec("t", orders(spark, 1, 2)))
+    load(dataset, LoadSpec("u", orders(spark, 2, 3, 4)))
+    for query, want in (
+        ("select count(*) from `public`.`t`", 2),
+        ("select count(*) from public . t", 2),
+        ("select count(*) from /* public.u, */ public.t -- from public.u", 2),
+        ("select max(public.t.id) from public.t", 2),
+        ("select count(public.t.v) from t, public.u where PUBLIC.T.id = u.id", 1),
+        ("select count(*) from (select `public`.t.* from Public.T)", 2),
+        ("with u as (select * from public.u where id > 3), t as (select * from u) select count(*) from t", 1),
+        ("select (select max(id) from public.u) + count(*) from t where exists (select 1 from public.u where public.u.id = public.t.id)", 5),
+        ("select count(*) from t join lateral (select id from public.u where u.id = t.id) x", 1),
+        ("select count(*) from public.t public where public.v = 'v1' and 'from public.u' <> \"public.t.id\"", 1),
+        ("select count(*) from public.t where id in (select id from public.u union select 1) and id > :low", 1),
+    ):
+        args = {"low": 1} if ":low" in query else None
+        assert dataset.sql(query, args).first()[0] == want, query
+    with pytest.raises(UndefinedTableError):
+        dataset.sql("select * from t where id in (select id from public.missing_table)")
+
+
 def test_read_api(spark, dataset):
     spans = [("a1", "m1", 120, True), ("a2", "m1", 360, True), ("b1", "m2", 701, False)]
     load(dataset, LoadSpec("spans", spark.createDataFrame(spans, "span_id string, model string, latency_ms long, ok boolean")))
@@ -153,48 +187,51 @@ def test_version_files_are_plain_json(spark, dataset):
     assert newest["rows"] == 1 and T.StructType.fromJson(newest["schemas"][-1]).names[:2] == ["id", "v"]
 
 
-def test_merge_rewrites_only_the_files_that_hold_a_key(spark, dataset):
-    df = spark.range(0, 800, 1, 8).select("id", F.lit("old").alias("v"))
-    spec = LoadSpec("t", df, write_disposition="upsert", primary_key="id")
+def many_files(spark, dataset, df, **options):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        load(dataset, spec)
+        load(dataset, LoadSpec("t", df, **options))
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def data_files(spark, dataset, table="t"):
+    """Every data file of a table with its bytes, listed or not."""
+    home = f"{dataset.root}/public/{table}/data"
+    return {f"{p}/{f}" for p in fs.children(spark, home) for f in fs.children(spark, f"{home}/{p}") if f.endswith(".parquet")}
+
+
+def test_merge_masks_rows_and_writes_only_its_own(spark, dataset):
+    many_files(spark, dataset, spark.range(0, 800, 1, 8).select("id", F.lit("old").alias("v")), write_disposition="upsert", primary_key="id")
     (part,) = dataset.version("t").parts
-    home = f"{dataset.root}/public/t/data"
-    files = fs.data_files(spark, f"{home}/{part['path']}")
+    files = data_files(spark, dataset)
     assert len(files) > 2
     for i, ids in enumerate([(5,), (5, 900), (6, 700)]):
-        change = spark.createDataFrame([(k, f"new{i}") for k in ids], "id long, v string")
+        change = spark.createDataFrame([(k, f"new{i}") for k in ids], "id long, v string").coalesce(1)
         load(dataset, LoadSpec("t", change, write_disposition="upsert", primary_key="id"))
         assert dataset.table("t").count() == dataset.version("t").rows == (801 if i else 800)
+        assert len(data_files(spark, dataset) - files) <= 2 * (i + 1) and files <= data_files(spark, dataset)
     first = dataset.version("t").parts[0]
-    assert first["path"] == part["path"] and 1 <= len(first["without"]) <= 3
+    assert first["path"] == part["path"] and first["masked"] == 3 and first["rows"] == 800
     changed = dataset.table("t").where("v <> 'old'").select("id", "v")
     assert rows(changed) == sorted([(5, "new1"), (900, "new1"), (6, "new2"), (700, "new2")], key=str)
-    # files left out are not even opened
-    for name in first["without"]:
-        fs.delete(spark, f"{home}/__part={name}")
-        fs.write_new(spark, f"{home}/__part={name}", "not parquet")
-    assert dataset.table("t").count() == 801
     assert dataset.table("t").where("id < 10").count() == 10
-    dataset.compact("t")
-    assert "without" not in dataset.version("t").parts[0] and dataset.table("t").count() == 801
+    dataset.compact("t", masked_share=0.0)
+    assert not any("mask" in p for p in dataset.version("t").parts) and dataset.table("t").count() == 801
+    assert dataset.version("t").rows == 801
 
 
-def test_a_merge_of_one_row_rewrites_one_file_whatever_came_before(spark, dataset):
+def test_a_merge_of_one_row_masks_one_row_whatever_came_before(spark, dataset):
     load(dataset, LoadSpec("t", spark.range(0, 5000, 1, 250), write_disposition="append"))
-    for step in (20, 7, 3):  # each touches every file, the last ones also those rewritten before
+    for step in (20, 7, 3):  # each touches every file, the last ones also rows that came since
         change = spark.range(0, 5000, step).withColumn("v", F.lit(f"n{step}"))
         load(dataset, LoadSpec("t", change, write_disposition="upsert", primary_key="id"))
     before = dataset.version("t")
     one = spark.createDataFrame([(11, "one")], "id long, v string")
     load(dataset, LoadSpec("t", one, write_disposition="upsert", primary_key="id"))
     version = dataset.version("t")
-    replaced = [sum(len(p.get("without", ())) for p in v.parts) for v in (before, version)]
-    dropped = {p["path"] for p in before.parts} - {p["path"] for p in version.parts}
-    assert replaced[1] - replaced[0] + len(dropped) == 1
+    masked = [sum(p.get("masked", 0) for p in v.parts) for v in (before, version)]
+    assert masked[1] - masked[0] == 1 and {p["path"] for p in before.parts} < {p["path"] for p in version.parts}
     assert dataset.table("t").count() == version.rows == 5000
     assert [r["id"] for r in dataset.table("t").where("v = 'one'").collect()] == [11]
 

@@ -136,15 +136,20 @@ def test_range_on_a_partitioned_column_prunes_directories(spark, dataset):
     assert dataset.table("t", between=("n", 2, 3)).count() == 96
 
 
-def test_merge_rewrites_only_the_partitions_it_touches(spark, dataset):
+def test_merge_masks_rows_of_the_partitions_it_touches(spark, dataset):
     df = spark.range(100).select("id", (F.col("id") % 4).alias("k"), F.lit("old").alias("v"))
     load(dataset, with_layout(LoadSpec("t", df, write_disposition="upsert", primary_key="id"), ["k"]))
-    before = {p["path"] for p in dataset.version("t").parts}
+    before = dataset.version("t").parts
     change = spark.createDataFrame([(4, 0, "new"), (8, 0, "new")], df.schema)
     load(dataset, LoadSpec("t", change, write_disposition="upsert", primary_key="id"))
-    after = {p["path"] for p in dataset.version("t").parts}
-    assert len(before & after) == 3
+    after = dataset.version("t").parts
+    assert sum(p in after for p in before) == 3 and len(after) == 5
+    (masked,) = (p for p in after if "mask" in p)
+    assert masked["masked"] == 2 and masked["rows"] == 25 and masked["path"].endswith("=0")
     assert dataset.table("t").where("v = 'new'").count() == 2 and dataset.table("t").count() == 100
+    load(dataset, LoadSpec("t", df.where("k = 0"), write_disposition="upsert", primary_key="id"))
+    assert not any("mask" in p for p in dataset.version("t").parts) and dataset.table("t").where("v = 'old'").count() == 100
+    assert dataset.version("t").rows == 100
 
 
 def test_instants_are_partitioned_by_utc_whatever_the_session_zone(spark, dataset):

@@ -42,18 +42,22 @@ def _word_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
     return np.array([_mixed(np.add.reduceat(c * p[place], np.cumsum(n) - n)) for p in powers])
 
 
-def _cut(text: str, most: int = 12) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Words before each cut (first 0, last all), characters before it, and the words' hashes."""
-    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
-    word = np.r_[False, ~_is(codes, _SPACE), False]
-    starts, ends = np.flatnonzero(word[1:] & ~word[:-1]), np.flatnonzero(word[:-1] & ~word[1:])
-    n = len(starts)
-    if not n:
-        return np.zeros(1, np.int64), np.zeros(1, np.int64), np.zeros((2, 0), np.uint64)
+def _sentences(codes: np.ndarray, bounds: np.ndarray, most: int = 12) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts in a row (``bounds``: where each begins, and the last ends), per word: where it starts, whether it is cut behind it,
+    and its hashes; and the line feeds before each character."""
+    word = ~_is(codes, _SPACE)
+    before, behind = np.r_[False, word[:-1]], np.r_[word[1:], False]
+    filled = bounds[:-1][np.diff(bounds) > 0]
+    before[filled] = False  # a word does not go on from one text into the next
+    behind[filled[1:] - 1] = False
+    starts, ends = np.flatnonzero(word & ~before), np.flatnonzero(word & ~behind) + 1
+    feeds = np.r_[0, np.cumsum(codes == 10)]
+    if not len(starts):
+        return starts, np.zeros(0, bool), np.zeros((2, 0), np.uint64), feeds
     last = np.maximum.accumulate(np.where(_is(codes, _CLOSE), 0, np.arange(len(codes))))[ends - 1]  # before closing quotes and brackets
     stop = (last >= starts) & _is(codes[last], _STOP)
-    stop[-1] = True
-    feeds = np.r_[0, np.cumsum(codes == 10)]
+    words = np.searchsorted(starts, bounds)
+    stop[words[1:][np.diff(words) > 0] - 1] = True
     cut = stop.copy()
     cut[:-1] |= feeds[starts[1:]] > feeds[ends[:-1]]
     sentence = np.cumsum(stop) - stop
@@ -62,8 +66,21 @@ def _cut(text: str, most: int = 12) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     if long.any():
         windows = np.lib.stride_tricks.sliding_window_view(hashes[0], _WINDOW)
         first = np.arange(len(windows))
-        inside = (sentence[first] == sentence[first + _WINDOW - 1]) & long[sentence[first]]
-        cut[first[inside] + windows[inside].argmin(axis=1)] = True
+        first = first[(sentence[: len(windows)] == sentence[_WINDOW - 1 :]) & long[sentence[: len(windows)]]]
+        cut[first + windows[first].argmin(axis=1)] = True
+    return starts, cut, hashes, feeds
+
+
+def _codes(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+
+
+def _cut(text: str, most: int = 12) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words before each cut (first 0, last all), characters before it, and the words' hashes."""
+    codes = _codes(text)
+    starts, cut, hashes, feeds = _sentences(codes, np.array([0, len(codes)]), most)
+    if not len(starts):
+        return np.zeros(1, np.int64), np.zeros(1, np.int64), hashes
     after = np.flatnonzero(cut) + 1
     lead = int(starts[0]) if feeds[starts[0]] else 0  # lines before the first word are no part of its sentence
     return np.r_[0, after], np.r_[lead, np.r_[starts, len(codes)][after]], hashes
@@ -95,47 +112,52 @@ def _worded(text: str) -> list[tuple[int, int]]:
     return list(zip(at[:-1], at[1:]))
 
 
-def runs_of(before: np.ndarray, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
+def runs_of(before: np.ndarray, first: np.ndarray, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray]:
     """Bounds of the shortest runs from each sentence on, and up to each, with ``run`` sentences and ``min_words`` words.
 
     Both ways, so that of a passage that stands twice every sentence lies in a run inside it.
-    ``before`` holds the words before each sentence, and at last all words.
+    ``before`` holds the words before each sentence of some texts, and at last all words;
+    ``first`` the first sentence of each text, and at last their number.
     """
-    n = len(before) - 1
-    at = np.arange(n + 1)
-    ends = np.maximum(at + run, np.searchsorted(before, before + min_words))
-    starts = np.minimum(at - run, np.searchsorted(before, before - min_words, "right") - 1)
-    ahead, back = ends <= n, starts >= 0
-    return np.divmod(np.unique(np.r_[at[ahead] * (n + 1) + ends[ahead], starts[back] * (n + 1) + at[back]]), n + 1)
-
-
-def span_hashes(text: str, run: int, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First and last bounds (numbers of sentences) and 128-bit hashes, as two rows, of the text's runs."""
-    before, _, hashes = _cut(text)
-    a, b = runs_of(before, run, min_words)
-    first, last, out = before[a], before[b], np.zeros((2, len(a)), np.uint64)
+    n, at = len(before) - 1, np.arange(len(before))
+    text = np.searchsorted(first, at[:-1], "right") - 1  # of each sentence
+    ends = np.maximum(at + run, np.searchsorted(before, before + min_words))[:-1]
+    starts = np.minimum(at - run, np.searchsorted(before, before - min_words, "right") - 1)[1:]
+    ahead, back = ends <= first[text + 1], starts >= first[text]
+    return np.divmod(np.unique(np.r_[at[:-1][ahead] * (n + 1) + ends[ahead], starts[back] * (n + 1) + at[1:][back]]), n + 1)
+
+
+def span_hashes(texts: list[str], run: int, min_words: int) -> tuple[np.ndarray, ...]:
+    """Text, first and last bounds (numbers of sentences of the text) and 128-bit hashes, as two rows, of the texts' runs."""
+    codes = _codes("".join(texts))
+    bounds = np.r_[0, np.cumsum([len(t) for t in texts])]
+    starts, cut, hashes, _ = _sentences(codes, bounds)
+    before = np.r_[0, np.flatnonzero(cut) + 1]
+    first = np.searchsorted(before, np.searchsorted(starts, bounds))
+    a, b = runs_of(before, first, run, min_words)
+    begin, end, out = before[a], before[b], np.zeros((2, len(a)), np.uint64)
     for k in range(2 if len(a) else 0):
         # a run is a number in base _BASES[k] with its words as digits, whatever is before it
         powers, back = (np.r_[np.uint64(1), np.cumprod(np.full(hashes.shape[1], x[k], np.uint64))] for x in (_BASES, _INVERSE))
         total = np.r_[np.uint64(0), np.cumsum(hashes[k] * powers[:-1])]
-        out[k] = _mixed((total[last] - total[first]) * back[first] + (last - first).astype(np.uint64))
-    return a, b, out.view(np.int64)
+        out[k] = _mixed((total[end] - total[begin]) * back[begin] + (end - begin).astype(np.uint64))
+    of = np.searchsorted(first, a, "right") - 1
+    return of, a - first[of], b - first[of], out.view(np.int64)
 
 
-def _spans(batches: Iterator[pa.RecordBatch], run: int, min_words: int, at_once: int = 100_000) -> Iterator[pa.RecordBatch]:
+def _spans(batches: Iterator[pa.RecordBatch], run: int, min_words: int, at_once: int = 500_000) -> Iterator[pa.RecordBatch]:
+    """Runs of some texts at a time: as many as hold ``at_once`` characters, one at least."""
     for batch in batches:
         doc, row = batch.column("doc").to_numpy(), batch.column("row").to_numpy()
-        of, made, n = [], [], 0
-        for k, text in enumerate(texts(batch.column("body"))):
-            a, b, h = span_hashes(text, run, min_words)
-            if len(a):
-                of.append(np.full(len(a), k))
-                made.append(np.array([a, b, *h]))
-                n += len(a)
-            if made and (n >= at_once or k + 1 == len(doc)):
-                at, (a, b, h1, h2) = np.concatenate(of), np.concatenate(made, axis=1)
-                of, made, n = [], [], 0
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[at], row[at], a.astype(np.int32), b.astype(np.int32), h1, h2)], ["doc", "row", "pos", "stop", "h1", "h2"])
+        bodies = texts(batch.column("body"))
+        ends = np.cumsum([len(t) for t in bodies])
+        k = 0
+        while k < len(bodies):
+            stop = max(k + 1, int(np.searchsorted(ends, (ends[k - 1] if k else 0) + at_once, "right")))
+            of, a, b, (h1, h2) = span_hashes(bodies[k:stop], run, min_words)
+            of = of + k
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (doc[of], row[of], a.astype(np.int32), b.astype(np.int32), h1, h2)], ["doc", "row", "pos", "stop", "h1", "h2"])
+            k = stop
 
 
 def remove_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
@@ -149,14 +171,19 @@ def remove_runs(text: str, runs: list[tuple[int, int]]) -> tuple[str, int]:
     return "".join([*kept, text[at:]]), len(gone)
 
 
-def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        runs = [[(x["pos"], x["stop"]) for x in r or ()] for r in batch.column("runs").to_pylist()]
-        found = [remove_runs(t, r) if r else (t, 0) for t, r in zip(texts(batch.column("body")), runs)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc"), batch.column("whole"), pa.array([t for t, _ in found], pa.string()), pa.array([n for _, n in found], pa.int64())],
-            ["doc", "whole", "left", "n_removed"],
-        )
+def _remover():
+    """Of (text, runs): the text that is left, and how many sentences went; null where there are no runs."""
+
+    @F.arrow_udf("left string, n_removed long")
+    def removed(body: pa.Array, runs: pa.Array) -> pa.Array:
+        left, gone = [], []
+        for text, spans in zip(body.to_pylist(), runs.to_pylist()):
+            kept, n = remove_runs(text, [(x["pos"], x["stop"]) for x in spans]) if spans else (None, None)
+            left.append(kept)
+            gone.append(n)
+        return pa.StructArray.from_arrays([pa.array(left, pa.string()), pa.array(gone, pa.int64())], ["left", "n_removed"])
+
+    return removed
 
 
 def _cleaned(docs: DataFrame, run: int, min_words: int) -> DataFrame:
@@ -172,10 +199,12 @@ def _cleaned(docs: DataFrame, run: int, min_words: int) -> DataFrame:
     repeated = spans.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").select("h1", "h2", "first")
     repeated = stored(repeated)  # read from files, it is a plain side of the join, whose hot keys Spark may then split
     later = spans.join(repeated, ["h1", "h2"]).where(at != F.col("first"))
-    covered = later.groupBy("doc", "row").agg(F.collect_set(F.struct("pos", "stop")).alias("runs"))
-    joined = rows.join(covered, ["doc", "row"], "left").select("doc", "whole", "body", "runs")
-    schema = joined.select("doc", "whole").schema.add("left", "string").add("n_removed", "long")
-    return joined.mapInArrow(_removed, schema)
+    covered = stored(later.groupBy("doc", "row").agg(F.collect_set(F.struct("pos", "stop")).alias("runs")))
+    joined = rows.join(covered, ["doc", "row"], "left")
+    # texts that stay as they are do not go to Python
+    found = _remover()(F.when(F.col("runs").isNotNull(), F.col("body")), F.col("runs"))
+    made = joined.select("doc", "whole", "body", found.alias("found"))
+    return made.select("doc", "whole", F.coalesce("found.left", "body").alias("left"), F.coalesce("found.n_removed", F.lit(0)).cast("long").alias("n_removed"))
 
 
 def dedup_spans(docs: DataFrame, run: int = 3, min_words: int = 15) -> DataFrame:

@@ -24,6 +24,8 @@ from lodeworks.llm.wordbpe import Encoder, Memory, Vocabulary
 
 TOKENIZER = "word_bpe_49k.json"
 _NEVER = 1 << 60
+#: Symbols of a word up to which a plain search for the best pair is the faster way to the same ids.
+_SHORT = 48
 
 
 def merged(word: str, v: Vocabulary) -> list[int]:
@@ -31,7 +33,7 @@ def merged(word: str, v: Vocabulary) -> list[int]:
     s = v.symbols(word)
     s[-1] += v.end
     rank = v.merges.get
-    if len(s) <= 48:
+    if len(s) <= _SHORT:
         ranks = [rank(p, _NEVER) for p in zip(s, s[1:])]
         while ranks and (best := min(ranks)) < _NEVER:
             at = ranks.index(best)

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import lodeworks
+from lodeworks.functions.keys import quoted
 from lodeworks.plans import files as fs
 
 #: Stands for a missing id: such rows together are one document, after all others.
@@ -60,7 +61,7 @@ def document_key() -> list[Column]:
 
 def packed(docs: DataFrame) -> DataFrame:
     """doc, row, body, and all columns as one, so that no name of the input can clash."""
-    return docs.select(*document_key(), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    return docs.select(*document_key(), F.struct(*[quoted(c) for c in docs.columns]).alias("whole"))
 
 
 def unpacked(df: DataFrame, columns: list[str], **new: Column) -> DataFrame:
@@ -99,7 +100,8 @@ def grouped(df: DataFrame, keys: list[str]) -> DataFrame:
 def dealt_blocks(df: DataFrame, keys: list[str], by: Column, size: int) -> DataFrame:
     """The rows of ``block_pairs``, not yet moved to their tasks."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    counts = counts.select(*keys, F.ceil(F.col("members") / size).cast("int").alias("blocks"))
+    # read from files, it is a plain side of the join, whose hot groups Spark may then split
+    counts = stored(counts.select(*keys, F.ceil(F.col("members") / size).cast("int").alias("blocks")))
     dealt = df.join(counts, keys).withColumn("own", F.pmod(F.xxhash64(by, F.lit(7)), F.col("blocks")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))

@@ -237,11 +237,16 @@ def norm_band(embedding: Column) -> Column:
     return F.round(F.log2(top) + F.log2(square) / 2).cast("long")
 
 
+def dealt_to(n: Column, seed: int) -> Column:
+    """One of ``n`` shards or blocks; vectors that share an id are dealt apart."""
+    return F.pmod(F.xxhash64("vec_id", "mark", F.lit(seed)), n)
+
+
 def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, shard_rows: int = 4096, query_rows: int = 2048, beam: int = 128, build: Build = Build()) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: each query's ``top`` candidates found with the largest inner product.
 
     Rows are banded by their norm, doubling from band to band, and go to shards of about
-    ``shard_rows`` of a band by a hash of the vector's id; each shard is one graph, written to the
+    ``shard_rows`` of a band by a hash of the id and the vector; each shard is one graph, written to the
     shared folder. Every query searches every shard of its length, in tasks of one
     shard and about ``query_rows`` queries, with a beam of ``beam``. The score is the inner
     product in double precision of the vectors as they came; ties go to the smaller vec_id. A
@@ -264,14 +269,14 @@ def nearest(rows: DataFrame, queries: DataFrame, top: int = 20, shard_rows: int
     sizes = stored(points.groupBy("dim", "band").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("shards")))
     blocks = max(1, -(-asked.count() // query_rows))
     kind = rows.schema["embedding"].dataType.simpleString()
-    dealt = points.join(sizes, ["dim", "band"]).select("vec_id", "embedding", "dim", "band", F.pmod(F.xxhash64("vec_id", F.lit(3)), F.col("shards")).alias("shard"))
+    dealt = points.join(sizes, ["dim", "band"]).select("vec_id", "embedding", "dim", "band", dealt_to(F.col("shards"), 3).alias("shard"))
     graphs = stored(
         dealt.groupBy("band", "shard", "dim").applyInArrow(
             lambda t: _graph(t, build, top), f"shard long, band long, dim int, node int, ids array<bigint>, embedding {kind}, edges array<int>, entry boolean"
         )
     )
     left = graphs.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(4)), F.lit(blocks)).cast("int"))
+    right = asked.withColumn("block", dealt_to(F.lit(blocks), 4).cast("int"))
     right = right.join(sizes, "dim").withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.col("shards") - 1)))
     keys = ["band", "shard", "dim", "block"]
     found = left.groupBy(*keys).cogroup(right.select("vec_id", "embedding", "mark", *keys).groupBy(*keys)).applyInArrow(

@@ -25,7 +25,8 @@ def _marked(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     shared = once.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min("doc").alias("first"))
     # read from files, it is a plain side of the join, whose hot keys Spark may then split
     shared = stored(shared.where(F.col("n") >= min_docs).select("h1", "h2", "first"))
-    drops = keyed.join(shared, ["h1", "h2"]).where("doc != first").groupBy("doc", "row").agg(F.collect_set("pos").alias("drops"))
+    # and so is this one: a row whose id and text repeat very often is a hot key of the next join
+    drops = stored(keyed.join(shared, ["h1", "h2"]).where("doc != first").groupBy("doc", "row").agg(F.collect_set("pos").alias("drops")))
     joined = rows.join(drops, ["doc", "row"], "left").withColumn("lines", lines)
     every = F.sequence(F.lit(0), F.size("lines") - 1)
     return joined.select(

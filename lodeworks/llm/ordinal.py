@@ -125,13 +125,15 @@ def sample(docs: DataFrame, labels: DataFrame, grade, rows: int) -> DataFrame:
     """body and grade of at most ``rows`` labelled documents, chosen by a hash of their id.
 
     Labels without id or grade, and those of no document, take no part. A document with
-    several labels counts once for each.
+    several different labels counts once for each. Of several rows with one id, the text whose
+    hash is smallest is taken, so a label brings one row, however often its document repeats.
     """
     known = labels.select(F.col("doc_id").alias("doc"), *grade).dropna()
     known = known.orderBy(F.xxhash64("doc", F.lit(11)), *[c for c in known.columns]).limit(rows)
-    bodies = docs.where(F.col("doc_id").isNotNull()).select(*document_key()).select("doc", "body")
+    bodies = docs.where(F.col("doc_id").isNotNull()).select(*document_key())
     # the bound of ``rows`` rows of an id and small numbers is what makes this broadcast safe
-    return bodies.join(F.broadcast(known), "doc")
+    found = bodies.join(F.broadcast(known.distinct()), "doc")
+    return found.groupBy(*known.columns).agg(F.min_by("body", "row").alias("body"))
 
 
 def collected(found: DataFrame, features: Features) -> tuple[Sparse, dict[str, np.ndarray]]:

@@ -139,7 +139,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, capacit
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     A document's ids, and ``end_id`` after them, are cut at multiples of ``capacity``. Pieces
-    are dealt by hash into blocks of about ``windows`` windows' worth of tokens. Each block is
+    are dealt by hash (of the row and of its place among all) into blocks of about ``windows`` windows' worth of tokens. Each block is
     one multiway differencing into as few windows as the tokens need; if any would exceed the
     capacity, their number rises by one. A block's work is bounded, whatever the input.
     sequence_id is the block's number times 2^32 plus the window's.
@@ -154,7 +154,9 @@ def pack(docs: DataFrame, tokenizer: str | None = None, end_id: int = 2, capacit
     pieces = stored(rows.mapInArrow(lambda it: _pieces(it, path, end_id, capacity), "doc long, row long, start long, length long, ids_crc32 long, doc_tokens long"))
     total = pieces.agg(F.sum("length")).first()[0] or 0
     blocks = max(1, -(-total // (capacity * windows)))
-    block = F.pmod(F.xxhash64("doc", "row", "start"), F.lit(blocks)).alias("block")
+    # rows alike in everything are told apart by where they were written
+    file, place = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1), F.col("_metadata.row_index")
+    block = F.pmod(F.xxhash64("doc", "row", "start", file, place), F.lit(blocks)).alias("block")
     dealt = pieces.select("*", block).groupBy("block").applyInPandas(
         lambda g: _packed(g, capacity), "doc long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )

@@ -32,7 +32,7 @@ class TextFeatures:
         """Features of what stands between two white spaces."""
         found = [self._id(w) for w in _WORDS.findall(chunk.lower())]
         if self.style:
-            found += [self._id(f"mark {m[:8]}" if not m[0].isdigit() else "mark 0") for m in _MARKS.findall(chunk)]
+            found += [self._id(f"mark {m}" if not m[0].isdigit() else "mark 0") for m in _MARKS.findall(chunk)]
             if len(chunk) > 3 and chunk.isupper():
                 found.append(self._id("capitals"))
         return tuple(found)

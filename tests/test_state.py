@@ -266,3 +266,17 @@ def test_instant_cursor_survives_a_change_of_session_zone(spark, dataset):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert rows(dataset.table("events").select("id")) == [(i,) for i in range(5)]
+
+
+@pytest.mark.parametrize("limit", ["1", "1000"])
+def test_newest_rows_per_group_are_the_same_by_either_plan(spark, limit):
+    """By ranks kept per task, and by counts laid out by range."""
+    df = spark.range(400).select((F.col("id") % 7).alias("g"), F.when(F.col("id") % 11 > 0, F.col("id") % 50).alias("o"), F.col("id").alias("p"))
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", limit)
+    try:
+        got = rows(ops.newest_per_group(df, ["g"], ["o", "p"], 13))
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
+    placed = sorted(df.collect(), key=lambda r: (r.g, r.o is None, -(r.o or 0), -r.p))
+    want = [tuple(r) for k, r in enumerate(placed) if sum(x.g == r.g for x in placed[:k]) < 13]
+    assert got == sorted(want, key=lambda r: [(v is None, str(v)) for v in r])

@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import SQL, new_dataset, query, read
-from lodeworks import Dataset, LoadSpec, delete_rows, load, load_incremental, table_source, update_rows, with_layout
+from lodeworks import Dataset, LoadSpec, delete_rows, load, load_incremental, read_batches, stream_insert_only, table_source, update_rows, with_layout
 from lodeworks.plans import files as fs
+from lodeworks.sources.datasource import register
 
 _IDENTITY = ("_dlt_id", "_dlt_load_id")
 
@@ -344,3 +345,61 @@ def sql_qualified_names(spark, folder):
         """,
         {"low": 0},
     )
+
+
+@query(
+    "data_source_read",
+    "SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_custkey NOT IN (SELECT user_id FROM events) AND c_acctbal > 0",
+)
+def data_source_read(spark, folder):
+    """A table with masked rows by ``spark.read.format``: a task per file, batches of at most a thousand rows, filters at the files."""
+    dataset = _loaded(spark, read(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal").repartition(4))
+    delete_rows(dataset, "t", read(spark, folder, "events").select(F.col("user_id").alias("c_custkey")), ["c_custkey"])
+    register(spark)
+    rows = spark.read.format("lodeworks").options(path=dataset.root, table="t", batch_rows=1000).load()
+    return rows.where("c_acctbal > 0").drop(*_IDENTITY)
+
+
+@query("stream_from_versions", "SELECT o_orderkey, o_orderstatus FROM orders")
+def stream_from_versions(spark, folder):
+    """A stream over a table's versions, stopped and started again between loads: each row comes once, a compaction brings none."""
+    orders = read(spark, folder, "orders").select("o_orderkey", "o_orderstatus")
+    dataset, base = new_dataset(spark), fs.shared_folder(spark)
+    register(spark)
+    for number, status in enumerate(("F", "O", "P")):
+        load(dataset, LoadSpec("t", orders.where(F.col("o_orderstatus") == status)), load_id=f"load-{number}")
+        stream = spark.readStream.format("lodeworks").options(path=dataset.root, table="t", on_rewrite="skip").load()
+        writer = stream.writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/check")
+        writer.trigger(availableNow=True).start().awaitTermination()
+        if number == 1:
+            dataset.compact("t")
+    return spark.read.parquet(f"{base}/out").drop(*_IDENTITY)
+
+
+@query(
+    "stream_first_rows",
+    """
+    WITH first AS (SELECT user_id, min(event_id % 3) AS f FROM events WHERE user_id NOT IN (SELECT s_suppkey FROM supplier) GROUP BY user_id)
+    SELECT s_suppkey AS user_id, CAST(NULL AS BIGINT) AS event_id FROM supplier
+    UNION ALL SELECT user_id, event_id FROM events JOIN first USING (user_id) WHERE event_id % 3 = f
+    """,
+)
+def stream_first_rows(spark, folder):
+    """An insert-only stream by state: of each key all rows of the micro-batch that brings it first, and none the table had."""
+    events = read(spark, folder, "events").select("user_id", "event_id")
+    dataset = _loaded(spark, read(spark, folder, "supplier").select(F.col("s_suppkey").alias("user_id")), primary_key="user_id")
+    base = fs.shared_folder(spark)
+    for number in range(3):
+        events.where(F.col("event_id") % 3 == number).coalesce(1).write.mode("append").parquet(f"{base}/in")
+        stream = spark.readStream.schema(events.schema).parquet(f"{base}/in")
+        spec = LoadSpec("t", stream, primary_key="user_id", write_disposition="insert-only")
+        stream_insert_only(dataset, spec, checkpoint=f"{base}/check", query_name=f"first-{fs.unique('q')}").awaitTermination()
+    return _stored(dataset)
+
+
+@query("batches_for_a_consumer", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(ceil(count(*) / 700.0) AS BIGINT) AS least_batches, TRUE AS bounded FROM orders")
+def batches_for_a_consumer(spark, folder):
+    """A table's rows in batches of at most 700 for a reader on the driver, checked against the published row count."""
+    dataset = _loaded(spark, read(spark, folder, "orders").select("o_orderkey").coalesce(1))
+    sizes = [b.num_rows for b in read_batches(_stored(dataset), dataset.version("t").rows, 700)]
+    return spark.range(1).select(F.lit(sum(sizes)).cast("long").alias("n"), F.lit(len(sizes)).cast("long").alias("least_batches"), F.lit(max(sizes) <= 700).alias("bounded"))

@@ -49,6 +49,13 @@ def table_source(
     return LoadSpec(name or table, rows, **{"expected_rows": expected, **hints})
 
 
-def query_source(dataset: Dataset, query: str, *, name: str, args: Any = None, **hints: Any) -> LoadSpec:
-    """A query over the dataset's tables, run as written. A query has no name of its own."""
-    return LoadSpec(name, dataset.sql(query, args), **hints)
+def query_source(dataset: Dataset, query: str, *, name: str, args: Any = None, verified: bool = False, **hints: Any) -> LoadSpec:
+    """A query over the dataset's tables, run as written. A query has no name of its own.
+
+    ``verified`` runs it once more beforehand, only to count: a load that then brings fewer or
+    more rows is refused.
+    """
+    rows = dataset.sql(query, args)
+    if verified:
+        hints = {"expected_rows": rows.count(), **hints}
+    return LoadSpec(name, rows, **hints)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +54,30 @@ def verified_read(dataset: Dataset, table: str, path: str, batch_rows: int = 0)
     return dataset.spark.read.schema(rows.schema).parquet(path)
 
 
+def read_batches(df: DataFrame, expected: int | None = None, batch_rows: int = DEFAULT_BATCH_ROWS) -> Iterator[pa.Table]:
+    """The rows for a consumer on the driver, at most ``batch_rows`` at a time, each time one batch in memory.
+
+    Batches are what tasks made, cut but never combined. They are written to the shared folder
+    first, by one job, so a reader that is slow or stops holds no executor. Where ``expected``
+    is given, that job counts the rows, and the wrong number raises before the first batch.
+    Without rows there is one empty batch, which has the schema.
+    """
+    spark, path = df.sparkSession, fs.shared_folder(df.sparkSession) + "/batches"
+    if expected is None:
+        export_batches(df, path, batch_rows)
+    else:
+        deliver(df, path, expected, batch_rows)
+    given = 0
+    for file in fs.data_files(spark, path):
+        batch = spark.read.schema(df.schema).parquet(file).toArrow()
+        if batch.num_rows:
+            given += batch.num_rows
+            yield batch
+    if not given:
+        yield spark.createDataFrame([], df.schema).toArrow()
+    fs.delete(spark, path)
+
+
 def export_batches(df: DataFrame, path: str, batch_rows: int = DEFAULT_BATCH_ROWS) -> DataFrame:
     """Write files of at most ``batch_rows`` rows and return (file, rows).
 

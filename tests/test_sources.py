@@ -18,7 +18,7 @@ from lodeworks import (
 from lodeworks.plans import files as fs
 from lodeworks.sources.package import read_package
 from lodeworks.sources.series import read_series
-from lodeworks.sources.verified import deliver
+from lodeworks.sources.verified import deliver, read_batches
 
 
 @pytest.fixture
@@ -157,3 +157,26 @@ def test_a_derived_table_is_checked_as_it_is_written(spark, dataset, disposition
     assert dataset.version("copy").rows == 0
     load(dataset, spec, load_id="whole")
     assert dataset.table("copy").count() == 10
+
+
+@pytest.mark.parametrize("size", [2, 50])
+def test_batches_for_a_consumer(spark, size):
+    df = spark.range(0, 11, 1, 3).withColumn("v", F.lit("x"))
+    batches = list(read_batches(df, 11, size))
+    assert sorted(i for b in batches for i in b.column("id").to_pylist()) == list(range(11))
+    assert all(0 < b.num_rows <= size for b in batches) and len(batches) == (6 if size == 2 else 3)
+    (empty,) = read_batches(df.limit(0), 0, size)
+    assert empty.num_rows == 0 and empty.column_names == ["id", "v"]
+    with pytest.raises(IncompleteReadError, match="11 of 12"):
+        next(read_batches(df, 12, size))
+
+
+def test_a_checked_query(spark, dataset):
+    load(dataset, LoadSpec("t", spark.range(20)))
+    spec = query_source(dataset, "select id from public.t where id > :low", name="some", args={"low": 4}, verified=True)
+    assert spec.expected_rows == 15
+    load(dataset, spec)
+    assert dataset.table("some").count() == 15
+    short = query_source(dataset, "select id from t", name="short", expected_rows=21)
+    with pytest.raises(IncompleteReadError):
+        load(dataset, short)

@@ -375,7 +375,9 @@ class Dataset:
             placed, _ = apply_layout(placed, (), version.sorts, columns)
         writer = placed.write.partitionBy(*columns) if columns else placed.write
         for c in version.key or ():
-            if c in ranged:  # so that a merge of scattered keys skips the row groups that hold none
+            # so that a merge of scattered keys skips the row groups that hold none; not in directories of a
+            # layout, where a task writes very many files and each would keep a filter's memory
+            if c in ranged and not version.partitions:
                 writer = writer.option(f"parquet.bloom.filter.enabled#{c}", "true").option(f"parquet.bloom.filter.adaptive.enabled#{c}", "true")
         if dead:
             writer.mode("append").parquet(home)
@@ -395,8 +397,17 @@ class Dataset:
         found = [f"{PART}={part}"] if fs.exists(self.spark, f"{home}/{PART}={part}") else []
         for _ in version.partitions:
             found = [f"{p}/{n}" for p in found for n in fs.children(self.spark, f"{home}/{p}") if "=" in n]
-        sizes = [fs.size_of(self.spark, f"{home}/{p}") for p in found]
-        return [{"path": p, "schema": len(version.schemas) - 1, "files": n, "bytes": size} for p, (n, size) in zip(found, sizes)]
+        entries = [{"path": p, "schema": len(version.schemas) - 1} for p in found]
+        if not version.partitions:  # else there may be thousands, which compact measures when it needs to
+            entries = [self._measured(home, e) for e in entries]
+        return entries
+
+    def _measured(self, home: str, entry: dict) -> dict:
+        """The entry of a part with the number of its files and their bytes."""
+        if "files" in entry:
+            return entry
+        files, size = fs.size_of(self.spark, f"{home}/{entry['path']}")
+        return {**entry, "files": files, "bytes": size}
 
     def discard(self, table: str, entries: Sequence[dict]) -> None:
         """Remove directories that no version lists."""
@@ -502,7 +513,9 @@ class Dataset:
         their rows masked. Other parts stay as they are. What is appended meanwhile survives.
         """
         version = self.version(table)
-        rewrite = _to_pack(version.parts, target_bytes, masked_share)
+        home = f"{self._home(table)}/data"
+        chosen = {p["path"] for p in _to_pack([self._measured(home, p) for p in version.parts], target_bytes, masked_share)}
+        rewrite = [p for p in version.parts if p["path"] in chosen]
         if not rewrite:
             return version
         # whatever else is in the directories of the layout, each task packs rows of some of them

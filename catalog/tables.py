@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from catalog.registry import new_dataset, query, read
-from lodeworks import LoadSpec, export_batches, load, number_batches, query_source, table_source, verified_read, with_layout
+from lodeworks import IncompleteReadError, LoadSpec, export_batches, load, number_batches, query_source, table_source, verified_read, with_layout
 from lodeworks.plans import files as fs
 from lodeworks.plans.loader import declare_tables
+from lodeworks.sources.verified import deliver
 
 _IDENTITY = ("_dlt_id", "_dlt_load_id")
 _ALL = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
@@ -274,6 +275,22 @@ def sorted_layout(spark, folder):
     return dataset.table("t").select("event_id", "user_id", "event_type", "value")
 
 
+@query(
+    "sorted_files",
+    "SELECT event_id, user_id, value, CAST(0 AS BIGINT) AS overlaps FROM events WHERE user_id BETWEEN 100 AND 200",
+)
+def sorted_files(spark, folder):
+    """Files of a sorted table hold ranges of the sort key that do not overlap; a read between two values opens those in reach."""
+    rows = read(spark, folder, "events").select("event_id", "user_id", "value")
+    dataset = _laid_out(spark, rows, None, ["user_id"])
+    file = F.col("_metadata.file_path")
+    stored = dataset.scan("t", dataset.version("t"))
+    ends = stored.groupBy(file.alias("file")).agg(F.min("user_id").alias("low"), F.max("user_id").alias("high"))  # a row per file
+    before = Window.orderBy("low", "high").rowsBetween(Window.unboundedPreceding, -1)
+    overlaps = ends.withColumn("reached", F.max("high").over(before)).where("low < reached").count()
+    return dataset.table("t", between=("user_id", 100, 200)).select("event_id", "user_id", "value", F.lit(overlaps).cast("long").alias("overlaps"))
+
+
 # -- reads and exports -------------------------------------------------------------------
 
 
@@ -288,6 +305,24 @@ def verified(spark, folder):
     return received.select(expected.alias("expected"), "received", verdict.alias("verdict"))
 
 
+@query("verified_content", "SELECT c_custkey, c_name, c_acctbal, true AS refused FROM customer UNION ALL SELECT c_custkey, c_name, c_acctbal, true FROM customer")
+def verified_content(spark, folder):
+    """A copy is held to the sums that two loads took as they wrote; one with a single other value is refused."""
+    dataset = new_dataset(spark)
+    rows = read(spark, folder, "customer").select("c_custkey", "c_name", "c_acctbal")
+    for _ in range(2):
+        load(dataset, LoadSpec("customer", rows))
+    version, place = dataset.version("customer"), fs.shared_folder(spark)
+    sums = dataset.content_of("customer", version)
+    wrong = dataset.table("customer").withColumn("c_acctbal", F.col("c_acctbal") + F.when(F.col("c_custkey") == 1, 1).otherwise(0))
+    try:
+        deliver(wrong, f"{place}/wrong", version.rows, sums=sums)
+        refused = False
+    except IncompleteReadError:
+        refused = True
+    return verified_read(dataset, "customer", f"{place}/copy").withColumn("refused", F.lit(refused))
+
+
 @query(
     "batched_export",
     """

@@ -18,6 +18,7 @@ TRANSFORMS = ("identity", "year", "month", "day", "hour")
 DIRECTIONS = ("asc", "desc")
 NULLS = ("first", "last")
 
+_MARK = "__range_mark"
 # A derived partition value is text whose order is the order of time.
 _TIME_FORMAT = {"year": "yyyy", "month": "yyyy-MM", "day": "yyyy-MM-dd", "hour": "yyyy-MM-dd-HH"}
 
@@ -165,16 +166,27 @@ def apply_layout(
     sorted_by: Sequence[SortKey] = (),
     leading: Sequence[str] = (),
 ) -> tuple[DataFrame, list[str]]:
-    """(frame to write, its partition columns).
+    """(frame to write, its partition columns), with the rows of each directory brought together.
 
-    Rows of one directory are brought together by a REBALANCE, which adaptive execution
-    sizes by measured bytes: many small directories share a task and one huge directory
-    is split over many. The sort is inside each task, partition columns first.
+    Without sort keys that is a REBALANCE, which adaptive execution sizes by measured bytes:
+    many small directories share a task and one huge directory is split over many. With sort
+    keys, tasks are ranges of directory and sort key, cut by a sample, so files of a directory
+    do not overlap. A mark of each row comes last in the range: a key value with very many
+    rows is cut into several files that hold nothing else.
     """
     derived = {k.derived: partition_value(k, df.schema[k.column].dataType) for k in partition_by}
     columns = [*leading, *derived]
     if derived:
-        df = df.withColumns(derived).hint("rebalance", *derived)
+        df = df.withColumns(derived)
     if sorted_by:
-        df = df.sortWithinPartitions(*columns, *(sort_expression(k) for k in sorted_by))
+        order = [*columns, *(sort_expression(k) for k in sorted_by)]
+        df = df.withColumn(_MARK, F.xxhash64(F.spark_partition_id(), F.monotonically_increasing_id()))
+        df = df.repartitionByRange(*order, _MARK).drop(_MARK)
+    elif derived:
+        df = df.hint("rebalance", *derived)
     return df, columns
+
+
+def order_rows(df: DataFrame, columns: Sequence[str], sorted_by: Sequence[SortKey]) -> DataFrame:
+    """The rows of each task in the order of its files: directories first."""
+    return df.sortWithinPartitions(*columns, *(sort_expression(k) for k in sorted_by))

@@ -32,9 +32,9 @@ from lodeworks.functions.local import empty_frame, local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
 from lodeworks.functions.schema import conform
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS
-from lodeworks.operators.layout import Layout, apply_layout, partition_value
+from lodeworks.operators.layout import Layout, apply_layout, order_rows, partition_value
 from lodeworks.plans import files as fs
-from lodeworks.plans import masks
+from lodeworks.plans import content, masks
 from lodeworks.plans.masks import PART
 from lodeworks.plans.relations import names_in, unqualified
 from lodeworks.plans.tablelog import TableLog, TableVersion
@@ -42,6 +42,8 @@ from lodeworks.plans.tablelog import TableLog, TableVersion
 _MARKER = "dataset.json"
 # Key types whose range is worth passing to the scan, and whose values Parquet can keep a bloom filter of.
 _RANGED = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.StringType)
+# Types of a first sort key whose range in each file is kept.
+_SPANNED = (*_RANGED, T.FloatType, T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
 # How often a change that lost the race for a version number tries the next one.
 _APPEND_TRIES = 50
 # So many keys go to the scan one by one; more of them as a range.
@@ -202,7 +204,7 @@ class Dataset:
         old, kept = numbers[: -max(keep, 1)], numbers[-max(keep, 1) :]
         needed, spare = (self._named([log.read(n) for n in some]) for some in (kept, old))
         deleted = 0
-        for folder in ("data", "masks", "checkpoints"):
+        for folder in ("data", "masks", "spans", "checkpoints"):
             for name in fs.children(self.spark, f"{home}/{folder}"):
                 path = f"{home}/{folder}/{name}"
                 if name[0] in "._" and not name.startswith(PART) or name in needed[folder]:
@@ -218,7 +220,7 @@ class Dataset:
     def _named(versions: Sequence[TableVersion]) -> dict[str, set[str]]:
         """Directories of the table that these versions need."""
         parts = [p for v in versions for p in v.parts]
-        return {"data": {p["path"].split("/")[0] for p in parts}, "masks": {p["mask"] for p in parts if "mask" in p}, "checkpoints": {v.base for v in versions}}
+        return {"data": {p["path"].split("/")[0] for p in parts}, "masks": {p["mask"] for p in parts if "mask" in p}, "spans": {p["spans"] for p in parts if "spans" in p}, "checkpoints": {v.base for v in versions}}
 
     # -- reading -----------------------------------------------------------------
 
@@ -246,14 +248,17 @@ class Dataset:
         """The table as a DataFrame in its stored schema, also if it holds no file.
 
         ``between=(column, low, high)`` filters on a column; if the layout partitions by
-        it (or by its year, month, day or hour) the same bound prunes directories.
+        it (or by its year, month, day or hour) the same bound prunes directories, and if it
+        is the first sort key, files whose range lies elsewhere are not opened.
         """
         version = version or self.version(name)
         if version is None:
             raise UndefinedTableError(f"table {self.schema}.{name} does not exist")
-        rows = self.scan(name, version)
         if between is not None:
             column, low, high = between
+            version = replace(version, parts=self._outside(name, version, column, low, high))
+        rows = self.scan(name, version)
+        if between is not None:
             rows = rows.where(quoted(column).between(F.lit(low), F.lit(high)))
             dtype = version.schema[column].dataType
             for key in version.partitions:
@@ -363,16 +368,17 @@ class Dataset:
         if dead:
             df = df.withColumn(PART, F.when(quoted(dead), F.lit(gone)).otherwise(F.lit(live)))
             leading = [PART]
-        placed, columns = apply_layout(df, version.partitions, (), leading)
+        placed, columns = apply_layout(df, version.partitions, version.sorts, leading)
         ranged = [c for c in (measured or version.key or ()) if c in df.columns and isinstance(df.schema[c].dataType, _RANGED)]
         ends = [f(quoted(c)).alias(f"{f.__name__}_{c}") for c in ranged for f in (F.min, F.max)]
         ends += [F.count_if(quoted(c).isNull()).alias(f"null_{c}") for c in ranged]
-        placed = placed.observe(counted, F.count_if(is_live).alias("rows"), *ends)
+        sums = content.sums_of(version.schema, is_live)
+        placed = placed.observe(counted, F.count_if(is_live).alias("rows"), *ends, *sums)
         if dead:
             placed = placed.drop(dead)
         if version.sorts:
             # above the row counter and below the write, so the order reaches the files
-            placed, _ = apply_layout(placed, (), version.sorts, columns)
+            placed = order_rows(placed, columns, version.sorts)
         writer = placed.write.partitionBy(*columns) if columns else placed.write
         for c in version.key or ():
             # so that a merge of scattered keys skips the row groups that hold none; not in directories of a
@@ -387,11 +393,65 @@ class Dataset:
         rows = int(seen.get("rows") or 0)
         bounds = {c: (seen.get(f"min_{c}"), seen.get(f"max_{c}")) for c in ranged}
         parts = self._leaves(home, live, version)
+        digest = content.digest(seen)
+        spans = self._file_spans(table, version, parts)
         ranges = {c: b for c, b in bounds.items() if b[0] is not None and not seen.get(f"null_{c}") and max(len(str(x)) for x in b) < 200}
         for part in parts:
+            part |= {"content": digest, "leaves": len(parts)} | ({"spans": spans} if spans else {})
             part |= ({} if version.partitions else {"rows": rows}) | ({"range": {c: list(b) for c, b in ranges.items()}} if ranges else {})
         return Written(parts, rows, self._leaves(home, gone, version) if dead else [], bounds)
 
+    def _file_spans(self, table: str, version: TableVersion, parts: Sequence[dict]) -> str | None:
+        """Write the range of the first sort key in every new file as a table; its name, if the key has ranges."""
+        if not parts or not version.sorts or not isinstance(version.schema[version.sorts[0].column].dataType, _SPANNED):
+            return None
+        column, name = version.sorts[0].column, fs.unique(str(version.number + 1))
+        value = quoted(column)
+        frame = self._frames(table, version, [{k: p[k] for k in ("path", "schema")} for p in parts])[0][0]
+        spans = frame.groupBy(masks.file_of_row().alias("file")).agg(F.min(value).alias("low"), F.max(value).alias("high"))
+        spans.coalesce(1).write.parquet(f"{self._home(table)}/spans/{name}")
+        return name
+
+    def _outside(self, table: str, version: TableVersion, column: str, low: Any, high: Any) -> list[dict]:
+        """The version's parts, each without the files whose range of the first sort key says that they hold no such row."""
+        if not version.sorts or version.sorts[0].column != column:
+            return version.parts
+        kinds: dict[int, set[str]] = {}
+        for p in version.parts:
+            if "spans" in p:
+                kinds.setdefault(p["schema"], set()).add(p["spans"])
+        apart: dict[str, list[str]] = {}
+        for index, names in kinds.items():
+            dtype = T.StructType.fromJson(version.schemas[index])[column].dataType
+            shape = T.StructType().add("file", "string").add("low", dtype).add("high", dtype)
+            spans = self.spark.read.schema(shape).parquet(*(f"{self._home(table)}/spans/{n}" for n in sorted(names)))
+            # a file of nulls alone has no range, and no row between two values
+            near = F.coalesce((F.col("high") >= F.lit(low)) & (F.col("low") <= F.lit(high)), F.lit(False))
+            for r in spans.where(~near).select(masks.folder_of(F.col("file")).alias("folder"), "file").collect():
+                apart.setdefault(masks.part_path(r["folder"]), []).append(r["file"])
+        return [{**p, "without": [*p.get("without", ()), *apart[p["path"]]]} if p["path"] in apart else p for p in version.parts]
+
+    def content_of(self, table: str, version: TableVersion) -> list[int]:
+        """The content sums of all rows: those kept by the version, and of parts whose sums no longer hold, read anew.
+
+        They no longer hold where rows are masked, files or directories of one write left out, or a type has widened since.
+        """
+        writes: dict[str, list[dict]] = {}
+        for p in version.parts:
+            writes.setdefault(p["path"].split("/")[0], []).append(p)
+        total, read = [0, 0], []
+        for some in writes.values():
+            whole = "content" in some[0] and len(some) == some[0]["leaves"] and not any("mask" in p or "without" in p for p in some)
+            if whole and content.comparable(T.StructType.fromJson(version.schemas[some[0]["schema"]]), version.schema):
+                total = content.added(total, some[0]["content"])
+            else:
+                read += some
+        if read:
+            rows = self.table(table, version=replace(version, parts=read))
+            found = rows.agg(*content.sums_of(version.schema)).first()
+            total = content.added(total, content.digest(found.asDict()))
+        return total
+
     def _leaves(self, home: str, part: str, version: TableVersion) -> list[dict]:
         """Entries of the directories that hold files: one per partition value, or just the part."""
         found = [f"{PART}={part}"] if fs.exists(self.spark, f"{home}/{PART}={part}") else []

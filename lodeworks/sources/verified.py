@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from lodeworks.errors import IncompleteReadError, UndefinedTableError, UnverifiableReadError
+from lodeworks.plans import content
 from lodeworks.plans import files as fs
 from lodeworks.plans.dataset import Dataset
 from lodeworks.sources.package import in_file_order, rows_per_file
@@ -16,16 +17,18 @@ from lodeworks.sources.package import in_file_order, rows_per_file
 DEFAULT_BATCH_ROWS = 50_000
 
 
-def deliver(df: DataFrame, path: str, expected: int | None, batch_rows: int = 0) -> int:
+def deliver(df: DataFrame, path: str, expected: int | None, batch_rows: int = 0, sums: Sequence[int] | None = None) -> int:
     """Write ``df`` to ``path`` and compare the rows written with the rows expected.
 
     The counter sits on the very frame that is written, in the job that writes it, so the
-    check costs no second read. Too few and too many rows both raise.
+    check costs no second read. Too few and too many rows both raise. So do, where the content
+    sums are given as well, the right number of rows with a wrong value.
     """
     if expected is None:
         raise UnverifiableReadError("no authoritative row count to check this read against")
     counted = Observation()
-    writer = df.observe(counted, F.count(F.lit(1)).alias("rows")).write
+    counts = [F.count(F.lit(1)).alias("rows"), *(content.sums_of(df.schema) if sums is not None else ())]
+    writer = df.observe(counted, *counts).write
     if batch_rows > 0:
         writer = writer.option("maxRecordsPerFile", int(batch_rows))
     # beside the target first: a bad copy never stands under the name the caller reads
@@ -37,20 +40,24 @@ def deliver(df: DataFrame, path: str, expected: int | None, batch_rows: int = 0)
     if received != expected:
         fs.delete(spark, draft)
         raise IncompleteReadError(f"received {received} of {expected} rows")
+    if sums is not None and content.digest(counted.get) != list(sums):
+        fs.delete(spark, draft)
+        raise IncompleteReadError(f"received {received} rows, but not with the values that were written")
     fs.rename(spark, draft, path)
     return received
 
 
 def verified_read(dataset: Dataset, table: str, path: str, batch_rows: int = 0) -> DataFrame:
-    """Copy a table to ``path``, check it against the published row count and read it back.
+    """Copy a table to ``path``, check it against the published row count and content and read it back.
 
-    Returns the copy. ``batch_rows`` bounds the rows per file.
+    The content is what loads summed up as they wrote; only parts of which rows were masked or
+    a type has widened since are read once more for it. Returns the copy. ``batch_rows`` bounds the rows per file.
     """
     version = dataset.version(table)
     if version is None:
         raise UndefinedTableError(f"table {dataset.schema}.{table} does not exist")
     rows = dataset.table(table, version=version)
-    deliver(rows, path, version.rows, batch_rows)
+    deliver(rows, path, version.rows, batch_rows, dataset.content_of(table, version))
     return dataset.spark.read.schema(rows.schema).parquet(path)
 
 

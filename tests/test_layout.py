@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from lodeworks import LayoutError, LoadSpec, load, with_layout
+from lodeworks import IncompleteReadError, LayoutError, LoadSpec, load, with_layout
 from lodeworks.operators import layout as lay
 from lodeworks.plans import files as fs
 
@@ -178,3 +178,70 @@ def test_identity_partitions_of_instants_prune_alike_in_every_zone(spark, datase
             assert dataset.table("t", between=("ts", low, high)).count() == 7
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def _files(spark, dataset, column):
+    """Range of the column in every data file, per directory."""
+    found = {}
+    for part in dataset.version("t").parts:
+        frame = spark.read.parquet(f"{dataset.root}/public/t/data/{part['path']}")
+        got = frame.groupBy(F.col("_metadata.file_name")).agg(F.min(column), F.max(column), F.count("*")).collect()
+        found[part["path"]] = sorted(tuple(r)[1:] for r in got)
+    return found
+
+
+@pytest.mark.parametrize("partition", [None, ["k"]])
+def test_files_of_a_sorted_table_do_not_overlap(spark, dataset, partition):
+    df = spark.range(4000).select((F.col("id") % 2).alias("k"), (F.xxhash64("id") % 5000).alias("v"), F.col("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        load(dataset, with_layout(LoadSpec("t", df.repartition(4)), partition, ["v"]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = _files(spark, dataset, "v")
+    assert sum(len(f) for f in files.values()) >= 4
+    for ranges in files.values():
+        for (_, high, _), (low, _, _) in zip(ranges, ranges[1:]):
+            assert high <= low
+    assert rows(dataset.table("t").select("id")) == rows(df.select("id"))
+    # a read of a few values opens the files whose range holds them
+    version = dataset.version("t")
+    kept = dataset._outside("t", version, "v", 100, 110)
+    opened = sum(len(files[p["path"]]) - len(p.get("without", ())) for p in kept)
+    assert opened == sum(low <= 110 and high >= 100 for f in files.values() for low, high, _ in f) < sum(map(len, files.values()))
+    want = df.where("v between 100 and 110")
+    got = dataset.table("t", between=("v", 100, 110))
+    assert rows(got.select("id")) == rows(want.select("id"))
+
+
+def test_a_sort_key_with_most_rows_is_cut_into_files_of_its_own(spark, dataset):
+    df = spark.range(6000).select(F.when(F.col("id") % 3 != 0, F.lit(7)).otherwise(F.col("id")).alias("v"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        load(dataset, with_layout(LoadSpec("t", df), None, [("v", "desc")]))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    (files,) = _files(spark, dataset, "v").values()
+    assert len(files) == 4 and max(n for *_, n in files) < 3000
+    assert sum(n for *_, n in files) == 6000
+
+
+def test_expected_rows_of_a_sorted_table(spark, dataset):
+    df = spark.range(50).select("id")
+    load(dataset, with_layout(LoadSpec("t", df, expected_rows=50), None, ["id"]))
+    with pytest.raises(IncompleteReadError, match="received 50 of 49"):
+        load(dataset, LoadSpec("t", df, expected_rows=49))
+    assert dataset.version("t").rows == dataset.table("t").count() == 50
+
+
+def test_spans_outlive_masks_and_are_vacuumed_with_their_version(spark, dataset):
+    df = spark.range(300).select("id", (F.col("id") * 7 % 300).alias("v"))
+    load(dataset, with_layout(LoadSpec("t", df, write_disposition="upsert", primary_key="id"), None, ["v"]))
+    load(dataset, LoadSpec("t", df.where("v between 20 and 25").withColumn("v", F.lit(1000).cast("long")), write_disposition="upsert", primary_key="id"))
+    assert dataset.table("t", between=("v", 10, 30)).count() == 15
+    assert dataset.table("t", between=("v", 1000, 1000)).count() == 6
+    before = fs.children(spark, f"{dataset.root}/public/t/spans")
+    dataset.compact("t")
+    dataset.vacuum("t")
+    assert len(before) == 2 and len(fs.children(spark, f"{dataset.root}/public/t/spans")) == 1
+    assert dataset.table("t", between=("v", 10, 30)).count() == 15

@@ -180,3 +180,40 @@ def test_a_checked_query(spark, dataset):
     short = query_source(dataset, "select id from t", name="short", expected_rows=21)
     with pytest.raises(IncompleteReadError):
         load(dataset, short)
+
+
+def test_a_copy_with_one_changed_value_is_refused(spark, dataset, tmp_path):
+    df = spark.range(40).select("id", F.col("id").cast("string").alias("s"), F.array("id", F.lit(None)).alias("a"), F.create_map("id", F.lit(1)).alias("m"))
+    load(dataset, LoadSpec("t", df))
+    load(dataset, LoadSpec("t", df))
+    version = dataset.version("t")
+    sums, table = dataset.content_of("t", version), dataset.table("t")
+    assert deliver(table.repartition(3), str(tmp_path / "same"), 80, sums=sums) == 80
+    wrong = F.when(F.col("id") == 7, F.lit("x"))
+    changes = {
+        "value": table.withColumn("s", F.coalesce(wrong, "s")),
+        "null": table.withColumn("s", F.when(F.col("id") != 7, F.col("s"))),
+        "inside": table.withColumn("a", F.when(F.col("id") == 7, F.array("id")).otherwise(F.col("a"))),
+        "map": table.withColumn("m", F.when(F.col("id") == 7, F.create_map("id", F.lit(2))).otherwise(F.col("m"))),
+        "copies": table.where("id < 39").unionByName(table.where("id = 1")),
+    }
+    for name, changed in changes.items():
+        with pytest.raises(IncompleteReadError, match="not with the values"):
+            deliver(changed, str(tmp_path / name), 80, sums=sums)
+        assert not (tmp_path / name).exists()
+
+
+def test_content_of_masked_widened_and_partitioned_tables(spark, dataset, tmp_path):
+    spec = LoadSpec("t", spark.range(30).select(F.col("id").cast("int"), (F.col("id") % 3).alias("k")), write_disposition="upsert", primary_key="id")
+    load(dataset, with_layout(spec, ["k"]))
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    before = jobs()
+    first = dataset.content_of("t", dataset.version("t"))
+    assert jobs() == before  # from the version alone
+    load(dataset, LoadSpec("t", spark.range(5, 8).select("id", F.lit(9).cast("long").alias("k"), F.lit("n").alias("new")), write_disposition="upsert", primary_key="id"))
+    assert verified_read(dataset, "t", str(tmp_path / "a")).count() == 30
+    assert dataset.content_of("t", dataset.version("t")) != first
+    load(dataset, LoadSpec("t", spark.sql("select cast(1.50 as decimal(10,2)) as id, 0L as k"), write_disposition="append"))
+    assert verified_read(dataset, "t", str(tmp_path / "b")).count() == 31
+    dataset.compact("t", masked_share=0.0)
+    assert verified_read(dataset, "t", str(tmp_path / "c")).count() == 31

@@ -1,7 +1,8 @@
-"""SimHash near-dedup: fingerprints that share a band of bits meet in a shard, whose BK-tree finds the near ones."""
+"""SimHash near-dedup: fingerprints are dealt to shards by a few of their bits, and the BK-tree of a shard finds the near ones."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -15,6 +16,8 @@ from lodeworks.llm.common import NO_ID, block_pairs, components, document_key, p
 from lodeworks.llm.registry import query, read
 
 _AT_ONCE = 65536
+#: A shard this many times as large as shards should be is cut into several trees.
+_UNEVEN = 4
 
 
 def fingerprint(text: str, shingle: int = 3) -> int:
@@ -44,6 +47,8 @@ class BKTree:
 
     def __init__(self) -> None:
         self.root: list | None = None
+        #: Nodes that searches looked at.
+        self.visited = 0
 
     def add(self, value: int) -> None:
         if self.root is None:
@@ -60,6 +65,7 @@ class BKTree:
         found, stack = [], [self.root] if self.root else []
         while stack:
             at, children = stack.pop()
+            self.visited += 1
             d = (at ^ value).bit_count()
             if d <= radius:
                 found.append(at)
@@ -104,13 +110,20 @@ def _assigned(docs: DataFrame, shingle: int, radius: int, shard: int) -> DataFra
     """doc, print and first (the smallest doc that can be reached) of every row."""
     ship(docs.sparkSession)
     prints = docs.select(*document_key()).select("doc", "body")
-    prints = stored(prints.mapInArrow(lambda it: _fingerprints(it, shingle), "doc long, print long"))
-    classes = prints.groupBy("print").agg(F.min("doc").alias("first"))  # copies end here
-    # radius + 1 bands: two prints that differ in at most radius bits are alike in one of them at least
-    bands, edges = radius + 1, [64 * k // (radius + 1) for k in range(radius + 2)]
-    parts = [F.struct(F.lit(k).alias("band"), F.expr(f"shiftrightunsigned(print, {edges[k]}) & {2 ** (edges[k + 1] - edges[k]) - 1}L").alias("part")) for k in range(bands)]
+    return groups_of(stored(prints.mapInArrow(lambda it: _fingerprints(it, shingle), "doc long, print long")), radius, shard)
+
+
+def groups_of(prints: DataFrame, radius: int, shard: int) -> DataFrame:
+    """doc, print and first of every (doc, print)."""
+    ship(prints.sparkSession)
+    classes = stored(prints.groupBy("print").agg(F.min("doc").alias("first")))  # copies end here
+    # radius + 1 bands: two prints that differ in at most radius bits are alike in one of them at least,
+    # so also in its first bits, of which as many name a shard as make shards of about the given size
+    edges, wide = [64 * k // (radius + 1) for k in range(radius + 2)], math.ceil(math.log2(max(classes.count() / shard, 2)))
+    widths = [min(wide, high - low) for low, high in zip(edges, edges[1:])]
+    parts = [F.struct(F.lit(k).alias("band"), F.expr(f"shiftrightunsigned(print, {edges[k]}) & {2**w - 1}L").alias("part")) for k, w in enumerate(widths)]
     banded = classes.select("print", F.explode(F.array(*parts)).alias("s")).select("print", "s.band", "s.part")
-    dealt = block_pairs(banded, ["band", "part"], F.col("print"), shard)
+    dealt = block_pairs(banded, ["band", "part"], F.col("print"), _UNEVEN * shard)
     links = dealt.mapInArrow(lambda it: _near(it, radius), "a long, b long")
     reached = components(links).select(F.col("node").alias("print"), "component")
     grouped = classes.join(reached, "print", "left").select("print", "first", F.coalesce("component", "print").alias("component"))
@@ -122,10 +135,11 @@ def _assigned(docs: DataFrame, shingle: int, radius: int, shard: int) -> DataFra
 def simhash_groups(docs: DataFrame, shingle: int = 3, radius: int = 2, shard: int = 4096) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable by links.
 
-    Texts link if their fingerprints differ in at most ``radius`` bits. Every pair of
-    fingerprints that links shares one of radius + 1 bands, so none is lost. A shard (one
-    value of one band) over ``shard`` distinct fingerprints is cut into several trees, each
-    searched by all of its fingerprints. A task emits a spanning tree of what it found, not
+    Texts link if their fingerprints differ in at most ``radius`` bits. A fingerprint is in
+    radius + 1 shards, each named by bits of another part of it, as many as make shards of about
+    ``shard`` distinct fingerprints; two that link share one of these shards, so none is lost.
+    Each shard is a BK-tree that its fingerprints search. One with over four times
+    ``shard``, where bits are uneven, is cut into several trees, each searched by all of its fingerprints. A task emits a spanning tree of what it found, not
     the pairs.
 
     Null and empty texts have fingerprint zero and link like any other. Rows without doc_id

@@ -1,5 +1,6 @@
 """Line, SimHash and span dedup and license scans against plain Python versions, and the registered queries against SQL."""
 
+import numpy as np
 import pytest
 from compare import connect, difference
 from conftest import SMALL
@@ -47,7 +48,7 @@ def test_a_line_of_many_documents_stays_in_the_smallest(spark):
 
 def test_simhash_groups(spark):
     want = by_id((None if d == NO_ID else d, f"{x:016x}", None if c == NO_ID else c) for d, x, c in brute_groups(ROWS))
-    for shard in (4096, 2):  # also with shards cut into several trees
+    for shard in (4096, 8, 2, 1):  # also with many shards, and with shards cut into several trees
         assert by_id(tuple(r) for r in simhash.simhash_groups(documents(spark), shard=shard).collect()) == want
 
 
@@ -59,6 +60,29 @@ def test_simhash_links_all_prints_within_two_bits(spark):
         assert sorted(tree.within(v, 2)) == sorted({x for x in values if (x ^ v).bit_count() <= 2})
 
 
+def test_a_search_visits_few_nodes_of_a_tree():
+    tree, values = simhash.BKTree(), np.random.default_rng(3).integers(0, 2**63, 4096).tolist()
+    for v in values:
+        tree.add(v)
+    for v in values[:500]:
+        assert tree.within(v ^ 5, 2) == [v]
+    assert 10 < tree.visited / 500 < 4096 / 20
+
+
+def test_simhash_groups_of_skewed_prints(spark):
+    """Prints that agree in all bits that name shards, and chains of links across shards."""
+    base = 0x0123456789ABCDEF
+    prints = [base ^ (1 << a) ^ (1 << b) for a in range(30, 42) for b in range(50, 64)] + [base ^ (7 << k) for k in range(0, 60, 3)]
+    want = {k: k for k in range(len(prints))}
+    for _ in prints:
+        for a, x in enumerate(prints):
+            want[a] = min(want[b] for b, y in enumerate(prints) if (x ^ y).bit_count() <= 2)
+    for shard in (4096, 16, 3):
+        signed = np.array(prints, np.uint64).view(np.int64).tolist()
+        found = simhash.groups_of(spark.createDataFrame(list(enumerate(signed)), "doc long, print long"), 2, shard)
+        assert {r["doc"]: r["first"] for r in found.collect()} == want
+
+
 def test_simhash_dedup_keeps_the_smallest(spark):
     docs = documents(spark)
     kept = {d for d, _, c in brute_groups(ROWS) if d == c}

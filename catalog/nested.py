@@ -88,3 +88,38 @@ def nesting_limit(spark, folder):
     return tables["documents"].select(
         "doc_id", "lang", F.size(lines).alias("n_lines"), F.element_at(lines, -1)["line"].alias("last_line")
     )
+
+
+@query(
+    "json_text_tables",
+    """
+    SELECT event_id, 0 AS idx, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN user_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE event_type END AS mixed, user_id AS n, 0 AS unread FROM events
+    UNION ALL SELECT event_id, 1, CAST(json_extract(props, '$.k') AS BIGINT), CASE WHEN user_id % 2 = 0 THEN CAST(user_id AS VARCHAR) ELSE event_type END, user_id + 1, 0 FROM events
+    """,
+)
+def json_text_tables(spark, folder):
+    """A text column of JSON becomes columns and a child table, by the schema its rows are seen to have; types that differ become text."""
+    mixed = F.when(F.col("user_id") % 2 == 0, F.col("user_id").cast("string")).otherwise(F.concat(F.lit('"'), "event_type", F.lit('"')))
+    text = F.format_string('{"props": %s, "mixed": %s, "list": [{"n": %s}, {"n": %s}]}', "props", mixed, F.col("user_id").cast("string"), (F.col("user_id") + 1).cast("string"))
+    dataset = new_dataset(spark)
+    rows = read(spark, folder, "events").select("event_id", text.alias("doc"))
+    load(dataset, LoadSpec("t", rows, nested=True, primary_key="event_id", write_disposition="upsert", columns={"doc": {"parse_json": True}}))
+    parents = dataset.table("t").select("_dlt_id", "event_id", F.col("doc__props__k").alias("k"), F.col("doc__mixed").alias("mixed"))
+    items = dataset.table("t__doc__list").select(F.col("_dlt_parent_id").alias("_dlt_id"), F.col("_dlt_list_idx").alias("idx"), "n")
+    return parents.join(items, "_dlt_id").drop("_dlt_id").withColumn("unread", F.lit(0))
+
+
+@query(
+    "map_child_table",
+    """
+    SELECT conv_id, turn, 'role' AS key, role AS value FROM conversations
+    UNION ALL SELECT conv_id, turn, 'text', text FROM conversations
+    """,
+)
+def map_child_table(spark, folder):
+    """A map becomes a child table of its keys and values."""
+    rows = read(spark, folder, "conversations").select("conv_id", "turn", F.create_map(F.lit("role"), "role", F.lit("text"), "text").alias("said"))
+    dataset = new_dataset(spark)
+    load(dataset, LoadSpec("t", rows, nested=True, order_by=["conv_id", "turn"]))
+    pairs = dataset.table("t__said").select(F.col("_dlt_parent_id").alias("_dlt_id"), "key", "value")
+    return dataset.table("t").select("_dlt_id", "conv_id", "turn").join(pairs, "_dlt_id").drop("_dlt_id")

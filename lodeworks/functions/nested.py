@@ -62,8 +62,9 @@ def refuse_clashes(names: Iterable[str]) -> None:
 
 
 def child_tables(df: DataFrame, table: str, max_nesting: int = MAX_NESTING, root_ids: bool = False) -> dict[str, DataFrame]:
-    """``table`` and every child its array columns give, by composed name.
+    """``table`` and every child its array and map columns give, by composed name.
 
+    A map is a list of (key, value), in the order it is stored in.
     The parent needs a ``_dlt_id`` column. A child row carries the id of its parent row,
     its position in the list, its own id (a digest of both, so a re-run gives the same)
     and, if the parent has one, the load id; with ``root_ids`` also the id of the row of
@@ -83,6 +84,9 @@ def _collect(df: DataFrame, table: str, depths: dict[str, int], carry: list[str]
     kept, out_names, lists = [], [], []
     for f in df.schema.fields:
         for name, value, dtype, depth in _leaves(quoted(f.name), f.dataType, f.name, depths[f.name]):
+            if isinstance(dtype, T.MapType):
+                pair = T.StructType().add("key", dtype.keyType).add("value", dtype.valueType)
+                value, dtype = F.map_entries(value), T.ArrayType(pair)
             if isinstance(dtype, T.ArrayType):
                 lists.append((name, value, dtype, depth))
             else:

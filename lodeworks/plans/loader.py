@@ -25,6 +25,7 @@ from lodeworks.errors import DuplicateKeyError, IncompleteReadError, LayoutError
 from lodeworks.functions.keys import NULL_KEY, guard_keys, quoted, split_hard_delete
 from lodeworks.functions.local import local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
+from lodeworks.functions.jsontext import parse_json_text
 from lodeworks.functions.nested import ROOT_ID, child_tables
 from lodeworks.functions.schema import conform, logical_type, merge_schemas
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS, since
@@ -172,6 +173,7 @@ def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, action: str) -> lis
         rows = read_package(dataset.spark, [staged])
     rows, spec = _normalized(rows, spec)
     rows = _typed(rows, spec)
+    rows = parse_json_text(rows, [c for c, hints in spec.columns.items() if hints.get("parse_json") and c in rows.columns])
     order = [normalize_identifier(c) for c in order]
     position = [c for c in POSITION if c in rows.columns] or order
     key = spec.key

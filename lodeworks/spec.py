@@ -27,13 +27,14 @@ class LoadSpec:
     ``data`` is a DataFrame or the ordered list of Parquet files of a package.
 
     ``columns`` holds per-column hints: ``primary_key``, ``hard_delete``, ``partition`` and
-    ``sort``, which ``StructField.metadata`` may carry as well, and ``data_type`` with
-    ``precision`` and ``scale``.
+    ``sort``, which ``StructField.metadata`` may carry as well, ``data_type`` with
+    ``precision`` and ``scale``, and ``parse_json``: its text is JSON, to be stored by the
+    schema that all rows of the load have (see ``jsontext``).
 
     ``order_by`` names the columns that order the rows of a DataFrame, which a keyed batch
     with repeated keys needs; no two rows (of one key, if there is a key) may share a
-    place. ``nested`` turns structs into columns and arrays into child
-    tables.
+    place. ``nested`` turns structs into columns, and arrays and maps
+    into child tables.
 
     ``expected_rows`` is how many rows the input must have, where its source says so: the
     load counts them in the job that writes them and publishes nothing if they differ.

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.registry import SQL, new_dataset, query, read
-from lodeworks import Dataset, LoadSpec, delete_rows, load, load_incremental, read_batches, stream_insert_only, table_source, update_rows, with_layout
+from lodeworks import Dataset, LoadSpec, delete_rows, load, load_incremental, number_batches, read_batches, stream_insert_only, table_source, update_rows, with_layout
 from lodeworks.plans import files as fs
 from lodeworks.sources.datasource import register
 
@@ -400,6 +400,8 @@ def stream_first_rows(spark, folder):
 @query("batches_for_a_consumer", "SELECT CAST(count(*) AS BIGINT) AS n, CAST(ceil(count(*) / 700.0) AS BIGINT) AS least_batches, TRUE AS bounded FROM orders")
 def batches_for_a_consumer(spark, folder):
     """A table's rows in batches of at most 700 for a reader on the driver, checked against the published row count."""
-    dataset = _loaded(spark, read(spark, folder, "orders").select("o_orderkey").coalesce(1))
-    sizes = [b.num_rows for b in read_batches(_stored(dataset), dataset.version("t").rows, 700)]
+    dataset = _loaded(spark, read(spark, folder, "orders").select("o_orderkey"))
+    # tasks hold whole runs of 700 rows, so only the last batch can be short
+    runs = number_batches(_stored(dataset), ["o_orderkey"], 700).repartitionByRange("batch").sortWithinPartitions("batch")
+    sizes = [b.num_rows for b in read_batches(runs.drop("batch"), dataset.version("t").rows, 700)]
     return spark.range(1).select(F.lit(sum(sizes)).cast("long").alias("n"), F.lit(len(sizes)).cast("long").alias("least_batches"), F.lit(max(sizes) <= 700).alias("bounded"))

@@ -171,6 +171,25 @@ def test_batches_for_a_consumer(spark, size):
         next(read_batches(df, 12, size))
 
 
+def _jobs(spark):
+    return len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+
+
+def test_small_batches_come_together_and_large_ones_alone(spark, monkeypatch):
+    df = spark.range(0, 3000, 1, 2).withColumn("v", F.when(F.col("id") >= 1500, F.repeat(F.lit("long"), 200)))
+    before = _jobs(spark)
+    batches = list(read_batches(df, 3000, 7))
+    assert _jobs(spark) - before < 20  # a job for each of the 430 batches before
+    assert [b.num_rows for b in batches] == 2 * ([7] * 214 + [2])
+    assert [i for b in batches for i in b.column("id").to_pylist()] == list(range(3000))
+    assert all(v == (None if k < 1500 else "long" * 200) for k, v in enumerate(v for b in batches for v in b.column("v").to_pylist()))
+    monkeypatch.setattr("lodeworks.sources.verified._READ_AT_ONCE", 100_000)
+    before = _jobs(spark)
+    assert [b.num_rows for b in read_batches(df, 3000, 500)] == [500] * 6
+    assert _jobs(spark) - before >= 5  # the long ones alone
+    assert [b.num_rows for b in read_batches(df, None, 0)] == [1500, 1500]
+
+
 def test_a_checked_query(spark, dataset):
     load(dataset, LoadSpec("t", spark.range(20)))
     spec = query_source(dataset, "select id from public.t where id > :low", name="some", args={"low": 4}, verified=True)

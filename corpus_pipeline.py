@@ -28,7 +28,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies (five words, similarity 0.8) the document with the smallest doc_id stays."""
+    """Of each group of near copies (by fingerprints and min-hashes, checked: five words, similarity 0.8) the document with the smallest doc_id stays."""
     return dedup_shingles(docs)
 
 

@@ -1,4 +1,4 @@
-"""Near copies by their word shingles: min-hashes propose pairs, the shingle sets themselves decide."""
+"""Near copies by their word shingles: SimHash fingerprints and min-hashes propose pairs, the shingle sets themselves decide."""
 
 from __future__ import annotations
 
@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodeworks.llm.common import components, dealt_blocks, document_key, grouped, packed, runs, ship, spanning, stored, texts, unpacked
+from lodeworks.llm.simhash import fingerprint, groups_of
 
 _AT_ONCE = 2048
 
@@ -46,6 +47,12 @@ def _sets(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBat
         )
 
 
+def _printed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        prints = np.array([fingerprint(t) for t in texts(batch.column("body"))], np.uint64)
+        yield pa.RecordBatch.from_arrays([batch.column("mark"), pa.array(prints.view(np.int64))], ["doc", "print"])
+
+
 def _banded(batches: Iterator[pa.RecordBatch], size: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         made = [band_keys(x, bands, rows) if len(x := shingles(t, size)) else x for t in texts(batch.column("body"))]
@@ -91,15 +98,19 @@ def _linked(batches: Iterator[pa.RecordBatch], size: int, similarity: float) ->
         yield pa.RecordBatch.from_arrays([pa.array(node), pa.array(root)], ["a", "b"])
 
 
-def dedup_shingles(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bands: int = 32, rows: int = 5, block: int = 256) -> DataFrame:
+def dedup_shingles(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, bands: int = 32, rows: int = 5, block: int = 256, radius: int = 2, shard: int = 4096
+) -> DataFrame:
     """The documents whose doc_id is the smallest of their group, all columns as they came.
 
     Texts link if the Jaccard similarity of their sets of ``shingle`` words in a row is
     ``similarity`` or more, A-Z in lower case; groups are what links reach. Texts with one set
-    are one class from the start. Others are compared, set by set, where all ``rows``
-    min-hashes of one of ``bands`` bands agree: a pair of similarity s is missed with a chance of
-    (1 - s^rows)^bands, 3e-6 at 0.8. A band's value with over ``block`` classes is compared in
-    pairs of blocks. A task emits a spanning tree of what it found, not the pairs.
+    are one class from the start. Classes are compared, set by set, in the groups that their SimHash
+    fingerprints form by at most ``radius`` bits (as in ``simhash_groups``, by BK-trees of shards), so no link
+    within the radius is lost. Pairs of 0.8 lie farther apart than any radius a tree can afford; so classes are
+    also compared where all ``rows`` min-hashes of one of ``bands`` bands agree: a pair of similarity s beyond the
+    radius is missed with a chance of (1 - s^rows)^bands, 3e-6 at 0.8. A group or a band's value with over
+    ``block`` classes is compared in pairs of blocks. A task emits a spanning tree of what it found, not the pairs.
 
     Null and empty texts have no shingles and are alike. Rows without doc_id are one document
     after all others. If rows of one doc_id lie in several groups, they stay if they lead any.
@@ -110,7 +121,9 @@ def dedup_shingles(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, b
     classes = marks.groupBy("mark", "mark2").agg(F.min("doc").alias("first"), F.min(F.struct("doc", "row")).alias("at"))  # copies end here
     classes = stored(classes.select("mark", "first", F.col("at.doc").alias("doc"), F.col("at.row").alias("row")))
     bodies = stored(keyed.dropDuplicates(["doc", "row"]).join(classes.select("mark", "doc", "row"), ["doc", "row"]).select("mark", "body"))
-    banded = stored(bodies.mapInArrow(lambda it: _banded(it, shingle, bands, rows), "mark long, band int, key long"))
+    near = groups_of(stored(bodies.mapInArrow(_printed, "doc long, print long")), radius, shard)
+    near = near.select(F.col("doc").alias("mark"), F.lit(-1).alias("band"), F.col("first").alias("key"))
+    banded = stored(near.unionByName(bodies.mapInArrow(lambda it: _banded(it, shingle, bands, rows), "mark long, band int, key long")))
     dealt = stored(dealt_blocks(banded, ["band", "key"], F.col("mark"), block).drop("members"))
     met = grouped(dealt.join(bodies, "mark"), ["band", "key", "i", "j"])
     reached = components(met.mapInArrow(lambda it: _linked(it, shingle, similarity), "a long, b long"))

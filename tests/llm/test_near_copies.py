@@ -10,6 +10,7 @@ sys.path.insert(0, str(ROOT))
 
 import corpus_pipeline  # noqa: E402
 from lodeworks.llm import shingles  # noqa: E402
+from lodeworks.llm.simhash import fingerprint  # noqa: E402
 
 
 def _set(text):
@@ -57,6 +58,17 @@ def test_the_stage_finds_every_near_copy(spark):
     assert sorted(r.doc_id for r in left.select("doc_id").collect()) == want
 
 
+def test_fingerprints_find_what_lies_within_their_radius(spark):
+    rows = [(d, t) for d, t in _planted() if d is not None]
+    prints, sets = [fingerprint(t or "") for _, t in rows], [_set(t) for _, t in rows]
+    pairs = [(a, b) for a in range(len(rows)) for b in range(a) if (prints[a] ^ prints[b]).bit_count() <= 2]
+    later = {max(rows[a][0], rows[b][0]) for a, b in pairs if _similarity(sets[a], sets[b]) >= 0.8}
+    assert len(later) > 10
+    # one band of very many min-hashes finds next to nothing
+    left = {r.doc_id for r in shingles.dedup_shingles(documents(spark, rows), bands=1, rows=400).select("doc_id").collect()}
+    assert not left & later and left >= {r for r, _ in rows if r < 60}
+
+
 def test_pairs_at_the_threshold_share_a_band():
     rng, shared = np.random.default_rng(4), 0
     for _ in range(1500):

@@ -80,6 +80,11 @@ def child_tables(df: DataFrame, table: str, max_nesting: int = MAX_NESTING, root
     return out
 
 
+def child_id(table: str) -> Column:
+    """The id of a row of a child table: a digest of its parent's id, the table's name and its place in the list."""
+    return F.sha2(F.concat_ws("_", PARENT_ID, F.lit(table), LIST_INDEX), 256)
+
+
 def _collect(df: DataFrame, table: str, depths: dict[str, int], carry: list[str], out: dict[str, DataFrame]) -> None:
     kept, out_names, lists = [], [], []
     for f in df.schema.fields:
@@ -104,8 +109,7 @@ def _collect(df: DataFrame, table: str, depths: dict[str, int], carry: list[str]
             fields = [("list", item)]
         else:
             fields = [("value", item)]
-        own_id = F.sha2(F.concat_ws("_", PARENT_ID, F.lit(child), LIST_INDEX), 256)
         system = [c for c in rows.columns if c != "__item"]
-        rows = rows.select(*(v.alias(n) for n, v in fields), *system, own_id.alias(ROW_ID))
+        rows = rows.select(*(v.alias(n) for n, v in fields), *system, child_id(child).alias(ROW_ID))
         levels = {**{n: depth - 1 for n, _ in fields}, **dict.fromkeys([*system, ROW_ID], 0)}
         _collect(rows, child, levels, carry, out)

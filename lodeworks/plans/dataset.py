@@ -30,8 +30,10 @@ from lodeworks.errors import ConcurrentPublishError, UndefinedDatasetError, Unde
 from lodeworks.functions.keys import guard_keys, quoted
 from lodeworks.functions.local import empty_frame, local_frame
 from lodeworks.functions.names import check_names, normalize_identifier
+from lodeworks.functions.nested import child_id
 from lodeworks.functions.schema import conform
 from lodeworks.operators.bookkeeping import INTERNAL_TABLES, SCHEMAS
+from lodeworks.operators.identity import ROW_ID
 from lodeworks.operators.layout import Layout, apply_layout, order_rows, partition_value
 from lodeworks.plans import files as fs
 from lodeworks.plans import content, masks
@@ -291,16 +293,18 @@ class Dataset:
 
         So have parts of which ``compact`` left files out. The names of these are compared with
         a constant of each file, which Spark does while it plans the scan: files left out are
-        not opened. ``place`` adds each row's file and number.
+        not opened. Row ids that a write left out are made again. ``place`` adds each row's file and number.
         """
         groups: dict[tuple, list[dict]] = {}
         for part in parts:
-            groups.setdefault((part["schema"], "without" in part, "mask" in part), []).append(part)
+            groups.setdefault((part["schema"], "without" in part, "mask" in part, part.get("ids_of")), []).append(part)
         home, frames = self._home(name), []
-        for (index, without, masked), members in groups.items():
+        for (index, without, masked, ids_of), members in groups.items():
             written = T.StructType.fromJson(version.schemas[index])
             reader = self.spark.read.schema(T.StructType([*written.fields, *technical])).option("basePath", f"{home}/data")
             frame = reader.parquet(*(f"{home}/data/{p['path']}" for p in members))
+            if ids_of:
+                frame = frame.withColumn(ROW_ID, child_id(ids_of))
             columns = [quoted(c) for c in frame.columns]
             if without:
                 frame = frame.where(~masks.file_of_row().isin([f for p in members for f in p["without"]]))
@@ -352,11 +356,14 @@ class Dataset:
         df: DataFrame,
         dead: str | None = None,
         measured: Sequence[str] = (),
+        ids_of: str | None = None,
     ) -> Written:
         """Write rows as a new part, counting them and their range in ``measured`` columns.
 
         Rows where the boolean column ``dead`` is true go to a directory of their own
-        that is never listed: it only serves later steps of the same load.
+        that is never listed: it only serves later steps of the same load. With ``ids_of``, the row
+        ids are those of that child table's rows (``child_id``): they are digests of other columns, which do
+        not compress, so reads make them again instead of storing them.
         """
         df = conform(df, T.StructType([*version.schema.fields, *(df.schema[c] for c in [dead] if c)]))
         name = f"{version.number + 1}-{uuid.uuid4().hex}"
@@ -376,6 +383,10 @@ class Dataset:
         placed = placed.observe(counted, F.count_if(is_live).alias("rows"), *ends, *sums)
         if dead:
             placed = placed.drop(dead)
+        if dead or version.sorts or version.partitions:
+            ids_of = None
+        if ids_of:
+            placed = placed.drop(ROW_ID)
         if version.sorts:
             # above the row counter and below the write, so the order reaches the files
             placed = order_rows(placed, columns, version.sorts)
@@ -397,7 +408,7 @@ class Dataset:
         spans = self._file_spans(table, version, parts)
         ranges = {c: b for c, b in bounds.items() if b[0] is not None and not seen.get(f"null_{c}") and max(len(str(x)) for x in b) < 200}
         for part in parts:
-            part |= {"content": digest, "leaves": len(parts)} | ({"spans": spans} if spans else {})
+            part |= {"content": digest, "leaves": len(parts)} | ({"ids_of": ids_of} if ids_of else {}) | ({"spans": spans} if spans else {})
             part |= ({} if version.partitions else {"rows": rows}) | ({"range": {c: list(b) for c, b in ranges.items()}} if ranges else {})
         return Written(parts, rows, self._leaves(home, gone, version) if dead else [], bounds)
 
@@ -580,10 +591,11 @@ class Dataset:
             return version
         # whatever else is in the directories of the layout, each task packs rows of some of them
         rows = self.scan(table, version, rewrite).select(*(quoted(c) for c in version.schema.names))
+        ids_of = rewrite[0].get("ids_of") if len({p.get("ids_of") for p in rewrite}) == 1 else None
         size = self.spark.conf.get(_ADVISORY)
         self.spark.conf.set(_ADVISORY, str(target_bytes))
         try:
-            written = self.write_parts(table, version, rows if version.partitions else rows.hint("rebalance"))
+            written = self.write_parts(table, version, rows if version.partitions else rows.hint("rebalance"), ids_of=ids_of)
         finally:
             self.spark.conf.set(_ADVISORY, size)
         old = {p["path"]: p for p in rewrite}

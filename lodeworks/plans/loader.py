@@ -64,6 +64,7 @@ class _Task:
     files: list[str]
     fresh_ids: bool  # row ids made for this load, so none of them is stored yet
     keys: DataFrame | None = None  # whose rows go, where the rows themselves don't tell
+    ids_of: str | None = None  # the child table whose row ids these are, which need not be stored
 
     @property
     def schema(self) -> T.StructType:
@@ -194,7 +195,7 @@ def _prepare(dataset: Dataset, spec: LoadSpec, load_id: str, action: str) -> lis
     for table, frame in children:
         child = LoadSpec(table, frame, write_disposition=spec.write_disposition, merge_strategy=spec.merge_strategy)
         # child rows have no key but their own id
-        tasks.append(_task(replace(child, order_by=[ROW_ID]), frame, action, [], fresh_ids))
+        tasks.append(replace(_task(replace(child, order_by=[ROW_ID]), frame, action, [], fresh_ids), ids_of=table))
     return tasks
 
 
@@ -221,7 +222,7 @@ def _nested_merge(
         if table != spec.target:
             child = LoadSpec(table, frame, primary_key=[ROOT_ID])
             roots = winners.select(quoted(ROW_ID).alias(ROOT_ID))
-            tasks.append(replace(_task(child, frame, "replace-of-keys", [], False), keys=roots))
+            tasks.append(replace(_task(child, frame, "replace-of-keys", [], False), keys=roots, ids_of=table))
     return tasks
 
 
@@ -330,7 +331,7 @@ def _apply(dataset: Dataset, task: _Task, load_id: str, done: set[str]) -> int:
             raise IncompleteReadError(f"table {task.table!r}: received {got} of {expected} rows")
 
     if action == "replace-of-keys":
-        return _replace_keys(dataset, task.table, applied, rows, task.key, None, conform(task.keys, T.StructType([version.schema[k] for k in task.key])))
+        return _replace_keys(dataset, task.table, applied, rows, task.key, None, conform(task.keys, T.StructType([version.schema[k] for k in task.key])), ids_of=task.ids_of)
     if action in ("upsert", "update"):
         key = task.key or [ROW_ID]
         winners = last_per_key(rows, key, order=task.spec.order_by, hard_delete=flag)
@@ -343,7 +344,7 @@ def _apply(dataset: Dataset, task: _Task, load_id: str, done: set[str]) -> int:
     if action == "insert-only":
         key = task.key or [ROW_ID]
         rows = new_rows(dataset.near(task.table, version, rows, key), rows, key, hard_delete=flag)
-    written = dataset.write_parts(task.table, version, rows.drop(*POSITION))
+    written = dataset.write_parts(task.table, version, rows.drop(*POSITION), ids_of=task.ids_of)
     check(written)
     if action == "append":
         base = replace(version, loads=applied.loads[:-1])
@@ -369,6 +370,7 @@ def _replace_keys(
     dead: str | None,
     keys: DataFrame | None = None,
     check: Callable[[Written], None] = lambda _: None,
+    ids_of: str | None = None,
 ) -> int:
     """Publish the table with every row of the keys (the winners' own, unless given) replaced by the winners.
 
@@ -376,7 +378,7 @@ def _replace_keys(
     deleted beside it). Its keys are then read from there, so that their size is known
     and Spark plans each join with them as a broadcast or as a shuffle by that size.
     """
-    written = dataset.write_parts(table, version, winners, dead, measured=() if keys is not None else key)
+    written = dataset.write_parts(table, version, winners, dead, measured=() if keys is not None else key, ids_of=ids_of)
     check(written)
     if keys is None:
         keys = dataset.scan(table, version, [*written.parts, *written.dead]).select(*(quoted(k) for k in key))

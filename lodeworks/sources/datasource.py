@@ -23,6 +23,7 @@ import re
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass, field
 from functools import reduce
+from hashlib import sha256
 from urllib.parse import unquote
 
 import pyarrow as pa
@@ -36,6 +37,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 _BATCH_ROWS = 50_000
+_ROW_ID, _PARENT_ID, _LIST_INDEX = "_dlt_id", "_dlt_parent_id", "_dlt_list_idx"
 _FORMAT = ds.ParquetFileFormat(default_fragment_scan_options=ds.ParquetFragmentScanOptions(pre_buffer=False), coerce_int96_timestamp_unit="us")
 _COMPARED = {"EqualTo": operator.eq, "GreaterThan": operator.gt, "GreaterThanOrEqual": operator.ge, "LessThan": operator.lt, "LessThanOrEqual": operator.le}
 
@@ -114,9 +116,10 @@ class File(api.InputPartition):
     batch_rows: int
     mask: str | None = None
     filters: list = field(default_factory=list)
+    ids_of: str | None = None
 
-    def __init__(self, path: str, home: str, schema: str, batch_rows: int, mask: str | None = None, filters: Iterable = ()):
-        self.path, self.home, self.schema, self.batch_rows, self.mask, self.filters = path, home, schema, batch_rows, mask, list(filters)
+    def __init__(self, path: str, home: str, schema: str, batch_rows: int, mask: str | None = None, filters: Iterable = (), ids_of: str | None = None):
+        self.path, self.home, self.schema, self.batch_rows, self.mask, self.filters, self.ids_of = path, home, schema, batch_rows, mask, list(filters), ids_of
 
 
 def _planned(log: Log, parts: Iterable[dict], schema: StructType, batch_rows: int, filters: Iterable = ()) -> list[File]:
@@ -128,7 +131,7 @@ def _planned(log: Log, parts: Iterable[dict], schema: StructType, batch_rows: in
         if (len(files), size) != (part.get("files", len(files)), part.get("bytes", size)):
             raise RuntimeError(f"incomplete read: {part['path']} holds {len(files)} files of {part['files']}, {size} bytes of {part['bytes']}")
         left_out = {unquote(f.rpartition("/")[2]) for f in part.get("without", ())}
-        out += [File(f"data/{part['path']}/{name}", log.home, schema.json(), batch_rows, part.get("mask"), filters) for name, _ in files if name not in left_out]
+        out += [File(f"data/{part['path']}/{name}", log.home, schema.json(), batch_rows, part.get("mask"), filters, part.get("ids_of")) for name, _ in files if name not in left_out]
     return out
 
 
@@ -157,9 +160,12 @@ def _left(batch: pa.RecordBatch, first: int, gone: dict[int, int]) -> pa.RecordB
     return batch.filter(pa.array([first + k not in out for k in range(batch.num_rows)]))
 
 
-def _conformed(batch: pa.RecordBatch, schema: pa.Schema) -> pa.RecordBatch:
-    """In the table's columns: those a file lacks are null, narrower types are widened."""
+def _conformed(batch: pa.RecordBatch, schema: pa.Schema, ids_of: str | None = None) -> pa.RecordBatch:
+    """In the table's columns: those a file lacks are null (row ids of a child table are made again), narrower types are widened."""
     columns = []
+    if ids_of:
+        places = zip(batch.column(_PARENT_ID).to_pylist(), batch.column(_LIST_INDEX).to_pylist())
+        batch = batch.append_column(_ROW_ID, pa.array([sha256(f"{p}_{ids_of}_{k}".encode()).hexdigest() for p, k in places], pa.string()))
     for f in schema:
         at = batch.schema.get_field_index(f.name)
         columns.append(pa.nulls(batch.num_rows, f.type) if at < 0 else batch.column(at) if batch.column(at).type == f.type else batch.column(at).cast(f.type))
@@ -177,7 +183,7 @@ def read_file(file: File) -> Iterator[pa.RecordBatch]:
         if tests:
             for batch in data.to_batches(filter=reduce(operator.and_, tests), batch_size=file.batch_rows):
                 if batch.num_rows:
-                    yield _conformed(batch, schema)
+                    yield _conformed(batch, schema, file.ids_of)
             return
     at = 0
     with system.open_input_file(place) as f:
@@ -186,7 +192,7 @@ def read_file(file: File) -> Iterator[pa.RecordBatch]:
             first, at = at, at + batch.num_rows
             left = _left(batch, first, gone)
             if left.num_rows:
-                yield _conformed(left, schema)
+                yield _conformed(left, schema, file.ids_of)
         if at != source.metadata.num_rows:
             raise RuntimeError(f"incomplete read: {at} of {source.metadata.num_rows} rows of {file.path}")
 

@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -12,11 +14,13 @@ from lodeworks import (
     delete_rows,
     load,
     update_rows,
+    verified_read,
 )
 from lodeworks import spec as spec_module
 from lodeworks.operators.identity import with_identity
 from lodeworks.plans import files as fs
 from lodeworks.plans import loader
+from lodeworks.sources.datasource import register
 
 
 def users(spark, *data):
@@ -212,6 +216,29 @@ def test_unknown_type_column_is_left_out(spark, dataset):
 # -- nested ------------------------------------------------------------------------------
 
 
+def test_ids_of_child_rows_are_made_again_where_they_are_read(spark, dataset, tmp_path):
+    register(spark)
+    lists = spark.range(3).select("id", F.expr("transform(sequence(0, 5), x -> struct(x as a, array(id, x) as b))").alias("items"))
+    load(dataset, LoadSpec("o", lists, nested=True, order_by=["id"]), load_id="L1")
+    load(dataset, LoadSpec("o", lists.withColumn("id", F.col("id") + 3), nested=True, order_by=["id"]), load_id="L2")
+    made = {t: {r._dlt_id for r in dataset.table(t).collect()} for t in ("o", "o__items")}
+    for table, parent in (("o__items", "o"), ("o__items__b", "o__items")):
+        for part in dataset.version(table).parts:
+            files = spark.read.parquet(f"{dataset.root}/public/{table}/data/{part['path']}")
+            assert "_dlt_id" not in files.columns and "_dlt_parent_id" in files.columns
+        read = spark.read.format("lodeworks").options(path=dataset.root, table=table).load()
+        want = {hashlib.sha256(f"{r._dlt_parent_id}_{table}_{r._dlt_list_idx}".encode()).hexdigest() for r in dataset.table(table).collect()}
+        for rows in (dataset.table(table), read, verified_read(dataset, table, str(tmp_path / table))):
+            assert {r._dlt_id for r in rows.collect()} == want and rows.count() == len(want)
+        assert {r._dlt_parent_id for r in read.collect()} == made[parent]
+        some = min(want)
+        assert dataset.table(table).where(F.col("_dlt_id") == some).count() == read.where(F.col("_dlt_id") == some).count() == 1
+        delete_rows(dataset, table, spark.createDataFrame([(some,)], "_dlt_id string"), ["_dlt_id"])
+        dataset.compact(table, masked_share=0.0)
+        assert {r._dlt_id for r in dataset.table(table).collect()} == want - {some}
+        assert {r._dlt_id for r in spark.read.format("lodeworks").options(path=dataset.root, table=table).load().collect()} == want - {some}
+
+
 def nested_orders(spark):
     return spark.createDataFrame(
         [(1, [("a", [1, 2]), ("b", [])], ("x", (7,)), [[1], [2, 3]]), (2, [("c", None)], None, None)],

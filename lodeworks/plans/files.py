@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import posixpath
 import re
 import tempfile
 import time
 import uuid
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, SparkSession
@@ -14,6 +17,9 @@ from pyspark.sql import functions as F
 from lodeworks.errors import ConcurrentPublishError
 
 _SLASHES = "^([A-Za-z][A-Za-z0-9+.-]*):/+"
+# what stands in a URI as it stands in a path, and names no other place
+_PLAIN = re.compile(r"(?:/[A-Za-z0-9_=-][A-Za-z0-9_.=-]*)+")
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
 
 
 def _open(spark: SparkSession, path: str):
@@ -27,6 +33,24 @@ def uri(spark: SparkSession, path: str) -> str:
     return re.sub(_SLASHES, r"\1:/", system.makeQualified(p).toUri().toString())
 
 
+def uris(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """``uri`` of each path: of all in folders of one folder at once, as there may be very many."""
+    shared = posixpath.commonprefix([p.rpartition("/")[0] + "/" for p in paths]).rpartition("/")[0]
+    base = uri(spark, shared) if shared and not shared.endswith((":", ":/", "/")) else ""
+    return [base + p[len(shared) :] if base and _PLAIN.fullmatch(p[len(shared) :]) else uri(spark, p) for p in paths]
+
+
+@contextmanager
+def listed_by_few(spark: SparkSession) -> Iterator[None]:
+    """Frames made inside list their files by a few tasks a core, where Spark would start a task for each of up to 10,000 files."""
+    before = spark.conf.get(_LISTING)
+    spark.conf.set(_LISTING, str(min(int(before), 8 * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(_LISTING, before)
+
+
 def file_column() -> Column:
     """The file a row was read from; one slash after the scheme, however it was listed."""
     return F.regexp_replace("_metadata.file_path", _SLASHES, "$1:/")
@@ -52,14 +76,25 @@ def children(spark: SparkSession, path: str) -> list[str]:
     system, p = _open(spark, path)
     if not system.exists(p):
         return []
-    statuses = system.listStatus(p)
+    return sorted(_below(spark, system, p, system.listStatus(p)))
+
+
+def matching(spark: SparkSession, path: str, pattern: str) -> list[str]:
+    """Paths of what a glob pattern finds below a directory, in the order of their names."""
+    system, p = _open(spark, path)
+    _, wanted = _open(spark, f"{path.rstrip('/')}/{pattern}")
+    return [f"{path.rstrip('/')}/{n}" for n in sorted(_below(spark, system, p, system.globStatus(wanted)))]
+
+
+def _below(spark: SparkSession, system, folder, statuses) -> list[str]:
+    """Names of files or directories relative to a folder that they are in."""
     paths = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(statuses)
     # "{<folder>/a,<folder>/b}": one call for all names, as a directory may hold very many
-    text = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths)
-    names = f",{text[1:-1]}".split(f",{system.makeQualified(p).toString()}/")[1:]
+    text, home = spark._jvm.org.apache.commons.lang3.ArrayUtils.toString(paths), system.makeQualified(folder).toString()
+    names = f",{text[1:-1]}".split(f",{home}/")[1:]
     if len(names) != len(statuses):
-        names = [status.getPath().getName() for status in statuses]
-    return sorted(names)
+        names = [status.getPath().toString()[len(home) + 1 :] for status in statuses]
+    return names
 
 
 def size_of(spark: SparkSession, path: str) -> tuple[int, int]:

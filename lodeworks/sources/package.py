@@ -31,12 +31,12 @@ def read_package(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
     listed = list_files(spark, paths)
     if not listed:
         raise LoadError("a load package needs at least one file")
-    groups = _by_schema(spark, listed)
-    merged = reduce(merge_schemas, (schema for schema, _ in groups))
+    with fs.listed_by_few(spark):
+        groups = _by_schema(spark, listed)
+    merged = reduce(merge_schemas, (scan.schema for scan in groups))
     position = [T.StructField(_FILE, T.StringType()), T.StructField(ROW_SEQ, T.LongType())]
     frames = []
-    for schema, members in groups:
-        scan = spark.read.schema(schema).parquet(*members)
+    for scan in groups:
         placed = scan.select("*", fs.file_column().alias(_FILE), F.col("_metadata.row_index").alias(ROW_SEQ))
         frames.append(conform(placed, T.StructType([*merged.fields, *position])))
     rows = reduce(DataFrame.unionByName, frames)
@@ -54,7 +54,7 @@ def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
 
 def file_order(spark: SparkSession, listed: Sequence[str]) -> DataFrame:
     """(file, sequence number): one row per file, so as small as the file list."""
-    rows = [(fs.uri(spark, path), seq) for seq, path in enumerate(listed)]
+    rows = [(name, seq) for seq, name in enumerate(fs.uris(spark, listed))]
     return local_frame(spark, rows, T.StructType().add(_FILE, "string").add(FILE_SEQ, "integer"))
 
 
@@ -70,20 +70,22 @@ def in_file_order(rows: DataFrame, listed: Sequence[str]) -> DataFrame:
 
 def rows_per_file(spark: SparkSession, listed: Sequence[str]) -> DataFrame:
     """(file, sequence number, rows) read from the file footers."""
-    counted = spark.read.parquet(*listed).groupBy(fs.file_column().alias(_FILE)).agg(F.count(F.lit(1)).alias("rows"))
+    with fs.listed_by_few(spark):
+        scan = spark.read.parquet(*listed)
+    counted = scan.groupBy(fs.file_column().alias(_FILE)).agg(F.count(F.lit(1)).alias("rows"))
     # a file without rows still is a line of the report
     joined = file_order(spark, listed).join(counted, _FILE, "left")
     return joined.select(F.col(_FILE).alias("file"), FILE_SEQ, F.coalesce("rows", F.lit(0)).alias("rows"))
 
 
-def _by_schema(spark: SparkSession, listed: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
-    """Files grouped by the schema to read them in.
+def _by_schema(spark: SparkSession, listed: Sequence[str]) -> list[DataFrame]:
+    """Files grouped by the schema to read them in, listed once.
 
     Footers are merged by one parallel job. That job refuses columns whose types differ
     between files; only then is every footer read for itself.
     """
     try:
-        return [(spark.read.option("mergeSchema", True).parquet(*listed).schema, list(listed))]
+        return [spark.read.option("mergeSchema", True).parquet(*listed)]
     except (PySparkException, Py4JJavaError) as error:
         if "CANNOT_MERGE" not in str(error):
             raise
@@ -92,4 +94,4 @@ def _by_schema(spark: SparkSession, listed: Sequence[str]) -> list[tuple[T.Struc
     groups: dict[str, tuple[T.StructType, list[str]]] = {}
     for schema, path in zip(schemas, listed):
         groups.setdefault(schema.json(), (schema, []))[1].append(path)
-    return list(groups.values())
+    return [spark.read.schema(schema).parquet(*members) for schema, members in groups.values()]

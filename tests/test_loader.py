@@ -21,6 +21,7 @@ from lodeworks.operators.identity import with_identity
 from lodeworks.plans import files as fs
 from lodeworks.plans import loader
 from lodeworks.sources.datasource import register
+from lodeworks.sources.package import read_package
 
 
 def users(spark, *data):
@@ -216,6 +217,24 @@ def test_unknown_type_column_is_left_out(spark, dataset):
 # -- nested ------------------------------------------------------------------------------
 
 
+def test_many_files_are_listed_and_named_at_once(spark, tmp_path):
+    rows = spark.range(0, 60).select("id", (F.col("id") % 40).alias("f"))
+    rows.repartition("f").write.partitionBy("f").parquet(f"{tmp_path}/a b/in")
+    files = fs.matching(spark, f"{tmp_path}/a b/in", "f=*/*.parquet")
+    assert len(files) == 40 and files == sorted(files)
+    odd = [*files, f"{tmp_path}/a b/in/f=1/50% of #1.parquet", f"{tmp_path}/a b/x/../y.parquet"]
+    assert fs.uris(spark, odd) == [fs.uri(spark, f) for f in odd]
+    assert fs.uris(spark, files[:1]) == [fs.uri(spark, files[0])] and fs.uris(spark, ["/a.parquet", "/b.parquet"]) == [fs.uri(spark, f) for f in ("/a.parquet", "/b.parquet")]
+    before = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    with fs.listed_by_few(spark):
+        assert spark.conf.get("spark.sql.sources.parallelPartitionDiscovery.parallelism") == str(8 * spark.sparkContext.defaultParallelism)
+        package = read_package(spark, files)
+    new = set(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) - before
+    assert len(new) == 2  # one listing, one job for the footers
+    got = package.groupBy("__file_seq").agg(F.count("*")).count()
+    assert got == 40 and package.count() == 60
+
+
 def test_ids_of_child_rows_are_made_again_where_they_are_read(spark, dataset, tmp_path):
     register(spark)
     lists = spark.range(3).select("id", F.expr("transform(sequence(0, 5), x -> struct(x as a, array(id, x) as b))").alias("items"))

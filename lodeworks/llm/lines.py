@@ -27,7 +27,9 @@ def _marked(docs: DataFrame, min_docs: int, min_chars: int) -> DataFrame:
     shared = stored(shared.where(F.col("n") >= min_docs).select("h1", "h2", "first"))
     # and so is this one: a row whose id and text repeat very often is a hot key of the next join
     drops = stored(keyed.join(shared, ["h1", "h2"]).where("doc != first").groupBy("doc", "row").agg(F.collect_set("pos").alias("drops")))
-    joined = rows.join(drops, ["doc", "row"], "left").withColumn("lines", lines)
+    # the text moves once, in its row: a second copy of it would double what is shuffled and sorted
+    joined = rows.drop("body").join(drops, ["doc", "row"], "left")
+    joined = joined.withColumn("body", F.coalesce(F.col("whole").getField("text"), F.lit(""))).withColumn("lines", lines)
     every = F.sequence(F.lit(0), F.size("lines") - 1)
     return joined.select(
         "doc", "whole", "lines",

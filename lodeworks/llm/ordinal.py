@@ -158,12 +158,13 @@ def collected(found: DataFrame, features: Features) -> tuple[Sparse, dict[str, n
 
 
 def scored(rows: DataFrame, model: Ordinal, score: Callable[[list[str]], np.ndarray]) -> DataFrame:
-    """``rows`` (doc, body and more) without body, with expected (grade) and tails (array)."""
+    """``rows`` (body and more, or ``whole`` with the text in it) without body, with expected (grade) and tails (array)."""
+    whole = "body" not in rows.columns  # the text comes to Python once
     others = [c for c in rows.columns if c != "body"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            tails = model.tails(score(texts(batch.column("body"))))
+            tails = model.tails(score(texts(batch.column("whole").field("text") if whole else batch.column("body"))))
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in others], pa.array(tails.sum(1)), pa.array(tails.tolist(), pa.list_(pa.float64()))],
                 [*others, "expected", "tails"],

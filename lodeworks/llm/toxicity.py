@@ -46,7 +46,7 @@ def toxicity_scores(docs: DataFrame, model: Ordinal, reject: float = 0.5) -> Dat
 
 def reject_toxic(docs: DataFrame, model: Ordinal, reject: float = 0.5) -> DataFrame:
     """The documents with p_toxic under ``reject``; all columns as they came."""
-    found = scored(packed(docs).select("doc", "whole", "body"), model, WORDS.scorer(model.weights))
+    found = scored(packed(docs).select("whole"), model, WORDS.scorer(model.weights))
     return unpacked(found.where(F.get("tails", F.lit(0)) < reject), docs.columns)
 
 
